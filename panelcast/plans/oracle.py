@@ -43,6 +43,10 @@ MEASURES = ",\n  ".join([
     f"{_r2(_total('sunshine') + ' / 3600.0')} AS total_sunshine_hours",
 ])
 
+FEATURE_LIST = ["avg_temp_max", "avg_temp_min", "avg_humidity", "total_precipitation",
+                "total_sunshine_hours"]
+FEATURES = ", ".join(FEATURE_LIST)
+
 YM = "CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month"
 KEEP = "WHERE district IS NOT NULL AND date IS NOT NULL"
 
@@ -92,4 +96,97 @@ SELECT district, {YM}, CAST(grouping(district) AS INTEGER) AS national,
 FROM daily {KEEP}
 GROUP BY GROUPING SETS ((district, year(date), month(date)), (year(date), month(date)))"""
 
+    q["round_policy"] = """
+SELECT l_orderkey, l_linenumber, x, r2, round_even(x * 10000.0, 0) / 10000.0 AS r4,
+       printf('%.2f', r2) AS txt
+FROM (SELECT l_orderkey, l_linenumber, l_extendedprice * l_discount AS x,
+             round_even(l_extendedprice * l_discount * 100.0, 0) / 100.0 AS r2
+      FROM lineitem)"""
+
+    q["period_filter"] = with_ctes(DAILY) + """
+SELECT *, '2001_08' AS period FROM daily
+WHERE date BETWEEN DATE '2001-08-01' AND DATE '2001-08-31'"""
+
+    q["payload_flatten"] = """
+WITH e AS (SELECT user_id AS district, event_id // 1024 AS request, ts, event_id, value, event_type
+           FROM events),
+g AS (SELECT district, request, bool_or(event_type = 'error') AS has_err FROM e GROUP BY ALL)
+SELECT e.district, e.request,
+       CAST(row_number() OVER (PARTITION BY e.district, e.request ORDER BY ts, event_id) - 1 AS INTEGER) AS pos,
+       strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS time, value,
+       CASE WHEN has_err AND event_type = 'error' THEN value END AS error_value
+FROM e JOIN g USING (district, request)"""
+
+    q["coverage_missing"] = """
+SELECT c_custkey AS district, c_name, c_nationkey FROM customer c
+WHERE NOT EXISTS (
+  SELECT 1 FROM orders o
+  WHERE o.o_custkey = c.c_custkey AND o.o_orderstatus <> 'P'
+    AND o.o_orderdate >= TIMESTAMP '2001-07-01' AND o.o_orderdate < TIMESTAMP '2001-08-01')"""
+
+    q["schema_align"] = with_ctes(DAILY, PANEL) + f"""
+SELECT year, month, district, CAST(NULL AS DOUBLE) AS mal_cases, {FEATURES} FROM panel"""
+
+    q["duplicate_keys"] = with_ctes(DAILY, PANEL) + """
+SELECT b.district, b.year, b.month
+FROM panel b JOIN panel h
+  ON b.district IS NOT DISTINCT FROM h.district AND b.year IS NOT DISTINCT FROM h.year
+ AND b.month IS NOT DISTINCT FROM h.month
+WHERE b.year * 100 + b.month BETWEEN 200105 AND 200106 AND h.year * 100 + h.month < 200106"""
+
+    hist = with_ctes(DAILY, PANEL, f"""h AS (
+  SELECT year, month, district, mal_cases, {FEATURES}, year * 100 + month AS ym FROM panel)""")
+    cols = f"year, month, district, mal_cases, {FEATURES}"
+    same = ("x.district IS NOT DISTINCT FROM b.district AND x.year IS NOT DISTINCT FROM b.year "
+            "AND x.month IS NOT DISTINCT FROM b.month")
+    q["append_all_or_nothing"] = hist + f"""
+SELECT {cols}, 'disjoint' AS scenario FROM h WHERE ym < 200106
+UNION ALL
+SELECT {cols}, 'disjoint' FROM h WHERE ym = 200106 AND NOT EXISTS (
+  SELECT 1 FROM h b JOIN h x ON {same} WHERE b.ym = 200106 AND x.ym < 200106)
+UNION ALL
+SELECT {cols}, 'overlap' FROM h WHERE ym < 200106
+UNION ALL
+SELECT {cols}, 'overlap' FROM h WHERE ym BETWEEN 200105 AND 200106 AND NOT EXISTS (
+  SELECT 1 FROM h b JOIN h x ON {same} WHERE b.ym BETWEEN 200105 AND 200106 AND x.ym < 200106)"""
+
+    q["append_new_keys"] = hist + f"""
+SELECT {cols}, 'disjoint' AS scenario FROM h WHERE ym < 200106
+UNION ALL
+SELECT {cols}, 'disjoint' FROM h b WHERE ym = 200106 AND NOT EXISTS (
+  SELECT 1 FROM h x WHERE x.ym < 200106 AND {same})
+UNION ALL
+SELECT {cols}, 'overlap' FROM h WHERE ym < 200106
+UNION ALL
+SELECT {cols}, 'overlap' FROM h b WHERE ym BETWEEN 200105 AND 200106 AND NOT EXISTS (
+  SELECT 1 FROM h x WHERE x.ym < 200106 AND {same})"""
+
+    eq = " AND ".join(f"x.{c} = f.{c}" for c in FEATURE_LIST)
+    ncols = f"year, month, {FEATURES}"
+    q["append_if_absent"] = with_ctes(DAILY, NATIONAL, f"""b AS (
+  SELECT {ncols}, CAST(NULL AS DOUBLE) AS ddd_demand, year * 100 + month AS ym FROM national)""") + f"""
+SELECT {ncols}, ddd_demand, 'new' AS scenario FROM national WHERE year * 100 + month < 200106
+UNION ALL
+SELECT {ncols}, ddd_demand, 'new' FROM b WHERE ym = 200106 AND NOT EXISTS (
+  SELECT 1 FROM national x, b f WHERE f.ym = 200106 AND x.year * 100 + x.month < 200106 AND {eq})
+UNION ALL
+SELECT {ncols}, ddd_demand, 'present' FROM national WHERE year * 100 + month < 200106
+UNION ALL
+SELECT {ncols}, ddd_demand, 'present' FROM b WHERE ym = 200105 AND NOT EXISTS (
+  SELECT 1 FROM national x, b f WHERE f.ym = 200105 AND x.year * 100 + x.month < 200106 AND {eq})"""
+
+    q["merge_target"] = with_ctes(DAILY, NATIONAL) + "SELECT * FROM national"
+
+    q["history_sorted"] = with_ctes(DAILY, PANEL) + f"""
+SELECT year, month, district, mal_cases, {FEATURES},
+       row_number() OVER (ORDER BY district, year, month) - 1 AS pos
+FROM panel"""
+
+    q["validation_report"] = with_ctes(DAILY, PANEL, """v AS (
+  SELECT CASE WHEN month = 12 THEN NULL ELSE year END AS year, month FROM panel)""") + """
+SELECT 'required_columns' AS check_name, CAST(1 AS BIGINT) AS n_bad, false AS passed
+UNION ALL SELECT 'non_empty', CAST(CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS BIGINT), count(*) > 0 FROM v
+UNION ALL SELECT 'not_null:year', count(*) - count(year), count(*) = count(year) FROM v
+UNION ALL SELECT 'not_null:month', count(*) - count(month), count(*) = count(month) FROM v"""
+
     return q

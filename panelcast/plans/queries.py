@@ -9,12 +9,26 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from panelcast.operators import rollup
+from panelcast import schemas
+from panelcast.functions.rounding import fixed_text, round_half_even
+from panelcast.operators import filters, history, ordering, rollup, validate
+from panelcast.sources import payload
 from panelcast.sources import testviews as tv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+KEYS = [schemas.ENTITY, "year", "month"]
+AS_OF = "2001-09-15"
+# History holds months before 2001-06; the disjoint batch is 2001-06; the overlapping batch is
+# 2001-05..2001-06, so its 2001-05 keys collide.
+CUT = (2001, 6)
+OVERLAP = ((2001, 5), (2001, 6))
+
+
+# ---- roll-ups ---------------------------------------------------------------------------
 
 def monthly_entity_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.monthly_rollup(tv.daily_obs(spark, sf_dir), exact_scale=tv.EXACT_SCALE)
@@ -29,11 +43,120 @@ def monthly_both_grains(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.both_grains(tv.daily_obs(spark, sf_dir), exact_scale=tv.EXACT_SCALE)
 
 
+def round_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = tv.table(spark, sf_dir, "lineitem")
+    x = F.col("l_extendedprice") * F.col("l_discount")
+    return (li.select("l_orderkey", "l_linenumber", x.alias("x"))
+              .withColumn("r2", round_half_even("x", 2))
+              .withColumn("r4", round_half_even("x", 4))
+              .withColumn("txt", fixed_text("r2", 2)))
+
+
+def period_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filters.period_filter(tv.daily_obs(spark, sf_dir), "date", AS_OF)
+
+
+# ---- payloads ---------------------------------------------------------------------------
+
+def payload_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landed = tv.event_payload_text(spark, sf_dir)
+    parsed = payload.parse_payloads(landed, "body", tv.EVENT_PAYLOAD_SCHEMA)
+    return payload.payload_flatten(parsed, keys=[schemas.ENTITY, "request"],
+                                   members=tv.EVENT_MEMBERS, time_as="time", parse_date=False)
+
+
+def coverage_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    payloads = tv.order_payloads(spark, sf_dir, "2001-07-01", "2001-08-01")
+    return payload.coverage_missing(tv.customer_dim(spark, sf_dir), payloads)
+
+
+# ---- history ----------------------------------------------------------------------------
+
+def _district_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return schemas.schema_align(tv.entity_panel(spark, sf_dir), schemas.DISTRICT_HISTORY_COLUMNS)
+
+
+def schema_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    legacy = (tv.entity_panel(spark, sf_dir)
+                .drop(schemas.DISTRICT_TARGET)
+                .withColumnsRenamed({v: k for k, v in schemas.LEGACY_RENAMES.items()})
+                .withColumn("index", F.lit(None).cast("long")))
+    return schemas.schema_align(legacy, schemas.DISTRICT_HISTORY_COLUMNS,
+                                renames=schemas.LEGACY_RENAMES,
+                                add_missing={schemas.DISTRICT_TARGET: T.DoubleType()})
+
+
+def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = _district_history(spark, sf_dir)
+    return history.duplicate_keys(h.filter(tv.within(*OVERLAP)), h.filter(tv.before(*CUT)), KEYS)
+
+
+def _cases(spark: SparkSession, sf_dir: str, op) -> DataFrame:
+    h = _district_history(spark, sf_dir)
+    base = h.filter(tv.before(*CUT))
+    disjoint = h.filter(tv.within(CUT, CUT))
+    overlap = h.filter(tv.within(*OVERLAP))
+    return (op(base, disjoint).withColumn("scenario", F.lit("disjoint"))
+            .unionByName(op(base, overlap).withColumn("scenario", F.lit("overlap"))))
+
+
+def append_all_or_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cases(spark, sf_dir, lambda h, b: history.append_all_or_nothing(h, b, KEYS))
+
+
+def append_new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cases(spark, sf_dir, lambda h, b: history.append_new_keys(h, b, KEYS))
+
+
+def append_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = tv.national_series(spark, sf_dir)
+    base = s.filter(tv.before(*CUT))
+    # A new monthly batch arrives without its target (the target is filled later).
+    batch = s.withColumn(schemas.SERIES_TARGET, F.lit(None).cast("double"))
+    fresh = batch.filter(tv.within(CUT, CUT))
+    stored = batch.filter(tv.within(OVERLAP[0], OVERLAP[0]))
+    feats = schemas.MONTHLY_FEATURES
+    return (history.append_if_absent(base, fresh, feats).withColumn("scenario", F.lit("new"))
+            .unionByName(history.append_if_absent(base, stored, feats)
+                         .withColumn("scenario", F.lit("present"))))
+
+
+def merge_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tv.national_series(spark, sf_dir)
+
+
+def history_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = _district_history(spark, sf_dir)
+    order = [F.col(k).asc_nulls_last() for k in KEYS]
+    return ordering.global_index(h, order, "pos")
+
+
+def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    panel = tv.entity_panel(spark, sf_dir)
+    seeded = panel.withColumn("year", F.when(F.col("month") == 12, F.lit(None)).otherwise(F.col("year")))
+    required = ["year", "month", schemas.SERIES_TARGET] + schemas.MONTHLY_FEATURES
+    return validate.validation_report(seeded, required, ["year", "month"])
+
+
 def queries() -> dict[str, Query]:
     return {
         "monthly_entity_rollup": monthly_entity_rollup,
         "monthly_national_rollup": monthly_national_rollup,
         "monthly_both_grains": monthly_both_grains,
+        "round_policy": round_policy,
+        "period_filter": period_filter,
+        "payload_flatten": payload_flatten,
+        "coverage_missing": coverage_missing,
+        "schema_align": schema_align,
+        "duplicate_keys": duplicate_keys,
+        "append_if_absent": append_if_absent,
+        "append_all_or_nothing": append_all_or_nothing,
+        "append_new_keys": append_new_keys,
+        "merge_target": merge_target,
+        "history_sorted": history_sorted,
+        "validation_report": validation_report,
     }
-def flagship(spark, sf_dir):
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly_entity_rollup(spark, sf_dir)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelcast.operators.history import merge_target
 from panelcast.operators.rollup import monthly_rollup
@@ -51,3 +52,64 @@ def national_series(spark: SparkSession, sf_dir: str) -> DataFrame:
                              F.month("o_orderdate").alias("month"))
                     .agg(F.count(F.lit(1)).cast("double").alias(SERIES_TARGET)))
     return merge_target(national, target, ["year", "month"])
+
+
+# Payload requests from events: one request per (user, block of 1,024 consecutive event ids),
+# so no payload array grows with the data even for a user holding most events.
+EVENT_BLOCK = 1024
+
+EVENT_MEMBERS = {"value": "value", "error_value": "error_value"}
+
+EVENT_PAYLOAD_SCHEMA = T.StructType([
+    T.StructField("daily", T.StructType([
+        T.StructField("time", T.ArrayType(T.StringType())),
+        T.StructField("value", T.ArrayType(T.DoubleType())),
+        T.StructField("error_value", T.ArrayType(T.DoubleType())),
+    ])),
+])
+
+
+def event_payload_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed payload text: ``district`` (user), ``request`` and a JSON ``body``.
+
+    ``error_value`` is present only in requests that hold an error event (else the member is
+    absent), and is NULL at the positions of other events.
+    """
+    ev = table(spark, sf_dir, "events")
+    items = F.array_sort(F.collect_list(F.struct("ts", "event_id", "value", "event_type")))
+    grouped = ev.groupBy(F.col("user_id").alias(ENTITY),
+                         F.expr(f"event_id div {EVENT_BLOCK}").alias("request")).agg(items.alias("_it"))
+    it = F.col("_it")
+    has_error = F.exists(it, lambda x: x["event_type"] == "error")
+    daily = F.struct(
+        F.transform(it, lambda x: F.date_format(x["ts"], "yyyy-MM-dd HH:mm:ss.SSSSSS")).alias("time"),
+        F.transform(it, lambda x: x["value"]).alias("value"),
+        F.when(has_error, F.transform(
+            it, lambda x: F.when(x["event_type"] == "error", x["value"]))).alias("error_value"),
+    )
+    return grouped.select(ENTITY, "request", F.to_json(F.struct(daily.alias("daily"))).alias("body"))
+
+
+def order_payloads(spark: SparkSession, sf_dir: str, first: str, end: str) -> DataFrame:
+    """One payload per order in ``[first, end)``; orders with status 'P' carry no ``daily``."""
+    o = table(spark, sf_dir, "orders")
+    o = o.filter((F.col("o_orderdate") >= F.lit(first).cast("timestamp_ntz"))
+                 & (F.col("o_orderdate") < F.lit(end).cast("timestamp_ntz")))
+    daily = F.when(F.col("o_orderstatus") != "P",
+                   F.struct(F.array(F.col("o_totalprice")).alias("value")))
+    return o.select(F.col("o_custkey").alias(ENTITY), daily.alias("daily"))
+
+
+def customer_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    return c.select(F.col("c_custkey").alias(ENTITY), "c_name", "c_nationkey")
+
+
+def before(year: int, month: int):
+    """Predicate: (year, month) strictly before the given month."""
+    return (F.col("year") * 100 + F.col("month")) < F.lit(year * 100 + month)
+
+
+def within(first: tuple[int, int], last: tuple[int, int]):
+    ym = F.col("year") * 100 + F.col("month")
+    return ym.between(F.lit(first[0] * 100 + first[1]), F.lit(last[0] * 100 + last[1]))
