@@ -71,6 +71,52 @@ NATIONAL = f"""national AS (
   USING (year, month))"""
 
 
+SERIES_COLS = FEATURE_LIST + ["ddd_demand"]
+PANEL_COLS = FEATURE_LIST + ["mal_cases"]
+
+
+def stats_cte(name: str, src: str, cols: list[str], part: str | None) -> str:
+    """First-60 % mean / population std, NULL-propagating, std floor 1e-10."""
+    pby = f"PARTITION BY {part}" if part else ""
+    keys = f"{part}, " if part else ""
+    train = "rn <= floor(CAST(0.6 AS DOUBLE) * n)"
+    out = []
+    for c in cols:
+        v = f"CASE WHEN {train} THEN {c} END"
+        full = f"count({v}) = count_if({train})"
+        sd = f"stddev_pop({v})"
+        out.append(f"CASE WHEN {full} THEN avg({v}) END AS {c}_mean")
+        out.append(f"CASE WHEN {full} THEN (CASE WHEN {sd} < 1e-10 THEN 1.0 ELSE {sd} END) END AS {c}_std")
+    group = f"GROUP BY {part}" if part else ""
+    return f"""{name} AS (
+  SELECT {keys}{", ".join(out)}
+  FROM (SELECT *, row_number() OVER ({pby} ORDER BY year, month) AS rn, count(*) OVER ({pby}) AS n
+        FROM {src})
+  {group})"""
+
+
+def zscores(src: str, stats: str, cols: list[str]) -> str:
+    return ", ".join(f"({src}.{c} - {stats}.{c}_mean) / {stats}.{c}_std AS {c}" for c in cols)
+
+
+# Panel job views: dated panel, panel without the excluded entity, entity statistics, complete
+# 6-month windows (latest month taken before the exclusion), z-scores and dense ids.
+P_VIEWS = [
+    "p AS (SELECT *, make_date(year, month, 1) AS date FROM panel)",
+    "px AS (SELECT * FROM p WHERE district IS NOT NULL AND district NOT IN (5))",
+    stats_cte("st", "px", PANEL_COLS, "district"),
+    """wr AS (SELECT * FROM px WHERE date BETWEEN
+       CAST((SELECT max(date) FROM p) - INTERVAL 5 MONTH AS DATE) AND (SELECT max(date) FROM p))""",
+    "w AS (SELECT * EXCLUDE (n) FROM (SELECT *, count(*) OVER (PARTITION BY district) AS n FROM wr) WHERE n = 6)",
+    f"z AS (SELECT w.district, w.year, w.month, w.date, {zscores('w', 'st', FEATURE_LIST)} FROM w JOIN st USING (district))",
+    """ids AS (SELECT district, CAST(dense_rank() OVER (ORDER BY district) - 1 AS INTEGER) AS entity_id
+         FROM (SELECT DISTINCT district FROM px))""",
+    """zt AS (SELECT z.*, ids.entity_id,
+           CAST(row_number() OVER (PARTITION BY z.district ORDER BY z.date) - 1 AS INTEGER) AS t
+         FROM z JOIN ids USING (district))""",
+]
+
+
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -189,4 +235,57 @@ UNION ALL SELECT 'non_empty', CAST(CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS B
 UNION ALL SELECT 'not_null:year', count(*) - count(year), count(*) = count(year) FROM v
 UNION ALL SELECT 'not_null:month', count(*) - count(month), count(*) = count(month) FROM v"""
 
+    r6cols = lambda cols: ", ".join(f"{_r6(c)} AS {c}" for c in cols)
+    stat_names = [f"{c}_{k}" for c in SERIES_COLS for k in ("mean", "std")]
+    q["global_norm_fit"] = with_ctes(DAILY, NATIONAL, stats_cte("gs", "national", SERIES_COLS, None)) + f"""
+SELECT {r6cols(stat_names)} FROM gs"""
+
+    pstat_names = [f"{c}_{k}" for c in PANEL_COLS for k in ("mean", "std")]
+    q["entity_norm_fit"] = with_ctes(DAILY, PANEL, *P_VIEWS) + f"""
+SELECT district, {r6cols(pstat_names)} FROM st"""
+
+    latest = """lw AS (SELECT * EXCLUDE (rn), CAST(12 - rn AS INTEGER) AS pos
+  FROM (SELECT *, row_number() OVER (ORDER BY year DESC, month DESC) AS rn FROM national)
+  WHERE rn <= 12)"""
+    q["latest_window"] = with_ctes(DAILY, NATIONAL, latest) + "SELECT * FROM lw"
+
+    q["series_normalize"] = with_ctes(DAILY, NATIONAL, latest,
+                                      stats_cte("gs", "national", SERIES_COLS, None)) + f"""
+SELECT year, month, pos, {", ".join(_r6(f"(lw.{c} - gs.{c}_mean) / gs.{c}_std") + f" AS {c}" for c in FEATURE_LIST)}
+FROM lw, gs"""
+
+    q["panel_window"] = with_ctes(DAILY, PANEL, "p AS (SELECT *, make_date(year, month, 1) AS date FROM panel)") + """
+SELECT * EXCLUDE (n) FROM (
+  SELECT *, count(*) OVER (PARTITION BY district) AS n FROM p
+  WHERE date BETWEEN CAST((SELECT max(date) FROM p) - INTERVAL 5 MONTH AS DATE) AND (SELECT max(date) FROM p))
+WHERE n = 6"""
+
+    q["panel_skipped"] = with_ctes(DAILY, PANEL, *P_VIEWS) + """
+SELECT e.district, coalesce(c.n, 0) AS n_rows
+FROM (SELECT DISTINCT district FROM px) e
+LEFT JOIN (SELECT district, count(*) AS n FROM wr GROUP BY district) c USING (district)
+WHERE coalesce(c.n, 0) <> 6"""
+
+    q["entity_exclude"] = with_ctes(DAILY, PANEL, *P_VIEWS) + "SELECT * FROM w"
+
+    q["entity_ids"] = with_ctes(DAILY, PANEL, *P_VIEWS) + "SELECT * FROM ids"
+
+    q["panel_normalize"] = with_ctes(DAILY, PANEL, *P_VIEWS) + f"""
+SELECT district, year, month, {r6cols(FEATURE_LIST)} FROM z"""
+
+    tensor_rows = "\nUNION ALL\n".join(
+        [f"SELECT district, t, {i} AS f, {_r6(c)} AS value FROM zt" for i, c in enumerate(FEATURE_LIST)]
+        + [f"SELECT district, t, {len(FEATURE_LIST)} AS f, CAST(entity_id AS DOUBLE) AS value FROM zt"])
+    q["window_tensor"] = with_ctes(DAILY, PANEL, *P_VIEWS) + tensor_rows
+
+    flat_rows = "\nUNION ALL\n".join(
+        [f"SELECT district, t * 5 + {i} AS pos, {_r6(c)} AS value FROM zt" for i, c in enumerate(FEATURE_LIST)]
+        + ["SELECT DISTINCT district, 30 + entity_id AS pos, CAST(1.0 AS DOUBLE) AS value FROM zt"])
+    q["flat_features"] = with_ctes(DAILY, PANEL, *P_VIEWS) + flat_rows
+
+    q["clip_cast"] = with_ctes(DAILY, PANEL) + """
+SELECT district, year, month, x, CAST(trunc(least(greatest(x, 0), n - 1)) AS INTEGER) AS clipped
+FROM (SELECT district, year, month, total_precipitation / 10000.0 - 5.0 AS x FROM panel)
+JOIN (SELECT count(DISTINCT district) AS n FROM panel) ON true"""
+
     return q

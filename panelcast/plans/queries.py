@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 from panelcast import schemas
 from panelcast.functions.rounding import fixed_text, round_half_even
-from panelcast.operators import filters, history, ordering, rollup, validate
+from panelcast.functions.numeric import clip_cast as clip_cast_fn
+from panelcast.operators import filters, history, normalize, ordering, rollup, validate, windows
 from panelcast.sources import payload
 from panelcast.sources import testviews as tv
 
@@ -138,6 +139,118 @@ def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.validation_report(seeded, required, ["year", "month"])
 
 
+# ---- normalisation and windows -----------------------------------------------------------
+
+SERIES_ORDER = ["year", "month"]
+SERIES_COLS = schemas.MONTHLY_FEATURES + [schemas.SERIES_TARGET]
+PANEL_COLS = schemas.MONTHLY_FEATURES + [schemas.DISTRICT_TARGET]
+# The excluded entity of the panel job (the reference drops one district by name).
+EXCLUDED = [5]
+WINDOW = 6
+
+
+def _r6(c):
+    return round_half_even(c, 6)
+
+
+def _series_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return normalize.fit_stats(tv.national_series(spark, sf_dir), SERIES_COLS, SERIES_ORDER)
+
+
+def global_norm_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    st = _series_stats(spark, sf_dir)
+    return st.select(*[_r6(c).alias(c) for c in st.columns])
+
+
+def latest_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.latest_window(tv.national_series(spark, sf_dir), SERIES_ORDER, 12)
+
+
+def series_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    win = windows.latest_window(tv.national_series(spark, sf_dir), SERIES_ORDER, 12)
+    z = normalize.normalize(win, _series_stats(spark, sf_dir), schemas.MONTHLY_FEATURES)
+    return z.select("year", "month", "pos", *[_r6(f).alias(f) for f in schemas.MONTHLY_FEATURES])
+
+
+def _panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.with_month_date(tv.entity_panel(spark, sf_dir))
+
+
+def _kept(panel: DataFrame) -> DataFrame:
+    return filters.entity_exclude(panel, schemas.ENTITY, EXCLUDED)
+
+
+def _entity_stats(panel: DataFrame) -> DataFrame:
+    return normalize.fit_stats(_kept(panel), PANEL_COLS, SERIES_ORDER, entity=schemas.ENTITY)
+
+
+def _complete(panel: DataFrame) -> DataFrame:
+    # The latest month comes from the whole panel, before the exclusion.
+    return windows.panel_window(_kept(panel), schemas.ENTITY, "date", WINDOW, max_from=panel)
+
+
+def _normalized_window(panel: DataFrame) -> DataFrame:
+    return normalize.normalize(_complete(panel), _entity_stats(panel), schemas.MONTHLY_FEATURES,
+                               entity=schemas.ENTITY)
+
+
+def entity_norm_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    st = _entity_stats(_panel(spark, sf_dir))
+    return st.select(schemas.ENTITY, *[_r6(c).alias(c) for c in st.columns if c != schemas.ENTITY])
+
+
+def panel_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.panel_window(_panel(spark, sf_dir), schemas.ENTITY, "date", WINDOW)
+
+
+def panel_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    panel = _panel(spark, sf_dir)
+    return windows.panel_skipped(_kept(panel), schemas.ENTITY, "date", WINDOW, max_from=panel)
+
+
+def entity_exclude(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _complete(_panel(spark, sf_dir))
+
+
+def entity_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.entity_ids(_kept(_panel(spark, sf_dir)), schemas.ENTITY)
+
+
+def panel_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    z = _normalized_window(_panel(spark, sf_dir))
+    return z.select(schemas.ENTITY, "year", "month",
+                    *[_r6(f).alias(f) for f in schemas.MONTHLY_FEATURES])
+
+
+def _tensor(panel: DataFrame) -> DataFrame:
+    ids = windows.entity_ids(_kept(panel), schemas.ENTITY)
+    z = _normalized_window(panel).join(ids, schemas.ENTITY)
+    return windows.window_tensor(z, schemas.ENTITY, "date", schemas.MONTHLY_FEATURES, "entity_id")
+
+
+def window_tensor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _tensor(_panel(spark, sf_dir))
+    rows = t.select(schemas.ENTITY, F.posexplode("tensor").alias("t", "row"))
+    return rows.select(schemas.ENTITY, "t", F.posexplode("row").alias("f", "value")).withColumn(
+        "value", _r6("value"))
+
+
+def flat_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _tensor(_panel(spark, sf_dir))
+    width = WINDOW * len(schemas.MONTHLY_FEATURES)
+    entries = windows.sparse_flat_entries(windows.flat_window("tensor"), "entity_id", width)
+    return (t.select(schemas.ENTITY, F.inline(entries))
+             .withColumn("value", _r6("value")))
+
+
+def clip_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    panel = tv.entity_panel(spark, sf_dir)
+    n = panel.select(F.count_distinct(schemas.ENTITY)).scalar()
+    x = F.col("total_precipitation") / F.lit(10000.0) - F.lit(5.0)
+    return (panel.select(schemas.ENTITY, "year", "month", x.alias("x"))
+                 .withColumn("clipped", clip_cast_fn("x", n)))
+
+
 def queries() -> dict[str, Query]:
     return {
         "monthly_entity_rollup": monthly_entity_rollup,
@@ -155,6 +268,18 @@ def queries() -> dict[str, Query]:
         "merge_target": merge_target,
         "history_sorted": history_sorted,
         "validation_report": validation_report,
+        "global_norm_fit": global_norm_fit,
+        "entity_norm_fit": entity_norm_fit,
+        "latest_window": latest_window,
+        "series_normalize": series_normalize,
+        "panel_window": panel_window,
+        "panel_skipped": panel_skipped,
+        "entity_exclude": entity_exclude,
+        "entity_ids": entity_ids,
+        "panel_normalize": panel_normalize,
+        "window_tensor": window_tensor,
+        "flat_features": flat_features,
+        "clip_cast": clip_cast,
     }
 
 
