@@ -84,13 +84,14 @@ def entity_ids(df: DataFrame, entity: str, name: str = "entity_id") -> DataFrame
     return dense_ids(df, entity, name)
 
 
-def window_tensor(df: DataFrame, entity: str, date: str, features: list[str],
+def window_tensor(df: DataFrame, entity: str | None, date: str, features: list[str],
                   id_col: str | None = None, name: str = "tensor") -> DataFrame:
-    """Per entity: ``k x (f [+ 1])`` rows sorted by date; the id is appended to every row."""
+    """Per entity (or for the one series when ``entity`` is None): ``k x (f [+ 1])`` rows sorted
+    by date; the id is appended to every row."""
     cols = [F.col(f).cast("double") for f in features]
     if id_col:
         cols.append(F.col(id_col).cast("double"))
-    keys = [entity] + ([id_col] if id_col else [])
+    keys = ([entity] if entity else []) + ([id_col] if id_col else [])
     rows = F.sort_array(F.collect_list(F.struct(F.col(date).alias("d"), F.array(*cols).alias("v"))))
     return df.groupBy(*keys).agg(F.transform(rows, lambda r: r["v"]).alias(name))
 

@@ -117,6 +117,30 @@ P_VIEWS = [
 ]
 
 
+def _dbl(v: float) -> str:
+    return f"CAST('{v!r}' AS DOUBLE)"
+
+
+def weight_ctes(prefix: str, model_weights: dict, months: int, width: int) -> list[str]:
+    """VALUES tables (model, horizon, t, f, w) of the non-zero weights and (model, horizon, b)."""
+    wrows, brows = [], []
+    for name, m in model_weights.items():
+        for h, (row, b) in enumerate(zip(m.weights, m.bias), start=1):
+            brows.append(f"('{name}', {h}, {_dbl(b)})")
+            for j, w in enumerate(row):
+                if w != 0.0:
+                    wrows.append(f"('{name}', {h}, {j // width}, {j % width}, {_dbl(w)})")
+    return [f"{prefix}w AS (SELECT * FROM (VALUES {', '.join(wrows)}) v(model, horizon, t, f, w))",
+            f"{prefix}b AS (SELECT * FROM (VALUES {', '.join(brows)}) v(model, horizon, b))"]
+
+
+def unpivot(src: str, cols: list[str], t: str = "t", key: str = "district") -> str:
+    """Rows (key, t, f, value) of a wide window frame."""
+    k = f"{key}, " if key else ""
+    return "\n    UNION ALL ".join(f"SELECT {k}{t} AS t, {i} AS f, CAST({c} AS DOUBLE) AS value FROM {src}"
+                                     for i, c in enumerate(cols))
+
+
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -288,4 +312,81 @@ SELECT district, year, month, x, CAST(trunc(least(greatest(x, 0), n - 1)) AS INT
 FROM (SELECT district, year, month, total_precipitation / 10000.0 - 5.0 AS x FROM panel)
 JOIN (SELECT count(DISTINCT district) AS n FROM panel) ON true"""
 
+    from panelcast.plans import models as m
+
+    panel_w = weight_ctes("p", m.panel_models(), m.PANEL_MONTHS, m.N_FEATURES + 1)
+    tvr = f"tvr AS ({unpivot('zt', FEATURE_LIST + ['entity_id'])})"
+    sc = """sc AS (
+  SELECT tvr.district, pw.model, pw.horizon, sum(tvr.value * pw.w) + pb.b AS y
+  FROM tvr JOIN pw ON tvr.t = pw.t AND tvr.f = pw.f
+  JOIN pb ON pb.model = pw.model AND pb.horizon = pw.horizon
+  GROUP BY tvr.district, pw.model, pw.horizon, pb.b)"""
+    scored = with_ctes(DAILY, PANEL, *P_VIEWS, tvr, *panel_w, sc)
+    q["score_linear"] = scored + f"SELECT district, model, horizon, {_r6('y')} AS y FROM sc"
+    q["score_models"] = q["score_linear"]
+
+    denorm = "dn AS (SELECT sc.district, sc.model, sc.horizon, sc.y * st.mal_cases_std + st.mal_cases_mean AS y FROM sc JOIN st USING (district))"
+    q["denormalize"] = with_ctes(DAILY, PANEL, *P_VIEWS, tvr, *panel_w, sc, denorm) + \
+        f"SELECT district, model, horizon, {_r6('y')} AS y FROM dn"
+
+    clamp = "CASE WHEN isnan(y) OR y IS NULL OR y <= 0 THEN 0.0 ELSE y END"
+    q["long_forecast"] = with_ctes(DAILY, PANEL, *P_VIEWS, tvr, *panel_w, sc, denorm) + f"""
+SELECT district, model,
+       strftime(CAST((SELECT max(date) FROM p) + to_months(horizon) AS DATE), '%B_%Y') AS month,
+       {_r2(clamp)} AS predicted_mal_cases
+FROM dn"""
+
+    tab_w = m.tabular_model(1).weights
+    trows = ", ".join(f"({h}, {j}, {_dbl(w)})" for h, row in enumerate(tab_w, start=1)
+                      for j, w in enumerate(row) if w != 0.0)
+    q["score_tabular"] = with_ctes(DAILY, PANEL, *P_VIEWS, tvr, f"tw AS (SELECT * FROM (VALUES {trows}) v(horizon, j, w))") + f"""
+SELECT ft.district, 'tabular' AS model, tw.horizon,
+       {_r6("sum(ft.value * tw.w) + CAST(0.001 AS DOUBLE) * ft.entity_id * tw.horizon + 0.0")} AS y
+FROM (SELECT tvr.district, tvr.t * 5 + tvr.f AS j, tvr.value, ids.entity_id
+      FROM tvr JOIN ids USING (district) WHERE tvr.f < 5) ft
+JOIN tw ON ft.j = tw.j
+GROUP BY ft.district, tw.horizon, ft.entity_id"""
+
+    q["forecast_months"] = with_ctes(DAILY, PANEL, "p AS (SELECT *, make_date(year, month, 1) AS date FROM panel)") + """
+SELECT district, h AS horizon, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
+       d AS date, strftime(d, '%B %Y') AS label_space, strftime(d, '%B%Y') AS label_joined,
+       strftime(d, '%B_%Y') AS label_underscore, strftime(d, '%Y-%m-%d') AS label_iso,
+       strftime(d, '%Y_%m') AS label_period
+FROM (SELECT district, h, CAST(last + to_months(h) AS DATE) AS d
+      FROM (SELECT district, max(date) AS last FROM p GROUP BY district)
+      CROSS JOIN (SELECT unnest([1, 2, 3]) AS h))"""
+
+    series_w = weight_ctes("s", m.series_models(), m.SERIES_MONTHS, m.N_FEATURES)
+    zs = "zs AS (SELECT pos AS t, " + ", ".join(
+        f"(lw.{c} - gs.{c}_mean) / gs.{c}_std AS {c}" for c in FEATURE_LIST) + " FROM lw, gs)"
+    q["series_forecast"] = with_ctes(DAILY, NATIONAL, latest, stats_cte("gs", "national", SERIES_COLS, None),
+                                     zs, f"tvs AS ({unpivot('zs', FEATURE_LIST, key='')})", *series_w, """ssc AS (
+  SELECT sw.model, sw.horizon, sum(tvs.value * sw.w) + sb.b AS y
+  FROM tvs JOIN sw ON tvs.t = sw.t AND tvs.f = sw.f
+  JOIN sb ON sb.model = sw.model AND sb.horizon = sw.horizon
+  GROUP BY sw.model, sw.horizon, sb.b)""") + f"""
+SELECT ssc.model AS model_name,
+       CAST((SELECT max(make_date(year, month, 1)) FROM national) + to_months(ssc.horizon) AS DATE) AS date,
+       round_even((ssc.y * gs.ddd_demand_std + gs.ddd_demand_mean) * 10000.0, 0) / 10000.0 AS predicted_demand
+FROM ssc, gs"""
+
+    q["mae_by_horizon"] = with_ctes(DAILY, PANEL, "p AS (SELECT *, make_date(year, month, 1) AS date FROM panel)",
+                                    "o AS (SELECT CAST((SELECT max(date) FROM p) - INTERVAL 3 MONTH AS DATE) AS origin)",
+                                    """pred AS (
+  SELECT district, 'persistence' AS model, mal_cases AS y FROM p WHERE date = (SELECT origin FROM o)
+  UNION ALL
+  SELECT district, 'mean3', avg(mal_cases) FROM p
+  WHERE date BETWEEN CAST((SELECT origin FROM o) - INTERVAL 2 MONTH AS DATE) AND (SELECT origin FROM o)
+  GROUP BY district)""", """e AS (
+  SELECT pred.model, hs.h AS horizon, abs(pred.y - p.mal_cases) AS err
+  FROM pred CROSS JOIN (SELECT unnest([1, 2, 3]) AS h) hs
+  JOIN p ON p.district = pred.district AND p.date = CAST((SELECT origin FROM o) + to_months(hs.h) AS DATE))""",
+                                    """agg AS (
+  SELECT model, avg(err) FILTER (WHERE horizon = 1) AS t1, avg(err) FILTER (WHERE horizon = 2) AS t2,
+         avg(err) FILTER (WHERE horizon = 3) AS t3
+  FROM e GROUP BY model)""") + f"""
+SELECT model AS model_name, {_r6('t1')} AS t1_mae, {_r6('t2')} AS t2_mae, {_r6('t3')} AS t3_mae,
+       {_r6('t1 + t2 + t3')} AS mae_sum, {_r6('(t1 + t2 + t3) / 3.0')} AS mae
+FROM agg"""
+
     return q

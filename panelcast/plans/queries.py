@@ -15,7 +15,9 @@ from pyspark.sql import types as T
 from panelcast import schemas
 from panelcast.functions.rounding import fixed_text, round_half_even
 from panelcast.functions.numeric import clip_cast as clip_cast_fn
-from panelcast.operators import filters, history, normalize, ordering, rollup, validate, windows
+from panelcast.operators import (filters, forecast, history, normalize, ordering, rollup, scoring,
+                                 validate, windows)
+from panelcast.plans import models
 from panelcast.sources import payload
 from panelcast.sources import testviews as tv
 
@@ -251,6 +253,85 @@ def clip_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .withColumn("clipped", clip_cast_fn("x", n)))
 
 
+# ---- scoring and forecast output -----------------------------------------------------------
+
+def _latest(df: DataFrame):
+    return df.select(F.max("date")).scalar()
+
+
+def _panel_scores(panel: DataFrame) -> DataFrame:
+    t = _tensor(panel)
+    return scoring.linear_scores(t, models.panel_models(), F.flatten("tensor"), [schemas.ENTITY])
+
+
+def _panel_forecast(panel: DataFrame) -> DataFrame:
+    return normalize.denormalize(_panel_scores(panel), _entity_stats(panel), "y",
+                                 schemas.DISTRICT_TARGET, entity=schemas.ENTITY)
+
+
+def forecast_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forecast.forecast_months(_panel(spark, sf_dir), "date", forecast.HORIZON,
+                                    entity=schemas.ENTITY)
+
+
+def score_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _panel_scores(_panel(spark, sf_dir)).withColumn("y", _r6("y"))
+
+
+def score_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _tensor(_panel(spark, sf_dir))
+    model_set = scoring.ModelSet.load(models.panel_models())
+    out = scoring.good_rows(scoring.score(t, model_set, forecast.HORIZON, schemas.ENTITY))
+    return out.withColumn("y", _r6("y"))
+
+
+def score_tabular(spark: SparkSession, sf_dir: str) -> DataFrame:
+    panel = _panel(spark, sf_dir)
+    t = _tensor(panel).withColumn("flat", windows.flat_window("tensor", len(schemas.MONTHLY_FEATURES)))
+    n = windows.entity_ids(_kept(panel), schemas.ENTITY).count()   # one-row fact: one-hot width
+    out = scoring.good_rows(scoring.score_tabular(t, models.tabular_model(n), forecast.HORIZON,
+                                                  schemas.ENTITY))
+    return out.withColumn("y", _r6("y"))
+
+
+def denormalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _panel_forecast(_panel(spark, sf_dir)).withColumn("y", _r6("y"))
+
+
+def long_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    panel = _panel(spark, sf_dir)
+    return forecast.long_forecast(_panel_forecast(panel), _latest(panel), schemas.ENTITY)
+
+
+def series_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    series = windows.with_month_date(tv.national_series(spark, sf_dir))
+    stats = _series_stats(spark, sf_dir)
+    win = windows.latest_window(series, SERIES_ORDER, models.SERIES_MONTHS)
+    z = normalize.normalize(win, stats, schemas.MONTHLY_FEATURES)
+    t = windows.window_tensor(z, None, "date", schemas.MONTHLY_FEATURES)
+    scores = scoring.linear_scores(t, models.series_models(), F.flatten("tensor"), [])
+    y = normalize.denormalize(scores, stats, "y", schemas.SERIES_TARGET)
+    return forecast.series_forecast(y, _latest(series))
+
+
+def mae_by_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Backtest from the month three months before the latest: persistence and 3-month mean."""
+    panel = _panel(spark, sf_dir)
+    origin = F.add_months(_latest(panel), -forecast.HORIZON)
+    target = schemas.DISTRICT_TARGET
+    persistence = panel.filter(F.col("date") == origin).select(
+        schemas.ENTITY, F.lit("persistence").alias("model"), F.col(target).alias("y"))
+    recent = panel.filter(F.col("date").between(F.add_months(origin, -2), origin))
+    mean3 = recent.groupBy(schemas.ENTITY).agg(F.avg(target).alias("y")).select(
+        schemas.ENTITY, F.lit("mean3").alias("model"), "y")
+    steps = F.explode(F.sequence(F.lit(1), F.lit(forecast.HORIZON))).alias("horizon")
+    pred = (persistence.unionByName(mean3).select("*", steps)
+            .withColumn("date", F.add_months(origin, F.col("horizon"))))
+    actual = panel.select(schemas.ENTITY, "date", F.col(target).alias("actual"))
+    m = forecast.mae_by_horizon(pred, actual, [schemas.ENTITY, "date"])
+    return m.select("model_name", *[_r6(c).alias(c) for c in m.columns if c != "model_name"])
+
+
 def queries() -> dict[str, Query]:
     return {
         "monthly_entity_rollup": monthly_entity_rollup,
@@ -280,6 +361,14 @@ def queries() -> dict[str, Query]:
         "window_tensor": window_tensor,
         "flat_features": flat_features,
         "clip_cast": clip_cast,
+        "forecast_months": forecast_months,
+        "score_linear": score_linear,
+        "score_models": score_models,
+        "score_tabular": score_tabular,
+        "denormalize": denormalize,
+        "long_forecast": long_forecast,
+        "series_forecast": series_forecast,
+        "mae_by_horizon": mae_by_horizon,
     }
 
 
