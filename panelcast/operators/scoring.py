@@ -12,6 +12,7 @@
 from __future__ import annotations
 
 import logging
+import sys
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -270,3 +271,16 @@ def feature_vector(df: DataFrame, flat: str, id_col: str, ids: DataFrame,
 
 
 ScoreFn = Callable[[np.ndarray], np.ndarray]
+
+
+def _ship_by_value() -> None:
+    """Pickle this module's functions and model classes by value, so Python workers need only
+    numpy/pandas/pyspark and not this package on their path."""
+    try:
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # noqa: BLE001 - fall back to by-reference pickling
+        pass
+
+
+_ship_by_value()

@@ -373,4 +373,6 @@ def queries() -> dict[str, Query]:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monthly_entity_rollup(spark, sf_dir)
+    """The panel forecast job end to end (model set scored in ``mapInPandas``)."""
+    from panelcast.plans import jobs
+    return jobs.panel_forecast_frame(spark, sf_dir)
