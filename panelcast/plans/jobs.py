@@ -24,6 +24,7 @@ from panelcast.functions.periods import LABEL_FORMATS, period_name, previous_mon
 from panelcast.operators import (filters, forecast, history, normalize, rollup, scoring, validate,
                                  windows)
 from panelcast.sources import payload as payloads_mod
+from panelcast.session import checkpoint_dir
 from panelcast.sources import sinks
 
 KEYS = [schemas.ENTITY, "year", "month"]
@@ -129,10 +130,18 @@ def _fail_unless(report: DataFrame):
 def panel_forecast(history_df: DataFrame, models: dict | scoring.ModelSet,
                    entity: str = schemas.ENTITY, target: str = schemas.DISTRICT_TARGET,
                    features: list[str] | None = None, k: int = 6, horizon: int = forecast.HORIZON,
-                   exclude: list | None = None) -> DataFrame:
-    """Long-format panel forecast ``(entity, model, month, predicted_<target>)``."""
+                   exclude: list | None = None, checkpoint_input: bool = False) -> DataFrame:
+    """Long-format panel forecast ``(entity, model, month, predicted_<target>)``.
+
+    ``checkpoint_input`` writes the dated panel to the shared checkpoint folder first; use it when
+    ``history_df`` is derived from raw facts rather than read from a stored history table, so the
+    statistics, window, ids and latest-month branches do not each recompute it.
+    """
     features = features or schemas.MONTHLY_FEATURES
     panel = windows.with_month_date(history_df)
+    if checkpoint_input:
+        checkpoint_dir(panel.sparkSession)
+        panel = panel.checkpoint(eager=True)
     kept = filters.entity_exclude(panel, entity, exclude) if exclude else panel
     stats = normalize.fit_stats(kept, features + [target], ["year", "month"], entity=entity)
     complete = windows.panel_window(kept, entity, "date", k, max_from=panel)
@@ -177,4 +186,4 @@ def panel_forecast_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panelcast.plans.queries import EXCLUDED
     from panelcast.sources import testviews as tv
     return panel_forecast(tv.entity_panel(spark, sf_dir), stand_ins.panel_models(),
-                          exclude=EXCLUDED)
+                          exclude=EXCLUDED, checkpoint_input=True)

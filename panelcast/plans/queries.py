@@ -18,6 +18,7 @@ from panelcast.functions.numeric import clip_cast as clip_cast_fn
 from panelcast.operators import (filters, forecast, history, normalize, ordering, rollup, scoring,
                                  validate, windows)
 from panelcast.plans import models
+from panelcast.session import checkpoint_dir
 from panelcast.sources import payload
 from panelcast.sources import testviews as tv
 
@@ -31,6 +32,12 @@ CUT = (2001, 6)
 OVERLAP = ((2001, 5), (2001, 6))
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and cut its lineage (survives executor loss)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 # ---- roll-ups ---------------------------------------------------------------------------
 
 def monthly_entity_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,12 +162,12 @@ def _r6(c):
     return round_half_even(c, 6)
 
 
-def _series_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalize.fit_stats(tv.national_series(spark, sf_dir), SERIES_COLS, SERIES_ORDER)
+def _series_stats(series: DataFrame) -> DataFrame:
+    return normalize.fit_stats(series, SERIES_COLS, SERIES_ORDER)
 
 
 def global_norm_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    st = _series_stats(spark, sf_dir)
+    st = _series_stats(tv.national_series(spark, sf_dir))
     return st.select(*[_r6(c).alias(c) for c in st.columns])
 
 
@@ -169,13 +176,21 @@ def latest_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def series_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    win = windows.latest_window(tv.national_series(spark, sf_dir), SERIES_ORDER, 12)
-    z = normalize.normalize(win, _series_stats(spark, sf_dir), schemas.MONTHLY_FEATURES)
+    series = _series(spark, sf_dir)
+    win = windows.latest_window(series, SERIES_ORDER, 12)
+    z = normalize.normalize(win, _series_stats(series), schemas.MONTHLY_FEATURES)
     return z.select("year", "month", "pos", *[_r6(f).alias(f) for f in schemas.MONTHLY_FEATURES])
 
 
 def _panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return windows.with_month_date(tv.entity_panel(spark, sf_dir))
+    """The dated supplier-month panel, checkpointed once: stats, windows, ids and the latest month
+    then read this small table instead of each re-aggregating lineitem (the forecast job reads a
+    stored history table the same way)."""
+    return materialize(windows.with_month_date(tv.entity_panel(spark, sf_dir)))
+
+
+def _series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialize(tv.national_series(spark, sf_dir))
 
 
 def _kept(panel: DataFrame) -> DataFrame:
@@ -304,8 +319,8 @@ def long_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def series_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    series = windows.with_month_date(tv.national_series(spark, sf_dir))
-    stats = _series_stats(spark, sf_dir)
+    series = windows.with_month_date(_series(spark, sf_dir))
+    stats = _series_stats(series)
     win = windows.latest_window(series, SERIES_ORDER, models.SERIES_MONTHS)
     z = normalize.normalize(win, stats, schemas.MONTHLY_FEATURES)
     t = windows.window_tensor(z, None, "date", schemas.MONTHLY_FEATURES)
