@@ -53,43 +53,56 @@ def monthly_etl(payloads: DataFrame, dim: DataFrame, as_of: dt.date | str,
     if district_history is not None:
         stored = schemas.schema_align(district_history, schemas.DISTRICT_HISTORY_COLUMNS,
                                       renames=schemas.LEGACY_RENAMES, add_missing=target)
-        new_district = history.append_all_or_nothing(stored, district_batch, KEYS)
+        district_new = history.rows_all_or_nothing(stored, district_batch, KEYS)
     else:
-        new_district = district_batch
+        district_new = district_batch
     if national_history is not None:
         stored_n = schemas.schema_align(national_history, national_cols,
                                         add_missing={schemas.SERIES_TARGET: T.DoubleType()})
-        new_national = history.append_if_absent(stored_n, national_batch, schemas.MONTHLY_FEATURES)
+        national_new = history.rows_if_absent(stored_n, national_batch, schemas.MONTHLY_FEATURES)
     else:
-        new_national = national_batch
+        national_new = national_batch
     return {
         "daily": daily,
         "coverage_missing": payloads_mod.coverage_missing(dim, payloads),
         "district_month": district,
         "national_month": national,
-        "district_history": history.history_sorted(new_district, KEYS),
-        "national_history": new_national,
+        # Rows to append to each history table (empty when the guard finds the month stored).
+        "district_append": district_new,
+        "national_append": national_new,
         "duplicates": (history.duplicate_keys(district_batch, district_history, KEYS)
                        if district_history is not None else None),
     }
 
 
-def run_monthly_etl(spark: SparkSession, landing: str, dim: DataFrame, as_of: str, warehouse: str,
-                    district_history: str | None = None, national_history: str | None = None) -> dict:
-    """Read landed payloads, write the monthly outputs and new history versions (Parquet)."""
+def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+    from pyspark.errors import AnalysisException
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
+
+
+def run_monthly_etl(spark: SparkSession, landing: str, dim: DataFrame, as_of: str, warehouse: str) -> dict:
+    """Read landed payloads, write the month's outputs, and append to the two history tables.
+
+    History tables live at ``{warehouse}/district_history`` and ``{warehouse}/national_history``,
+    partitioned by year and month. Only the guarded new rows are appended, so a month never
+    rewrites the whole history, and the guards read only the month's partitions.
+    """
     first, _ = previous_month_bounds(as_of)
     period = period_name(first)
+    base = warehouse.rstrip("/")
+    paths = {"district_history": f"{base}/district_history", "national_history": f"{base}/national_history"}
     pl = payloads_mod.read_payloads(spark, landing)
-    dh = spark.read.parquet(district_history) if district_history else None
-    nh = spark.read.parquet(national_history) if national_history else None
-    out = monthly_etl(pl, dim, as_of, dh, nh)
-    paths = {}
+    out = monthly_etl(pl, dim, as_of, _existing(spark, paths["district_history"]),
+                      _existing(spark, paths["national_history"]))
     for name in ("daily", "district_month", "national_month", "coverage_missing"):
         paths[name] = sinks.period_path(warehouse, name, period)
         sinks.write_table(out[name], paths[name])
-    for name in ("district_history", "national_history"):
-        paths[name] = f"{warehouse.rstrip('/')}/{name}/v={period}"
-        sinks.write_table(out[name], paths[name])
+    for name in ("district", "national"):
+        sinks.write_table(out[f"{name}_append"], paths[f"{name}_history"], mode="append",
+                          partition_by=["year", "month"])
     return paths
 
 

@@ -43,11 +43,7 @@ def append_batch(batch: DataFrame, history_path: str, exact_scale: int | None =
                                 types={"year": T.IntegerType(), "month": T.IntegerType()})
     stored = _stored(spark, history_path)
     if stored is not None:
-        cond = None
-        for k in KEYS:
-            c = rows[k].eqNullSafe(stored[k])
-            cond = c if cond is None else cond & c
-        rows = rows.join(stored, cond, "left_anti")
+        rows = history.rows_new_keys(stored, rows, KEYS)     # reads only the batch's months
     rows.write.mode("append").partitionBy("year", "month").parquet(history_path)
 
 

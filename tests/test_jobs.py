@@ -43,12 +43,16 @@ def test_monthly_etl_writes_rollups_and_guarded_history(spark, tmp_dir):
     nat = spark.read.parquet(paths["national_month"]).first()
     assert nat.total_precipitation == 30.0 and nat.avg_temp_max == pytest.approx(39.5)
     assert [r.district for r in spark.read.parquet(paths["coverage_missing"]).collect()] == ["C"]
-    # Second run of the same month: the district batch collides, so history is unchanged.
-    paths2 = jobs.run_monthly_etl(spark, f"{tmp_dir}/land", dim, "2025-05-10", f"{tmp_dir}/wh2",
-                                  district_history=paths["district_history"],
-                                  national_history=paths["national_history"])
-    assert spark.read.parquet(paths2["district_history"]).count() == 2
-    assert spark.read.parquet(paths2["national_history"]).count() == 1
+    assert spark.read.parquet(paths["district_history"]).count() == 2
+    # Second run of the same month: both guards find the month stored, nothing is appended.
+    jobs.run_monthly_etl(spark, f"{tmp_dir}/land", dim, "2025-05-10", f"{tmp_dir}/wh")
+    assert spark.read.parquet(paths["district_history"]).count() == 2
+    assert spark.read.parquet(paths["national_history"]).count() == 1
+    # Next month appends.
+    land(f"{tmp_dir}/land5", "2025_05", [payload("A", 5, 31, 30.0)])
+    jobs.run_monthly_etl(spark, f"{tmp_dir}/land5", dim, "2025-06-02", f"{tmp_dir}/wh")
+    assert spark.read.parquet(paths["district_history"]).count() == 3
+    assert spark.read.parquet(paths["national_history"]).count() == 2
 
 
 def test_stream_arrival_appends_each_month_once(spark, tmp_dir):
