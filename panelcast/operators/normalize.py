@@ -55,13 +55,16 @@ def _stat_lookup(df: DataFrame, stats: DataFrame, entity: str | None):
     """Return (frame, getter) where getter(name) is the stat column for each row.
 
     With an entity the stats are joined on it (the planner picks broadcast or a shuffle join from
-    the size). Without one the stats are a single row, read through one struct-valued scalar
-    subquery that Spark evaluates once.
+    the size). Without one the stats are a single row of ``2 x features`` numbers (the global
+    parameter vector): fetched once and applied as literals.
     """
     if entity:
         return df.join(stats, entity, "inner"), F.col
-    row = stats.select(F.struct(*stats.columns).alias("s")).scalar()
-    return df, lambda name: row.getField(name)
+    row = stats.first()
+    if row is None:
+        raise ValueError("no statistics row")
+    values = row.asDict()
+    return df, lambda name: F.lit(values[name]).cast("double")
 
 
 def normalize(df: DataFrame, stats: DataFrame, features: list[str], entity: str | None = None,

@@ -5,12 +5,14 @@
   entity ships only ``k`` rows per mapper. Without an entity it is a top-k (``orderBy().limit``),
   merged from per-partition top-k lists.
 * ``panel_window``: rows in ``[max - (k-1) months, max]`` where ``max`` is the latest month of the
-  whole panel (a scalar subquery, evaluated once), for entities with exactly ``k`` rows there.
+  whole panel (a one-row fact used as a literal), for entities with exactly ``k`` rows there.
 * ``window_tensor``: the ``k x f`` array per entity; each group holds at most ``k`` rows.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,36 +44,44 @@ def latest_window(df: DataFrame, order: list[str], k: int = 12, entity: str | No
     return ranked.withColumn(pos, size - F.col("_rn")).drop("_rn")
 
 
-def _window_bounds(max_from: DataFrame, date: str, k: int) -> tuple[Column, Column]:
-    latest = max_from.select(F.max(date)).scalar()
-    return F.add_months(latest, -(k - 1)), latest
+def latest_month(df: DataFrame, date: str = "date") -> dt.date | None:
+    """The latest month of ``df``: a one-row fact fetched once, then used as a literal so window
+    bounds reach the scan as pushed filters (and prune year/month partitions)."""
+    return df.select(F.max(date)).first()[0]
+
+
+def _window_bounds(latest: dt.date, k: int) -> tuple[Column, Column]:
+    return F.add_months(F.lit(latest), -(k - 1)), F.lit(latest)
 
 
 def in_panel_window(df: DataFrame, date: str = "date", k: int = 6,
-                    max_from: DataFrame | None = None) -> DataFrame:
+                    max_from: DataFrame | None = None, latest: dt.date | None = None) -> DataFrame:
     """Rows whose month lies in the ``k`` months ending at the panel's latest month.
 
     ``max_from`` is the frame the latest month is taken from; pass the panel *before* entity
-    exclusion so the exclusion cannot move the window.
+    exclusion so the exclusion cannot move the window. ``latest`` skips that lookup.
     """
-    first, last = _window_bounds(max_from if max_from is not None else df, date, k)
+    if latest is None:
+        latest = latest_month(max_from if max_from is not None else df, date)
+    first, last = _window_bounds(latest, k)
     return df.filter(F.col(date).between(first, last))
 
 
 def panel_window(df: DataFrame, entity: str, date: str = "date", k: int = 6,
-                 max_from: DataFrame | None = None, distinct_months: bool = False) -> DataFrame:
+                 max_from: DataFrame | None = None, distinct_months: bool = False,
+                 latest: dt.date | None = None) -> DataFrame:
     """Window rows of entities that are complete: exactly ``k`` rows (or ``k`` distinct months)."""
-    rows = in_panel_window(df, date, k, max_from)
+    rows = in_panel_window(df, date, k, max_from, latest)
     w = Window.partitionBy(entity)
     n = F.size(F.collect_set(date).over(w)) if distinct_months else F.count(F.lit(1)).over(w)
     return rows.withColumn("_n", n).filter(F.col("_n") == k).drop("_n")
 
 
 def panel_skipped(df: DataFrame, entity: str, date: str = "date", k: int = 6,
-                  max_from: DataFrame | None = None) -> DataFrame:
+                  max_from: DataFrame | None = None, latest: dt.date | None = None) -> DataFrame:
     """Entities of ``df`` whose window does not hold exactly ``k`` rows, with the count found
     (0 for entities without a row in the window)."""
-    counts = in_panel_window(df, date, k, max_from).groupBy(entity).agg(
+    counts = in_panel_window(df, date, k, max_from, latest).groupBy(entity).agg(
         F.count(F.lit(1)).alias("n_rows"))
     entities = df.select(entity).where(F.col(entity).isNotNull()).distinct()
     return (entities.join(counts, entity, "left")

@@ -128,7 +128,7 @@ def series_forecast(series: DataFrame, models: dict, stats: DataFrame | None = N
         scored = scoring.good_rows(
             scoring.score(keyed, scoring.ModelSet.load(models), horizon, "_k")).drop("_k")
     y = normalize.denormalize(scored, stats, "y", schemas.SERIES_TARGET)
-    latest = dated.select(F.max("date")).scalar()
+    latest = F.lit(windows.latest_month(dated))
     return forecast.series_forecast(y, latest)
 
 
@@ -157,7 +157,8 @@ def panel_forecast(history_df: DataFrame, models: dict | scoring.ModelSet,
         panel = panel.checkpoint(eager=True)
     kept = filters.entity_exclude(panel, entity, exclude) if exclude else panel
     stats = normalize.fit_stats(kept, features + [target], ["year", "month"], entity=entity)
-    complete = windows.panel_window(kept, entity, "date", k, max_from=panel)
+    latest = windows.latest_month(panel)          # one-row fact, taken before the exclusion
+    complete = windows.panel_window(kept, entity, "date", k, latest=latest)
     # Fail at run time when no entity has a complete window.
     complete = complete.filter(
         F.assert_true(complete.exists(), F.lit("no entity has a complete input window")).isNull())
@@ -167,8 +168,7 @@ def panel_forecast(history_df: DataFrame, models: dict | scoring.ModelSet,
     model_set = models if isinstance(models, scoring.ModelSet) else scoring.ModelSet.load(models)
     scores = scoring.good_rows(scoring.score(tensor, model_set, horizon, entity))
     y = normalize.denormalize(scores, stats, "y", target, entity=entity)
-    latest = panel.select(F.max("date")).scalar()
-    return forecast.long_forecast(y, latest, entity, out=f"predicted_{target}")
+    return forecast.long_forecast(y, F.lit(latest), entity, out=f"predicted_{target}")
 
 
 def forecast_labels(panel_history: DataFrame, horizon: int = forecast.HORIZON,

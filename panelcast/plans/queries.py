@@ -82,8 +82,9 @@ def coverage_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- history ----------------------------------------------------------------------------
 
-def _district_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return schemas.schema_align(tv.entity_panel(spark, sf_dir), schemas.DISTRICT_HISTORY_COLUMNS)
+def _district_history(spark: SparkSession, sf_dir: str, reuse: bool = True) -> DataFrame:
+    h = schemas.schema_align(tv.entity_panel(spark, sf_dir), schemas.DISTRICT_HISTORY_COLUMNS)
+    return materialize(h) if reuse else h
 
 
 def schema_align(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,7 +137,7 @@ def merge_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def history_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    h = _district_history(spark, sf_dir)
+    h = _district_history(spark, sf_dir, reuse=False)
     order = [F.col(k).asc_nulls_last() for k in KEYS]
     return ordering.global_index(h, order, "pos")
 
@@ -271,7 +272,7 @@ def clip_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- scoring and forecast output -----------------------------------------------------------
 
 def _latest(df: DataFrame):
-    return df.select(F.max("date")).scalar()
+    return F.lit(windows.latest_month(df))
 
 
 def _panel_scores(panel: DataFrame) -> DataFrame:
