@@ -120,7 +120,7 @@ def append_new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def append_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = tv.national_series(spark, sf_dir)
+    s = _series(spark, sf_dir)
     base = s.filter(tv.before(*CUT))
     # A new monthly batch arrives without its target (the target is filled later).
     batch = s.withColumn(schemas.SERIES_TARGET, F.lit(None).cast("double"))
