@@ -15,7 +15,14 @@ from panelcast.functions.rounding import fixed_text, round_half_even
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
                 partition_by: list[str] | None = None, sort_within: list[str] | None = None) -> None:
-    """Parquet sink; ``partition_by`` (e.g. year, month) lets later reads prune whole months."""
+    """Parquet sink; ``partition_by`` (e.g. year, month) lets later reads prune whole months.
+
+    A partitioned write is preceded by a ``REBALANCE`` on the partition columns: AQE groups each
+    month's rows into few tasks (few files per month instead of one per task per month) and splits
+    a month that is larger than the advisory size over several tasks, so no month is one hot task.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
     writer = df.write.mode(mode)

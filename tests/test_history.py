@@ -88,3 +88,11 @@ def test_global_index_matches_row_number_on_many_partitions(spark):
     ref = {r.k: r.rn for r in df.select("k", (F.row_number().over(Window.orderBy("k")) - 1).alias("rn")).collect()}
     got = {r.k: r.pos for r in global_index(df, [F.col("k")]).collect()}
     assert got == ref
+
+
+def test_dense_ids_same_on_both_paths(spark):
+    from panelcast.operators.ordering import dense_ids
+    df = spark.range(0, 3000).select((F.col("id") * 37 % 1009).alias("k")).repartition(9)
+    small = {r.k: r.entity_id for r in dense_ids(df, "k").collect()}
+    large = {r.k: r.entity_id for r in dense_ids(df, "k", max_single_task=10).collect()}
+    assert small == large and sorted(small.values()) == list(range(1009))
