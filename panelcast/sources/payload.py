@@ -57,7 +57,11 @@ def payload_flatten(df: DataFrame, keys: list[str] | None = None, payload: str =
 
 def coverage_missing(dim: DataFrame, payloads: DataFrame, key: str = ENTITY,
                      payload: str = "daily", dim_key: str | None = None) -> DataFrame:
-    """Dimension rows with no usable payload (absent, or present without the ``payload`` member)."""
-    usable = payloads.filter(F.col(payload).isNotNull()).select(F.col(key).alias("_k"))
+    """Dimension rows with no usable payload (absent, or present without the ``payload`` member).
+
+    The payload keys are deduplicated first (combined map-side), so an entity with a huge number
+    of payloads reaches the anti join as one row instead of one skewed partition.
+    """
+    usable = payloads.filter(F.col(payload).isNotNull()).select(F.col(key).alias("_k")).distinct()
     dk = dim_key or key
     return dim.join(usable, dim[dk] == usable["_k"], "left_anti")
