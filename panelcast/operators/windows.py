@@ -26,18 +26,29 @@ def with_month_date(df: DataFrame, name: str = "date") -> DataFrame:
 
 
 def latest_window(df: DataFrame, order: list[str], k: int = 12, entity: str | None = None,
-                  min_rows: bool = True, pos: str = "pos") -> DataFrame:
+                  min_rows: bool = True, pos: str = "pos",
+                  require_contiguous: bool = False) -> DataFrame:
     """The last ``k`` rows by ``order`` with ``pos`` 0..k-1 in ascending time.
 
     With ``min_rows`` the query fails at run time when the series (or, per entity, the whole
-    panel) has fewer than ``k`` rows, as the single-series job requires.
+    panel) has fewer than ``k`` rows, as the single-series job requires. The window is positional
+    (no gap check) unless ``require_contiguous``, which fails a single series whose ``k`` rows
+    (ordered by year and month) do not span exactly ``k`` consecutive months.
     """
     desc = [F.col(c).desc() for c in order]
     if entity is None:
         src = df.filter(min_rows_guard(df, k, "rows for the input window").isNull()) if min_rows else df
         top = src.orderBy(*desc).limit(k)
         w = Window.orderBy(*[F.col(c).asc() for c in order])   # at most k rows
-        return top.withColumn(pos, F.row_number().over(w) - 1)
+        out = top.withColumn(pos, F.row_number().over(w) - 1)
+        if require_contiguous:
+            ym = F.col("year") * 12 + F.col("month")
+            span = Window.partitionBy()                          # the k window rows only
+            out = (out.withColumn("_span", F.max(ym).over(span) - F.min(ym).over(span))
+                      .filter(F.assert_true(F.col("_span") == F.lit(k - 1),
+                                            F.lit("input window is not contiguous")).isNull())
+                      .drop("_span"))
+        return out
     w = Window.partitionBy(entity).orderBy(*desc)
     ranked = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k)
     size = F.count(F.lit(1)).over(Window.partitionBy(entity))

@@ -136,3 +136,23 @@ def test_series_forecast_with_model_set(spark):
     assert len(via_workers) == 9
     assert sorted((r.model_name, r.date, r.predicted_demand) for r in via_workers if r.model_name != "dense") == \
         sorted((r.model_name, r.date, r.predicted_demand) for r in out)
+
+
+def test_dated_csv_reader(spark, tmp_dir):
+    p = f"{tmp_dir}/daily.csv"
+    with open(p, "w") as f:
+        f.write("district,date,temp_max,temp_min,precipitation,humidity,sunshine,month\n"
+                "A,2025-04-01,30.5,20.1,0.0,70.0,3600.0,2025_04\n")
+    df = readers.read_csv_dated(spark, p, schemas.DAILY_SCHEMA)
+    r = df.first()
+    assert str(r.date) == "2025-04-01" and r.temp_max == 30.5 and r.month == "2025_04"
+
+
+def test_no_prediction_rows_fails_the_write(spark, tmp_dir):
+    class Broken:
+        def predict(self, x):
+            raise RuntimeError("boom")
+
+    sinks.write_table(history_frame(spark), f"{tmp_dir}/hist")
+    with pytest.raises(RuntimeError, match="no prediction rows"):
+        jobs.run_panel_forecast(spark, f"{tmp_dir}/hist", {"broken": Broken()}, f"{tmp_dir}/res")  # M5

@@ -228,3 +228,21 @@ def test_year_month_stored_as_doubles_are_cast(spark):
     out = schemas.schema_align(df, ["year", "month", "ddd_demand"],
                                types={"year": T.IntegerType(), "month": T.IntegerType()})
     assert out.first() == Row(year=2017, month=1, ddd_demand=1.5)
+
+
+def test_contiguity_is_optional(spark):
+    months = [m for m in range(1, 15) if m != 7]                  # a gap inside the last 12 rows
+    p = panel(spark, [("N", 2024 + (m - 1) // 12, (m - 1) % 12 + 1, float(m)) for m in months])
+    assert windows.latest_window(p, ["year", "month"], 12).count() == 12      # T10 default
+    with pytest.raises(Exception, match="not contiguous"):
+        windows.latest_window(p, ["year", "month"], 12, require_contiguous=True).collect()
+
+
+def test_skewed_entity_rollup_is_exact(spark):
+    # One entity holds a third of all rows; partial aggregation keeps the result exact.
+    rows = [("HOT", D(2025, 4, 1 + i % 30), 1.0, 1.0, 0.01, 1.0, 60.0) for i in range(3000)]
+    rows += [(f"E{i % 60}", D(2025, 4, 1 + i % 30), 2.0, 2.0, 0.02, 2.0, 60.0) for i in range(6000)]
+    df = daily(spark, rows).repartition(16)
+    out = {r.district: r for r in rollup.monthly_rollup(df, exact_scale=2).collect()}
+    assert out["HOT"].total_precipitation == 30.0 and out["HOT"].total_sunshine_hours == 50.0
+    assert out["E0"].total_precipitation == 2.0 and len(out) == 61
