@@ -58,16 +58,19 @@ class DenseModel:
 
 @dataclass(frozen=True)
 class TabularLinear:
-    """Tabular model on flat features plus a one-hot entity block: the one-hot product is the
-    row ``entity_effects[id]``, so the one-hot matrix is never materialised."""
+    """Linear tabular model on flat features plus a one-hot entity block.
+
+    The one-hot block's weights (one ``horizon``-vector per entity) grow with the number of
+    entities, so they are not part of this object: :func:`score_tabular` joins them as an
+    ``effects`` DataFrame by entity id, and the product of a one-hot row with them is that
+    entity's vector. Only the bounded dense weights travel with the task.
+    """
     weights: tuple          # (horizon, k * f)
-    entity_effects: tuple   # (n_entities, horizon)
     bias: tuple
 
-    def predict_flat(self, flat: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    def predict_flat(self, flat: np.ndarray, effects: np.ndarray) -> np.ndarray:
         w = np.asarray(self.weights, dtype=np.float64)
-        eff = np.asarray(self.entity_effects, dtype=np.float64)
-        return flat @ w.T + eff[ids] + np.asarray(self.bias, dtype=np.float64)
+        return flat @ w.T + effects + np.asarray(self.bias, dtype=np.float64)
 
 
 @dataclass(frozen=True)
@@ -189,26 +192,38 @@ def score(df: DataFrame, models: ModelSet, horizon: int = 3, entity: str = "dist
     return df.select(entity, tensor).mapInPandas(run, schema)
 
 
-def score_tabular(df: DataFrame, model: TabularLinear, horizon: int = 3, entity: str = "district",
-                  flat: str = "flat", id_col: str = "entity_id", name: str = "tabular") -> DataFrame:
-    """Score a tabular model on flat window features plus the entity id (one-hot implied)."""
+def score_tabular(df: DataFrame, model: TabularLinear, effects: DataFrame | None = None,
+                  horizon: int = 3, entity: str = "district", flat: str = "flat",
+                  id_col: str = "entity_id", effect: str = "effect", name: str = "tabular") -> DataFrame:
+    """Score a tabular model on flat window features plus a one-hot entity block.
+
+    ``effects`` holds ``(id_col, effect array<double>[horizon])``, the one-hot block's weights;
+    it is joined by id (the planner picks broadcast or shuffle from its size). Entities without a
+    row get a zero effect.
+    """
     etype = df.schema[entity].dataType.simpleString()
     schema = f"{entity} {etype}, model string, horizon int, y double, error string"
+    src = df.select(entity, flat, id_col)
+    if effects is not None:
+        src = src.join(effects.select(id_col, effect), id_col, "left")
+    else:
+        src = src.withColumn(effect, F.lit(None).cast("array<double>"))
 
     def run(batches):
         for pdf in batches:
             if pdf.empty:
                 continue
             xs = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[flat]])
-            ids = pdf[id_col].to_numpy().astype(np.int64)
+            eff = np.stack([np.zeros(horizon) if v is None else np.asarray(v, dtype=np.float64)
+                            for v in pdf[effect]])
             try:
-                y = model.predict_flat(xs, ids)
+                y = model.predict_flat(xs, eff)
                 out = _rows_out(pdf[entity].to_numpy(), name, y, horizon, None)
             except Exception as exc:  # noqa: BLE001
                 out = _rows_out(pdf[entity].to_numpy(), name, None, horizon, f"predict: {exc}")
             yield out.rename(columns={"_e": entity})
 
-    return df.select(entity, flat, id_col).mapInPandas(run, schema)
+    return src.mapInPandas(run, schema)
 
 
 def good_rows(scores: DataFrame) -> DataFrame:

@@ -7,6 +7,9 @@ models, not forecasts anyone should use.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from panelcast.operators.scoring import LinearModel, TabularLinear
 
 HORIZON = 3
@@ -54,9 +57,15 @@ def series_models() -> dict[str, LinearModel]:
 ENTITY_EFFECT = 0.001
 
 
-def tabular_model(n_entities: int) -> TabularLinear:
-    """Linear model on the 30 flat panel features plus a one-hot entity block whose weight for
-    entity id ``i`` at horizon ``h`` is ``0.001 * i * h``."""
+def tabular_model() -> TabularLinear:
+    """Linear model on the 30 flat panel features (the dense part of the tabular stand-in)."""
     w = recency_weights(PANEL_MONTHS, N_FEATURES)
-    effects = [[ENTITY_EFFECT * i * h for h in range(1, HORIZON + 1)] for i in range(n_entities)]
-    return TabularLinear(tuple(map(tuple, w)), tuple(map(tuple, effects)), (0.0, 0.0, 0.0))
+    return TabularLinear(tuple(map(tuple, w)), (0.0, 0.0, 0.0))
+
+
+def tabular_effects(ids: DataFrame, id_col: str = "entity_id") -> DataFrame:
+    """One-hot block weights of the tabular stand-in, one row per entity id: ``0.001 * i * h``
+    at horizon ``h``. Built from the id table, so it grows with the entities on the cluster."""
+    i = F.col(id_col).cast("double")
+    eff = F.array(*[F.lit(ENTITY_EFFECT) * i * F.lit(float(h)) for h in range(1, HORIZON + 1)])
+    return ids.select(id_col, eff.alias("effect"))

@@ -336,7 +336,7 @@ SELECT district, model,
        {_r2(clamp)} AS predicted_mal_cases
 FROM dn"""
 
-    tab_w = m.tabular_model(1).weights
+    tab_w = m.tabular_model().weights
     trows = ", ".join(f"({h}, {j}, {_dbl(w)})" for h, row in enumerate(tab_w, start=1)
                       for j, w in enumerate(row) if w != 0.0)
     q["score_tabular"] = with_ctes(DAILY, PANEL, *P_VIEWS, tvr, f"tw AS (SELECT * FROM (VALUES {trows}) v(horizon, j, w))") + f"""

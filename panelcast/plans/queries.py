@@ -304,9 +304,9 @@ def score_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 def score_tabular(spark: SparkSession, sf_dir: str) -> DataFrame:
     panel = _panel(spark, sf_dir)
     t = _tensor(panel).withColumn("flat", windows.flat_window("tensor", len(schemas.MONTHLY_FEATURES)))
-    n = windows.entity_ids(_kept(panel), schemas.ENTITY).count()   # one-row fact: one-hot width
-    out = scoring.good_rows(scoring.score_tabular(t, models.tabular_model(n), forecast.HORIZON,
-                                                  schemas.ENTITY))
+    effects = models.tabular_effects(windows.entity_ids(_kept(panel), schemas.ENTITY))
+    out = scoring.good_rows(scoring.score_tabular(t, models.tabular_model(), effects,
+                                                  forecast.HORIZON, schemas.ENTITY))
     return out.withColumn("y", _r6("y"))
 
 

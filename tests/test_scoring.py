@@ -85,9 +85,10 @@ def test_spark_ml_scoring_on_flat_features_with_one_hot(spark):
 
 
 def test_tabular_one_hot_effect(spark):
-    rows = [("A", 0, [1.0] * 30), ("B", 2, [0.0] * 30)]
+    rows = [("A", 0, [1.0] * 30), ("B", 2, [0.0] * 30), ("C", 9, [0.0] * 30)]
     df = spark.createDataFrame(rows, "district string, entity_id int, flat array<double>")
-    m = scoring.TabularLinear(scoring.as_tuple(np.ones((3, 30))),
-                              scoring.as_tuple(np.array([[0, 0, 0], [1, 1, 1], [5, 6, 7]])), (0.0, 0.0, 0.0))
-    got = {(r.district, r.horizon): r.y for r in scoring.score_tabular(df, m).collect()}
-    assert got[("A", 1)] == 30.0 and got[("B", 3)] == 7.0
+    effects = spark.createDataFrame([(0, [0.0, 0.0, 0.0]), (1, [1.0, 1.0, 1.0]), (2, [5.0, 6.0, 7.0])],
+                                    "entity_id int, effect array<double>")
+    m = scoring.TabularLinear(scoring.as_tuple(np.ones((3, 30))), (0.0, 0.0, 0.0))
+    got = {(r.district, r.horizon): r.y for r in scoring.score_tabular(df, m, effects).collect()}
+    assert got[("A", 1)] == 30.0 and got[("B", 3)] == 7.0 and got[("C", 2)] == 0.0
