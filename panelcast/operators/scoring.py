@@ -148,26 +148,37 @@ def _worker_models(specs: dict) -> dict:
     return _WORKER_CACHE[key]
 
 
-def _rows_out(entity_vals, name, y, horizon, error):
+def _rows_out(entity_vals, name, y, horizon, error, carry=None):
     n = len(entity_vals)
+    carry = carry if carry is not None else {}
     if error is not None:
-        return pd.DataFrame({"_e": entity_vals, "model": name, "horizon": np.zeros(n, dtype=np.int32),
-                             "y": np.full(n, np.nan), "error": error})
-    return pd.DataFrame({
+        out = {"_e": entity_vals, "model": name, "horizon": np.zeros(n, dtype=np.int32),
+               "y": np.full(n, np.nan), "error": error}
+        out.update({c: np.asarray(v) for c, v in carry.items()})
+        return pd.DataFrame(out)
+    out = {
         "_e": np.repeat(np.asarray(entity_vals), horizon),
         "model": name,
         "horizon": np.tile(np.arange(1, horizon + 1, dtype=np.int32), n),
         "y": y.reshape(-1),
         "error": None,
-    })
+    }
+    out.update({c: np.repeat(np.asarray(v), horizon) for c, v in carry.items()})
+    return pd.DataFrame(out)
 
 
 def score(df: DataFrame, models: ModelSet, horizon: int = 3, entity: str = "district",
-          tensor: str = "tensor") -> DataFrame:
-    """Rows ``(entity, model, horizon, y, error)``; ``error`` is NULL for good rows."""
+          tensor: str = "tensor", carry: list[str] | None = None) -> DataFrame:
+    """Rows ``(entity, model, horizon, y, error[, carry...])``; ``error`` is NULL for good rows.
+
+    ``carry`` names per-entity columns (such as the target's statistics) passed through to every
+    output row of that entity, so later steps need no join back.
+    """
     specs = dict(models.specs)
+    carry = list(carry or [])
     etype = df.schema[entity].dataType.simpleString()
     schema = f"{entity} {etype}, model string, horizon int, y double, error string"
+    schema += "".join(f", {c} {df.schema[c].dataType.simpleString()}" for c in carry)
 
     def run(batches):
         built = _worker_models(specs)
@@ -176,20 +187,21 @@ def score(df: DataFrame, models: ModelSet, horizon: int = 3, entity: str = "dist
                 continue
             x = np.stack([np.stack(list(rows)) for rows in pdf[tensor]]).astype(np.float64)
             keys = pdf[entity].to_numpy()
+            extra = {c: pdf[c].to_numpy() for c in carry}
             for name, model in built.items():
                 if isinstance(model, Exception):
-                    out = _rows_out(keys, name, None, horizon, f"load: {model}")
+                    out = _rows_out(keys, name, None, horizon, f"load: {model}", extra)
                 else:
                     try:
                         y = np.asarray(model.predict(x), dtype=np.float64)
                         if y.shape != (len(x), horizon):
                             raise ValueError(f"expected shape {(len(x), horizon)}, got {y.shape}")
-                        out = _rows_out(keys, name, y, horizon, None)
+                        out = _rows_out(keys, name, y, horizon, None, extra)
                     except Exception as exc:  # noqa: BLE001 - isolate one model's failure
-                        out = _rows_out(keys, name, None, horizon, f"predict: {exc}")
+                        out = _rows_out(keys, name, None, horizon, f"predict: {exc}", extra)
                 yield out.rename(columns={"_e": entity})
 
-    return df.select(entity, tensor).mapInPandas(run, schema)
+    return df.select(entity, tensor, *carry).mapInPandas(run, schema)
 
 
 def score_tabular(df: DataFrame, model: TabularLinear, effects: DataFrame | None = None,

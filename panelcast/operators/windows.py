@@ -100,9 +100,10 @@ def panel_skipped(df: DataFrame, entity: str, date: str = "date", k: int = 6,
                     .filter(F.col("n_rows") != k))
 
 
-def entity_ids(df: DataFrame, entity: str, name: str = "entity_id") -> DataFrame:
-    """Dense 0-based ids over the sorted distinct entities (distributed; see ``ordering``)."""
-    return dense_ids(df, entity, name)
+def entity_ids(df: DataFrame, entity: str, name: str = "entity_id",
+               n_distinct: int | None = None) -> DataFrame:
+    """Dense 0-based ids over the sorted distinct entities (see ``ordering.dense_ids``)."""
+    return dense_ids(df, entity, name, n_distinct=n_distinct)
 
 
 def window_tensor(df: DataFrame, entity: str | None, date: str, features: list[str],

@@ -23,6 +23,7 @@ from panelcast import schemas
 from panelcast.functions.periods import LABEL_FORMATS, period_name, previous_month_bounds
 from panelcast.operators import (filters, forecast, history, normalize, rollup, scoring, validate,
                                  windows)
+from panelcast.operators import panel as panel_ops
 from panelcast.sources import payload as payloads_mod
 from panelcast.session import checkpoint_dir
 from panelcast.sources import sinks
@@ -146,9 +147,12 @@ def panel_forecast(history_df: DataFrame, models: dict | scoring.ModelSet,
                    exclude: list | None = None, checkpoint_input: bool = False) -> DataFrame:
     """Long-format panel forecast ``(entity, model, month, predicted_<target>)``.
 
-    ``checkpoint_input`` writes the dated panel to the shared checkpoint folder first; use it when
-    ``history_df`` is derived from raw facts rather than read from a stored history table, so the
-    statistics, window, ids and latest-month branches do not each recompute it.
+    Plan: the latest month (one-row fact, before the exclusion) -> one entity-partitioned pass
+    for statistics and the z-scored window tensor (``operators.panel``) -> dense ids (joined) ->
+    model set in ``mapInPandas`` with the target statistics carried through -> de-normalise,
+    clamp, round, label. ``checkpoint_input`` writes the dated panel to the shared checkpoint
+    folder first; use it when ``history_df`` is derived from raw facts rather than read from a
+    stored history table.
     """
     features = features or schemas.MONTHLY_FEATURES
     panel = windows.with_month_date(history_df)
@@ -156,19 +160,25 @@ def panel_forecast(history_df: DataFrame, models: dict | scoring.ModelSet,
         checkpoint_dir(panel.sparkSession)
         panel = panel.checkpoint(eager=True)
     kept = filters.entity_exclude(panel, entity, exclude) if exclude else panel
-    stats = normalize.fit_stats(kept, features + [target], ["year", "month"], entity=entity)
-    latest = windows.latest_month(panel)          # one-row fact, taken before the exclusion
-    complete = windows.panel_window(kept, entity, "date", k, latest=latest)
-    # Fail at run time when no entity has a complete window.
-    complete = complete.filter(
-        F.assert_true(complete.exists(), F.lit("no entity has a complete input window")).isNull())
-    z = normalize.normalize(complete, stats, features, entity=entity)
-    ids = windows.entity_ids(kept, entity)
-    tensor = windows.window_tensor(z.join(ids, entity), entity, "date", features, "entity_id")
+    # One-row facts in one job: the latest month of the whole panel (before the exclusion) and
+    # the number of kept entities (sizes the id assignment).
+    kept_key = F.col(entity) if not exclude else F.when(~F.col(entity).isin(list(exclude)), F.col(entity))
+    facts = panel.agg(F.max("date").alias("latest"), F.count_distinct(kept_key).alias("n")).first()
+    latest = facts["latest"]
+    if latest is None:
+        raise ValueError("the history is empty")
+    inputs = panel_ops.panel_inputs(kept, entity, features, target, latest, k)
+    ids = windows.entity_ids(kept, entity, n_distinct=facts["n"])
+    with_id = F.transform("tensor", lambda r: F.concat(r, F.array(F.col("entity_id").cast("double"))))
+    tensor = inputs.join(ids, entity).withColumn("tensor", with_id)
     model_set = models if isinstance(models, scoring.ModelSet) else scoring.ModelSet.load(models)
-    scores = scoring.good_rows(scoring.score(tensor, model_set, horizon, entity))
-    y = normalize.denormalize(scores, stats, "y", target, entity=entity)
-    return forecast.long_forecast(y, F.lit(latest), entity, out=f"predicted_{target}")
+    scores = scoring.good_rows(scoring.score(tensor, model_set, horizon, entity,
+                                             carry=["target_mean", "target_std"]))
+    y = scores.withColumn("y", F.col("y") * F.col("target_std") + F.col("target_mean"))
+    out = forecast.long_forecast(y, F.lit(latest), entity, out=f"predicted_{target}")
+    # Fail at run time, before any output row, when no entity has a complete input window.
+    return out.filter(F.assert_true(inputs.exists(),
+                                    F.lit("no entity has a complete input window")).isNull())
 
 
 def forecast_labels(panel_history: DataFrame, horizon: int = forecast.HORIZON,
