@@ -169,16 +169,17 @@ def panel_forecast(history_df: DataFrame, models: dict | scoring.ModelSet,
         raise ValueError("the history is empty")
     inputs = panel_ops.panel_inputs(kept, entity, features, target, latest, k)
     ids = windows.entity_ids(kept, entity, n_distinct=facts["n"])
+    # Fail at run time when no entity has a complete input window. The guard sits on the id
+    # table, which has a row for every kept entity, so it is evaluated even when no window is.
+    ids = ids.filter(F.assert_true(inputs.exists(),
+                                   F.lit("no entity has a complete input window")).isNull())
     with_id = F.transform("tensor", lambda r: F.concat(r, F.array(F.col("entity_id").cast("double"))))
     tensor = inputs.join(ids, entity).withColumn("tensor", with_id)
     model_set = models if isinstance(models, scoring.ModelSet) else scoring.ModelSet.load(models)
     scores = scoring.good_rows(scoring.score(tensor, model_set, horizon, entity,
                                              carry=["target_mean", "target_std"]))
     y = scores.withColumn("y", F.col("y") * F.col("target_std") + F.col("target_mean"))
-    out = forecast.long_forecast(y, F.lit(latest), entity, out=f"predicted_{target}")
-    # Fail at run time, before any output row, when no entity has a complete input window.
-    return out.filter(F.assert_true(inputs.exists(),
-                                    F.lit("no entity has a complete input window")).isNull())
+    return forecast.long_forecast(y, F.lit(latest), entity, out=f"predicted_{target}")
 
 
 def forecast_labels(panel_history: DataFrame, horizon: int = forecast.HORIZON,
