@@ -23,7 +23,6 @@ from panelcast import schemas
 from panelcast.functions.periods import LABEL_FORMATS, period_name, previous_month_bounds
 from panelcast.operators import (filters, forecast, history, normalize, rollup, scoring, validate,
                                  windows)
-from panelcast.operators import panel as panel_ops
 from panelcast.sources import payload as payloads_mod
 from panelcast.session import checkpoint_dir
 from panelcast.sources import sinks
@@ -147,12 +146,14 @@ def panel_forecast(history_df: DataFrame, models: dict | scoring.ModelSet,
                    exclude: list | None = None, checkpoint_input: bool = False) -> DataFrame:
     """Long-format panel forecast ``(entity, model, month, predicted_<target>)``.
 
-    Plan: the latest month (one-row fact, before the exclusion) -> one entity-partitioned pass
-    for statistics and the z-scored window tensor (``operators.panel``) -> dense ids (joined) ->
-    model set in ``mapInPandas`` with the target statistics carried through -> de-normalise,
-    clamp, round, label. ``checkpoint_input`` writes the dated panel to the shared checkpoint
-    folder first; use it when ``history_df`` is derived from raw facts rather than read from a
-    stored history table.
+    Plan: one-row facts (latest month before the exclusion, number of kept entities) in one job
+    -> first-60 % statistics (the one pass over the whole history: a window and a codegen hash
+    aggregate on the same entity partitioning) -> complete 6-month windows (only the window
+    months are read further) -> z-scores -> dense ids -> ``k x f`` tensors with the target's
+    statistics joined at entity grain -> model set in ``mapInPandas`` carrying those statistics
+    -> de-normalise, clamp, round, label. ``checkpoint_input`` writes the dated panel to the
+    shared checkpoint folder first; use it when ``history_df`` is derived from raw facts rather
+    than read from a stored history table.
     """
     features = features or schemas.MONTHLY_FEATURES
     panel = windows.with_month_date(history_df)
@@ -160,21 +161,24 @@ def panel_forecast(history_df: DataFrame, models: dict | scoring.ModelSet,
         checkpoint_dir(panel.sparkSession)
         panel = panel.checkpoint(eager=True)
     kept = filters.entity_exclude(panel, entity, exclude) if exclude else panel
-    # One-row facts in one job: the latest month of the whole panel (before the exclusion) and
-    # the number of kept entities (sizes the id assignment).
     kept_key = F.col(entity) if not exclude else F.when(~F.col(entity).isin(list(exclude)), F.col(entity))
     facts = panel.agg(F.max("date").alias("latest"), F.count_distinct(kept_key).alias("n")).first()
     latest = facts["latest"]
     if latest is None:
         raise ValueError("the history is empty")
-    inputs = panel_ops.panel_inputs(kept, entity, features, target, latest, k)
+
+    stats = normalize.fit_stats(kept, features + [target], ["year", "month"], entity=entity)
+    complete = windows.panel_window(kept, entity, "date", k, latest=latest)
+    z = normalize.normalize(complete, stats, features, entity=entity)
     ids = windows.entity_ids(kept, entity, n_distinct=facts["n"])
     # Fail at run time when no entity has a complete input window. The guard sits on the id
     # table, which has a row for every kept entity, so it is evaluated even when no window is.
-    ids = ids.filter(F.assert_true(inputs.exists(),
+    ids = ids.filter(F.assert_true(complete.exists(),
                                    F.lit("no entity has a complete input window")).isNull())
-    with_id = F.transform("tensor", lambda r: F.concat(r, F.array(F.col("entity_id").cast("double"))))
-    tensor = inputs.join(ids, entity).withColumn("tensor", with_id)
+    tensor = windows.window_tensor(z.join(ids, entity), entity, "date", features, "entity_id")
+    target_stats = stats.select(entity, F.col(f"{target}_mean").alias("target_mean"),
+                                F.col(f"{target}_std").alias("target_std"))
+    tensor = tensor.join(target_stats, entity)
     model_set = models if isinstance(models, scoring.ModelSet) else scoring.ModelSet.load(models)
     scores = scoring.good_rows(scoring.score(tensor, model_set, horizon, entity,
                                              carry=["target_mean", "target_std"]))

@@ -158,12 +158,12 @@ def test_no_prediction_rows_fails_the_write(spark, tmp_dir):
         jobs.run_panel_forecast(spark, f"{tmp_dir}/hist", {"broken": Broken()}, f"{tmp_dir}/res")  # M5
 
 
-def test_fused_panel_job_equals_operator_composition(spark):
+def test_panel_job_equals_registered_long_forecast(spark):
     from panelcast.plans import queries as Q
     sf = "/root/testdata/sf0.01"
-    fused = jobs.panel_forecast_frame(spark, sf)
+    job = jobs.panel_forecast_frame(spark, sf)
     composed = Q.long_forecast(spark, sf)
-    a = sorted(tuple(r) for r in fused.collect())
+    a = sorted(tuple(r) for r in job.collect())
     b = sorted(tuple(r) for r in composed.collect())
     assert len(a) == len(b) > 0
     for x, y in zip(a, b):
