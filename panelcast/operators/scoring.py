@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import logging
 import sys
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -297,8 +296,6 @@ def feature_vector(df: DataFrame, flat: str, id_col: str, ids: DataFrame,
         "_dense", "_hot")
 
 
-ScoreFn = Callable[[np.ndarray], np.ndarray]
-
 
 def _ship_by_value() -> None:
     """Pickle this module's functions and model classes by value, so Python workers need only

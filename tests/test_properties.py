@@ -1,6 +1,5 @@
 """Property checks (Hypothesis): append idempotence, normalise/denormalise round trip, one-hot."""
 
-import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
