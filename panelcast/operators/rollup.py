@@ -112,3 +112,25 @@ def both_grains(df: DataFrame, entity: str = ENTITY, date: str = "date", rules:
     return (per_entity.withColumn("national", F.lit(0))
             .unionByName(national.select(*cols).withColumn("national", F.lit(1)))
             .select(*keys, "national", *cols[3:]))
+
+
+def monthly_rollup_by(df: DataFrame, mapping: DataFrame, key: str, group: str,
+                      date: str = "date", rules: dict | None = None,
+                      hours: tuple[str, ...] = ("sunshine",), digits: int | None = 2,
+                      exact_scale: int | None = None, row_count: str | None = None) -> DataFrame:
+    """Roll daily rows keyed by ``key`` up to (``group``, year, month) through a dimension
+    ``mapping(key, group)`` (e.g. supplier -> nation).
+
+    The facts are first reduced to (key, year, month) partials (map-side combined), so the join
+    carries one row per key and month rather than one per fact: a key holding a third of all rows
+    is a single row per month there. The mapping is joined by the planner's choice (broadcast
+    when small, shuffle otherwise), then the partials are re-aggregated per group; means stay
+    means over the daily rows. Keys without a mapping row are dropped (inner join).
+    """
+    rules = rules or ROLLUP_RULES
+    partials = _prepare(df, key, date).groupBy(key, "year", "month").agg(
+        *_partial_aggs(rules, exact_scale, row_count))
+    grouped = (partials.join(mapping.select(key, group), key, "inner")
+                       .filter(F.col(group).isNotNull())
+                       .groupBy(group, "year", "month").agg(*_reaggregate(rules, row_count)))
+    return _finalize(grouped, [group, "year", "month"], rules, exact_scale, hours, digits, row_count)

@@ -389,4 +389,39 @@ SELECT model AS model_name, {_r6('t1')} AS t1_mae, {_r6('t2')} AS t2_mae, {_r6('
        {_r6('t1 + t2 + t3')} AS mae_sum, {_r6('(t1 + t2 + t3) / 3.0')} AS mae
 FROM agg"""
 
+    q["nation_monthly_rollup"] = with_ctes(DAILY) + f"""
+SELECT n.n_name, {YM},
+  {MEASURES}
+FROM daily d
+JOIN supplier s ON s.s_suppkey = d.district
+JOIN nation n ON n.n_nationkey = s.s_nationkey
+WHERE d.district IS NOT NULL AND d.date IS NOT NULL AND n.n_name IS NOT NULL
+GROUP BY n.n_name, year(date), month(date)"""
+
+    q["latest_window_entity"] = with_ctes(DAILY, PANEL, "p AS (SELECT *, make_date(year, month, 1) AS date FROM panel)") + """
+SELECT * EXCLUDE (rn, n), n - rn AS pos FROM (
+  SELECT *, count(*) OVER (PARTITION BY district) AS n FROM (
+    SELECT *, row_number() OVER (PARTITION BY district ORDER BY year DESC, month DESC) AS rn FROM p)
+  WHERE rn <= 12)"""
+
+    seeded = "sp AS (SELECT * REPLACE (CASE WHEN month = 3 THEN NULL ELSE mal_cases END AS mal_cases) FROM panel)"
+    q["norm_fit_nulls_propagate"] = with_ctes(DAILY, PANEL, seeded, stats_cte("ns", "sp", ["mal_cases"], "district")) + f"""
+SELECT district, {_r6('mal_cases_mean')} AS mal_cases_mean, {_r6('mal_cases_std')} AS mal_cases_std FROM ns"""
+    skip = """sk AS (
+  SELECT district, avg(CASE WHEN rn <= floor(CAST(0.6 AS DOUBLE) * n) THEN mal_cases END) AS m,
+         stddev_pop(CASE WHEN rn <= floor(CAST(0.6 AS DOUBLE) * n) THEN mal_cases END) AS s
+  FROM (SELECT *, row_number() OVER (PARTITION BY district ORDER BY year, month) AS rn,
+               count(*) OVER (PARTITION BY district) AS n FROM sp)
+  GROUP BY district)"""
+    q["norm_fit_nulls_skip"] = with_ctes(DAILY, PANEL, seeded, skip) + f"""
+SELECT district, {_r6('m')} AS mal_cases_mean, {_r6('CASE WHEN s < 1e-10 THEN 1.0 ELSE s END')} AS mal_cases_std
+FROM sk"""
+
+    q["panel_window_distinct"] = with_ctes(DAILY, PANEL, "p AS (SELECT *, make_date(year, month, 1) AS date FROM panel)",
+                                           """d2 AS (SELECT * FROM p UNION ALL SELECT * FROM p WHERE date = (SELECT max(date) FROM p))""",
+                                           """wr AS (SELECT * FROM d2 WHERE date BETWEEN
+       CAST((SELECT max(date) FROM p) - INTERVAL 5 MONTH AS DATE) AND (SELECT max(date) FROM p))""") + """
+SELECT * FROM wr WHERE district IN (
+  SELECT district FROM wr GROUP BY district HAVING count(DISTINCT date) = 6)"""
+
     return q

@@ -348,6 +348,49 @@ def mae_by_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("model_name", *[_r6(c).alias(c) for c in m.columns if c != "model_name"])
 
 
+# ---- option paths --------------------------------------------------------------------------
+
+def nation_monthly_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roll-up to a dimension attribute (supplier -> nation), through supplier-month partials."""
+    return rollup.monthly_rollup_by(tv.daily_obs(spark, sf_dir), tv.supplier_nation(spark, sf_dir),
+                                    schemas.ENTITY, "n_name", exact_scale=tv.EXACT_SCALE)
+
+
+def latest_window_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last 12 months of every supplier (per-entity top-k, ``pos`` 0 = oldest)."""
+    return windows.latest_window(_panel(spark, sf_dir), SERIES_ORDER, 12, entity=schemas.ENTITY)
+
+
+def _seeded_target_nulls(panel: DataFrame) -> DataFrame:
+    # Every March target is missing: inside the 60 % prefix for most suppliers.
+    return panel.withColumn(schemas.DISTRICT_TARGET, F.when(F.col("month") == 3, F.lit(None))
+                            .otherwise(F.col(schemas.DISTRICT_TARGET)))
+
+
+def _norm_fit_nulls(spark: SparkSession, sf_dir: str, nulls: str) -> DataFrame:
+    panel = _seeded_target_nulls(tv.entity_panel(spark, sf_dir))
+    st = normalize.fit_stats(panel, [schemas.DISTRICT_TARGET], SERIES_ORDER, entity=schemas.ENTITY,
+                             nulls=nulls)
+    return st.select(schemas.ENTITY, *[_r6(c).alias(c) for c in st.columns if c != schemas.ENTITY])
+
+
+def norm_fit_nulls_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _norm_fit_nulls(spark, sf_dir, "skip")
+
+
+def norm_fit_nulls_propagate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _norm_fit_nulls(spark, sf_dir, "propagate")
+
+
+def panel_window_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Completeness by distinct months on a panel whose latest month is stored twice."""
+    panel = _panel(spark, sf_dir)
+    latest = windows.latest_month(panel)
+    doubled = panel.unionByName(panel.filter(F.col("date") == F.lit(latest)))
+    return windows.panel_window(doubled, schemas.ENTITY, "date", WINDOW, distinct_months=True,
+                                latest=latest)
+
+
 def queries() -> dict[str, Query]:
     return {
         "monthly_entity_rollup": monthly_entity_rollup,
@@ -385,6 +428,11 @@ def queries() -> dict[str, Query]:
         "long_forecast": long_forecast,
         "series_forecast": series_forecast,
         "mae_by_horizon": mae_by_horizon,
+        "nation_monthly_rollup": nation_monthly_rollup,
+        "latest_window_entity": latest_window_entity,
+        "norm_fit_nulls_skip": norm_fit_nulls_skip,
+        "norm_fit_nulls_propagate": norm_fit_nulls_propagate,
+        "panel_window_distinct": panel_window_distinct,
     }
 
 

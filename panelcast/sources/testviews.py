@@ -113,3 +113,11 @@ def before(year: int, month: int):
 def within(first: tuple[int, int], last: tuple[int, int]):
     ym = F.col("year") * 100 + F.col("month")
     return ym.between(F.lit(first[0] * 100 + first[1]), F.lit(last[0] * 100 + last[1]))
+
+
+def supplier_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dimension mapping supplier key -> nation name. The nation table has a fixed 25 rows
+    (TPC-H), so it is broadcast; the supplier table grows with the scale factor and is not."""
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias(ENTITY), "s_nationkey")
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
+    return s.join(F.broadcast(n), "s_nationkey").select(ENTITY, "n_name")
