@@ -132,6 +132,31 @@ def series_forecast(series: DataFrame, models: dict, stats: DataFrame | None = N
     return forecast.series_forecast(y, latest)
 
 
+# The merged series CSV stores year and month as doubles ("2017.0").
+SERIES_CSV_SCHEMA = T.StructType(
+    [T.StructField("year", T.DoubleType()), T.StructField("month", T.DoubleType()),
+     T.StructField(schemas.SERIES_TARGET, T.DoubleType())]
+    + [T.StructField(c, T.DoubleType()) for c in schemas.MONTHLY_FEATURES])
+
+
+def run_series_forecast(spark: SparkSession, data_path: str, models: dict, out_dir: str,
+                        params_path: str | None = None) -> str:
+    """Read the merged series CSV (and optionally a parameter file), forecast, and write
+    ``{out_dir}/ddd_predictions_<Month><Year>_...`` with ``model_name, date, predicted_demand``."""
+    from panelcast.sources import readers
+    raw = readers.read_table(spark, data_path, SERIES_CSV_SCHEMA)
+    series = schemas.schema_align(raw, ["year", "month"] + schemas.NATIONAL_HISTORY_COLUMNS,
+                                  types={"year": T.IntegerType(), "month": T.IntegerType()})
+    stats = (readers.read_params(spark, params_path, schemas.NATIONAL_HISTORY_COLUMNS)
+             if params_path else None)
+    out = series_forecast(series, models, stats)
+    path = sinks.forecast_path(out_dir, "ddd_predictions", forecast_labels(series, style="joined"))
+    sinks.write_csv(out.withColumn("date", F.date_format("date", "yyyy-MM-dd")), path)
+    if spark.read.option("header", True).csv(path).isEmpty():
+        raise RuntimeError("no prediction rows were written")
+    return path
+
+
 def _fail_unless(report: DataFrame):
     """Filter condition that keeps every row, or fails at run time when a check failed."""
     failed = report.filter(~F.col("passed"))

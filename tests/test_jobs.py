@@ -168,3 +168,21 @@ def test_panel_job_equals_registered_long_forecast(spark):
     assert len(a) == len(b) > 0
     for x, y in zip(a, b):
         assert x[:3] == y[:3] and x[3] == pytest.approx(y[3], abs=0.011)
+
+
+def test_run_series_forecast_reads_csv_and_params(spark, tmp_dir):
+    rng = np.random.default_rng(9)
+    lines = ["year,month,ddd_demand," + ",".join(schemas.MONTHLY_FEATURES)]
+    for i in range(27):                                   # 2023-01 .. 2025-03, last 3 targets empty
+        y, m = 2023 + i // 12, i % 12 + 1
+        target = "" if i >= 24 else f"{rng.uniform(1, 2):.4f}"
+        lines.append(f"{float(y)},{float(m)},{target}," + ",".join(f"{v:.2f}" for v in rng.uniform(0, 50, 5)))
+    with open(f"{tmp_dir}/merged.csv", "w") as f:
+        f.write("\n".join(lines) + "\n")
+    with open(f"{tmp_dir}/params.json", "w") as f:
+        json.dump({"mean": [25, 25, 25, 25, 25, 1.5], "std": [10, 10, 10, 10, 10, 0.3]}, f)
+    path = jobs.run_series_forecast(spark, f"{tmp_dir}/merged.csv", models.series_models(),
+                                    f"{tmp_dir}/res", params_path=f"{tmp_dir}/params.json")
+    assert path.endswith("ddd_predictions_April2025_May2025_June2025")
+    out = spark.read.option("header", True).csv(path).collect()
+    assert len(out) == 6 and {r.date for r in out} == {"2025-04-01", "2025-05-01", "2025-06-01"}
