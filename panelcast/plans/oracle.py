@@ -161,7 +161,7 @@ FROM daily WHERE date IS NOT NULL
 GROUP BY ALL"""
 
     q["monthly_both_grains"] = with_ctes(DAILY) + f"""
-SELECT district, {YM}, CAST(grouping(district) AS INTEGER) AS national,
+SELECT CAST(district AS VARCHAR) AS district, {YM}, CAST(grouping(district) AS INTEGER) AS national,
   {MEASURES}
 FROM daily {KEEP}
 GROUP BY GROUPING SETS ((district, year(date), month(date)), (year(date), month(date)))"""
@@ -174,7 +174,7 @@ FROM (SELECT l_orderkey, l_linenumber, l_extendedprice * l_discount AS x,
       FROM lineitem)"""
 
     q["period_filter"] = with_ctes(DAILY) + """
-SELECT *, '2001_08' AS period FROM daily
+SELECT * REPLACE (strftime(date, '%Y-%m-%d') AS date), '2001_08' AS period FROM daily
 WHERE date BETWEEN DATE '2001-08-01' AND DATE '2001-08-31'"""
 
     q["payload_flatten"] = """
@@ -279,7 +279,7 @@ SELECT year, month, pos, {", ".join(_r6(f"(lw.{c} - gs.{c}_mean) / gs.{c}_std")
 FROM lw, gs"""
 
     q["panel_window"] = with_ctes(DAILY, PANEL, "p AS (SELECT *, make_date(year, month, 1) AS date FROM panel)") + """
-SELECT * EXCLUDE (n) FROM (
+SELECT * EXCLUDE (n) REPLACE (strftime(date, '%Y-%m-%d') AS date) FROM (
   SELECT *, count(*) OVER (PARTITION BY district) AS n FROM p
   WHERE date BETWEEN CAST((SELECT max(date) FROM p) - INTERVAL 5 MONTH AS DATE) AND (SELECT max(date) FROM p))
 WHERE n = 6"""
@@ -290,7 +290,8 @@ FROM (SELECT DISTINCT district FROM px) e
 LEFT JOIN (SELECT district, count(*) AS n FROM wr GROUP BY district) c USING (district)
 WHERE coalesce(c.n, 0) <> 6"""
 
-    q["entity_exclude"] = with_ctes(DAILY, PANEL, *P_VIEWS) + "SELECT * FROM w"
+    q["entity_exclude"] = with_ctes(DAILY, PANEL, *P_VIEWS) + \
+        "SELECT * REPLACE (strftime(date, '%Y-%m-%d') AS date) FROM w"
 
     q["entity_ids"] = with_ctes(DAILY, PANEL, *P_VIEWS) + "SELECT * FROM ids"
 
@@ -349,7 +350,7 @@ GROUP BY ft.district, tw.horizon, ft.entity_id"""
 
     q["forecast_months"] = with_ctes(DAILY, PANEL, "p AS (SELECT *, make_date(year, month, 1) AS date FROM panel)") + """
 SELECT district, h AS horizon, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
-       d AS date, strftime(d, '%B %Y') AS label_space, strftime(d, '%B%Y') AS label_joined,
+       strftime(d, '%Y-%m-%d') AS date, strftime(d, '%B %Y') AS label_space, strftime(d, '%B%Y') AS label_joined,
        strftime(d, '%B_%Y') AS label_underscore, strftime(d, '%Y-%m-%d') AS label_iso,
        strftime(d, '%Y_%m') AS label_period
 FROM (SELECT district, h, CAST(last + to_months(h) AS DATE) AS d
@@ -366,7 +367,8 @@ FROM (SELECT district, h, CAST(last + to_months(h) AS DATE) AS d
   JOIN sb ON sb.model = sw.model AND sb.horizon = sw.horizon
   GROUP BY sw.model, sw.horizon, sb.b)""") + f"""
 SELECT ssc.model AS model_name,
-       CAST((SELECT max(make_date(year, month, 1)) FROM national) + to_months(ssc.horizon) AS DATE) AS date,
+       strftime(CAST((SELECT max(make_date(year, month, 1)) FROM national) + to_months(ssc.horizon) AS DATE),
+                '%Y-%m-%d') AS date,
        round_even((ssc.y * gs.ddd_demand_std + gs.ddd_demand_mean) * 10000.0, 0) / 10000.0 AS predicted_demand
 FROM ssc, gs"""
 
@@ -399,7 +401,7 @@ WHERE d.district IS NOT NULL AND d.date IS NOT NULL AND n.n_name IS NOT NULL
 GROUP BY n.n_name, year(date), month(date)"""
 
     q["latest_window_entity"] = with_ctes(DAILY, PANEL, "p AS (SELECT *, make_date(year, month, 1) AS date FROM panel)") + """
-SELECT * EXCLUDE (rn, n), n - rn AS pos FROM (
+SELECT * EXCLUDE (rn, n) REPLACE (strftime(date, '%Y-%m-%d') AS date), n - rn AS pos FROM (
   SELECT *, count(*) OVER (PARTITION BY district) AS n FROM (
     SELECT *, row_number() OVER (PARTITION BY district ORDER BY year DESC, month DESC) AS rn FROM p)
   WHERE rn <= 12)"""
@@ -421,7 +423,7 @@ FROM sk"""
                                            """d2 AS (SELECT * FROM p UNION ALL SELECT * FROM p WHERE date = (SELECT max(date) FROM p))""",
                                            """wr AS (SELECT * FROM d2 WHERE date BETWEEN
        CAST((SELECT max(date) FROM p) - INTERVAL 5 MONTH AS DATE) AND (SELECT max(date) FROM p))""") + """
-SELECT * FROM wr WHERE district IN (
+SELECT * REPLACE (strftime(date, '%Y-%m-%d') AS date) FROM wr WHERE district IN (
   SELECT district FROM wr GROUP BY district HAVING count(DISTINCT date) = 6)"""
 
     return q

@@ -32,6 +32,14 @@ CUT = (2001, 6)
 OVERLAP = ((2001, 5), (2001, 6))
 
 
+def as_text_dates(df: DataFrame) -> DataFrame:
+    """Registered outputs carry dates as ISO ``yyyy-MM-dd`` text, the form the jobs write to CSV;
+    it also keeps the cross-engine comparison independent of how each engine's client types a
+    DATE (``datetime.date`` vs a timestamp)."""
+    return df.withColumns({f.name: F.date_format(f.name, "yyyy-MM-dd") for f in df.schema.fields
+                           if f.dataType.typeName() == "date"})
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and cut its lineage (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
@@ -50,7 +58,9 @@ def monthly_national_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def monthly_both_grains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollup.both_grains(tv.daily_obs(spark, sf_dir), exact_scale=tv.EXACT_SCALE)
+    out = rollup.both_grains(tv.daily_obs(spark, sf_dir), exact_scale=tv.EXACT_SCALE)
+    # The entity key is NULL on national rows; as text it compares the same in both engines.
+    return out.withColumn(schemas.ENTITY, F.col(schemas.ENTITY).cast("string"))
 
 
 def round_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +73,7 @@ def round_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def period_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filters.period_filter(tv.daily_obs(spark, sf_dir), "date", AS_OF)
+    return as_text_dates(filters.period_filter(tv.daily_obs(spark, sf_dir), "date", AS_OF))
 
 
 # ---- payloads ---------------------------------------------------------------------------
@@ -218,7 +228,7 @@ def entity_norm_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def panel_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return windows.panel_window(_panel(spark, sf_dir), schemas.ENTITY, "date", WINDOW)
+    return as_text_dates(windows.panel_window(_panel(spark, sf_dir), schemas.ENTITY, "date", WINDOW))
 
 
 def panel_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,7 +237,7 @@ def panel_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entity_exclude(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _complete(_panel(spark, sf_dir))
+    return as_text_dates(_complete(_panel(spark, sf_dir)))
 
 
 def entity_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -286,8 +296,8 @@ def _panel_forecast(panel: DataFrame) -> DataFrame:
 
 
 def forecast_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return forecast.forecast_months(_panel(spark, sf_dir), "date", forecast.HORIZON,
-                                    entity=schemas.ENTITY)
+    return as_text_dates(forecast.forecast_months(_panel(spark, sf_dir), "date", forecast.HORIZON,
+                                                  entity=schemas.ENTITY))
 
 
 def score_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -327,7 +337,7 @@ def series_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = windows.window_tensor(z, None, "date", schemas.MONTHLY_FEATURES)
     scores = scoring.linear_scores(t, models.series_models(), F.flatten("tensor"), [])
     y = normalize.denormalize(scores, stats, "y", schemas.SERIES_TARGET)
-    return forecast.series_forecast(y, _latest(series))
+    return as_text_dates(forecast.series_forecast(y, _latest(series)))
 
 
 def mae_by_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -358,7 +368,8 @@ def nation_monthly_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def latest_window_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last 12 months of every supplier (per-entity top-k, ``pos`` 0 = oldest)."""
-    return windows.latest_window(_panel(spark, sf_dir), SERIES_ORDER, 12, entity=schemas.ENTITY)
+    return as_text_dates(windows.latest_window(_panel(spark, sf_dir), SERIES_ORDER, 12,
+                                               entity=schemas.ENTITY))
 
 
 def _seeded_target_nulls(panel: DataFrame) -> DataFrame:
@@ -387,8 +398,8 @@ def panel_window_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     panel = _panel(spark, sf_dir)
     latest = windows.latest_month(panel)
     doubled = panel.unionByName(panel.filter(F.col("date") == F.lit(latest)))
-    return windows.panel_window(doubled, schemas.ENTITY, "date", WINDOW, distinct_months=True,
-                                latest=latest)
+    return as_text_dates(windows.panel_window(doubled, schemas.ENTITY, "date", WINDOW,
+                                              distinct_months=True, latest=latest))
 
 
 def queries() -> dict[str, Query]:
