@@ -51,23 +51,29 @@ def fit_stats(df: DataFrame, features: list[str], order: list[str], entity: str
     return stats.select(*out)
 
 
-def _stat_lookup(df: DataFrame, stats: DataFrame, entity: str | None):
+def stats_row(stats: DataFrame) -> dict:
+    """The single statistics row of a global fit, fetched once (a one-row fact)."""
+    row = stats.first()
+    if row is None:
+        raise ValueError("no statistics row")
+    return row.asDict()
+
+
+def _stat_lookup(df: DataFrame, stats: DataFrame | dict, entity: str | None):
     """Return (frame, getter) where getter(name) is the stat column for each row.
 
     With an entity the stats are joined on it (the planner picks broadcast or a shuffle join from
     the size). Without one the stats are a single row of ``2 x features`` numbers (the global
-    parameter vector): fetched once and applied as literals.
+    parameter vector), applied as literals; pass the row from :func:`stats_row` to fetch it once
+    for several steps.
     """
     if entity:
         return df.join(stats, entity, "inner"), F.col
-    row = stats.first()
-    if row is None:
-        raise ValueError("no statistics row")
-    values = row.asDict()
+    values = stats if isinstance(stats, dict) else stats_row(stats)
     return df, lambda name: F.lit(values[name]).cast("double")
 
 
-def normalize(df: DataFrame, stats: DataFrame, features: list[str], entity: str | None = None,
+def normalize(df: DataFrame, stats: DataFrame | dict, features: list[str], entity: str | None = None,
               prefix: str = "") -> DataFrame:
     """Replace each feature by its z-score (``prefix`` renames the outputs)."""
     joined, stat = _stat_lookup(df, stats, entity)
@@ -76,7 +82,7 @@ def normalize(df: DataFrame, stats: DataFrame, features: list[str], entity: str
     return joined.select(*keep, *[v.alias(k) for k, v in z.items()])
 
 
-def denormalize(df: DataFrame, stats: DataFrame, value: str, target: str,
+def denormalize(df: DataFrame, stats: DataFrame | dict, value: str, target: str,
                 entity: str | None = None) -> DataFrame:
     """``value * std + mean`` of the target's statistics."""
     joined, stat = _stat_lookup(df, stats, entity)

@@ -109,19 +109,26 @@ def run_monthly_etl(spark: SparkSession, landing: str, dim: DataFrame, as_of: st
 # ---- single-series forecast ------------------------------------------------------------------
 
 def series_forecast(series: DataFrame, models: dict, stats: DataFrame | None = None,
-                    window: int = 12, horizon: int = forecast.HORIZON) -> DataFrame:
+                    window: int = 12, horizon: int = forecast.HORIZON,
+                    scorer: str = "auto") -> DataFrame:
     """``series`` has year, month, the five features and the target. ``stats`` defaults to the
-    first-60 % fit of the series itself (the published parameters are that fit)."""
+    first-60 % fit of the series itself (the published parameters are that fit).
+
+    ``scorer``: ``"columns"`` scores fixed-weight linear models as JVM expressions, ``"workers"``
+    runs any model set in ``mapInPandas``; ``"auto"`` picks columns when every model is linear.
+    """
     validated = series.filter(_fail_unless(validate.validation_report(
         series, ["year", "month", schemas.SERIES_TARGET] + schemas.MONTHLY_FEATURES,
         ["year", "month"])))
     dated = windows.with_month_date(validated)
     cols = schemas.MONTHLY_FEATURES + [schemas.SERIES_TARGET]
     stats = stats if stats is not None else normalize.fit_stats(dated, cols, ["year", "month"])
+    stats = normalize.stats_row(stats)            # the global vector: one row, fetched once
     win = windows.latest_window(dated, ["year", "month"], window)
     z = normalize.normalize(win, stats, schemas.MONTHLY_FEATURES)
     tensor = windows.window_tensor(z, None, "date", schemas.MONTHLY_FEATURES)
-    if all(isinstance(m, scoring.LinearModel) for m in models.values()):
+    linear = all(isinstance(m, scoring.LinearModel) for m in models.values())
+    if scorer == "columns" or (scorer == "auto" and linear):
         scored = scoring.linear_scores(tensor, models, F.flatten("tensor"), [])
     else:
         keyed = tensor.withColumn("_k", F.lit(0))      # the single series as one keyed row

@@ -372,6 +372,8 @@ SELECT ssc.model AS model_name,
        round_even((ssc.y * gs.ddd_demand_std + gs.ddd_demand_mean) * 10000.0, 0) / 10000.0 AS predicted_demand
 FROM ssc, gs"""
 
+    q["series_score_models"] = q["series_forecast"]
+
     q["mae_by_horizon"] = with_ctes(DAILY, PANEL, "p AS (SELECT *, make_date(year, month, 1) AS date FROM panel)",
                                     "o AS (SELECT CAST((SELECT max(date) FROM p) - INTERVAL 3 MONTH AS DATE) AS origin)",
                                     """pred AS (

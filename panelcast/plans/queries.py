@@ -331,7 +331,7 @@ def long_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def series_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = windows.with_month_date(_series(spark, sf_dir))
-    stats = _series_stats(series)
+    stats = normalize.stats_row(_series_stats(series))
     win = windows.latest_window(series, SERIES_ORDER, models.SERIES_MONTHS)
     z = normalize.normalize(win, stats, schemas.MONTHLY_FEATURES)
     t = windows.window_tensor(z, None, "date", schemas.MONTHLY_FEATURES)
@@ -340,6 +340,13 @@ def series_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_text_dates(forecast.series_forecast(y, _latest(series)))
 
 
+def series_score_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The single-series job with its model set scored in Python workers (``mapInPandas``)."""
+    from panelcast.plans import jobs
+    out = jobs.series_forecast(_series(spark, sf_dir), models.series_models(), scorer="workers")
+    return as_text_dates(out)
+
+
 def mae_by_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Backtest from the month three months before the latest: persistence and 3-month mean."""
     panel = _panel(spark, sf_dir)
@@ -438,6 +445,7 @@ def queries() -> dict[str, Query]:
         "denormalize": denormalize,
         "long_forecast": long_forecast,
         "series_forecast": series_forecast,
+        "series_score_models": series_score_models,
         "mae_by_horizon": mae_by_horizon,
         "nation_monthly_rollup": nation_monthly_rollup,
         "latest_window_entity": latest_window_entity,
