@@ -6,7 +6,9 @@ oracle statement of the same key in :mod:`panelcast.plans.oracle`.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -193,11 +195,12 @@ def series_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return z.select("year", "month", "pos", *[_r6(f).alias(f) for f in schemas.MONTHLY_FEATURES])
 
 
-def _panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dated supplier-month panel, checkpointed once: stats, windows, ids and the latest month
-    then read this small table instead of each re-aggregating lineitem (the forecast job reads a
-    stored history table the same way)."""
-    return materialize(windows.with_month_date(tv.entity_panel(spark, sf_dir)))
+def _panel(spark: SparkSession, sf_dir: str, reuse: bool = True) -> DataFrame:
+    """The dated supplier-month panel. With ``reuse`` (several consumers) it is checkpointed once:
+    stats, windows, ids and the latest month then read this small table instead of each
+    re-aggregating lineitem (the forecast job reads a stored history table the same way)."""
+    panel = windows.with_month_date(tv.entity_panel(spark, sf_dir))
+    return materialize(panel) if reuse else panel
 
 
 def _series(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,22 +211,42 @@ def _kept(panel: DataFrame) -> DataFrame:
     return filters.entity_exclude(panel, schemas.ENTITY, EXCLUDED)
 
 
+@dataclass
+class PanelCtx:
+    """The checkpointed panel and its one-row facts, fetched together in one job: the latest
+    month of the whole panel (before the exclusion) and the number of kept entities."""
+    panel: DataFrame
+    latest: dt.date
+    n_kept: int
+
+
+def _ctx(spark: SparkSession, sf_dir: str) -> PanelCtx:
+    panel = _panel(spark, sf_dir)
+    kept_key = F.when(~F.col(schemas.ENTITY).isin(EXCLUDED), F.col(schemas.ENTITY))
+    facts = panel.agg(F.max("date").alias("latest"), F.count_distinct(kept_key).alias("n")).first()
+    return PanelCtx(panel, facts["latest"], facts["n"])
+
+
+def _ids(ctx: PanelCtx) -> DataFrame:
+    return windows.entity_ids(_kept(ctx.panel), schemas.ENTITY, n_distinct=ctx.n_kept)
+
+
 def _entity_stats(panel: DataFrame) -> DataFrame:
     return normalize.fit_stats(_kept(panel), PANEL_COLS, SERIES_ORDER, entity=schemas.ENTITY)
 
 
-def _complete(panel: DataFrame) -> DataFrame:
+def _complete(ctx: PanelCtx) -> DataFrame:
     # The latest month comes from the whole panel, before the exclusion.
-    return windows.panel_window(_kept(panel), schemas.ENTITY, "date", WINDOW, max_from=panel)
+    return windows.panel_window(_kept(ctx.panel), schemas.ENTITY, "date", WINDOW, latest=ctx.latest)
 
 
-def _normalized_window(panel: DataFrame) -> DataFrame:
-    return normalize.normalize(_complete(panel), _entity_stats(panel), schemas.MONTHLY_FEATURES,
+def _normalized_window(ctx: PanelCtx) -> DataFrame:
+    return normalize.normalize(_complete(ctx), _entity_stats(ctx.panel), schemas.MONTHLY_FEATURES,
                                entity=schemas.ENTITY)
 
 
 def entity_norm_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    st = _entity_stats(_panel(spark, sf_dir))
+    st = _entity_stats(_panel(spark, sf_dir, reuse=False))
     return st.select(schemas.ENTITY, *[_r6(c).alias(c) for c in st.columns if c != schemas.ENTITY])
 
 
@@ -232,39 +255,38 @@ def panel_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def panel_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    panel = _panel(spark, sf_dir)
-    return windows.panel_skipped(_kept(panel), schemas.ENTITY, "date", WINDOW, max_from=panel)
+    ctx = _ctx(spark, sf_dir)
+    return windows.panel_skipped(_kept(ctx.panel), schemas.ENTITY, "date", WINDOW, latest=ctx.latest)
 
 
 def entity_exclude(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_text_dates(_complete(_panel(spark, sf_dir)))
+    return as_text_dates(_complete(_ctx(spark, sf_dir)))
 
 
 def entity_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return windows.entity_ids(_kept(_panel(spark, sf_dir)), schemas.ENTITY)
+    return _ids(_ctx(spark, sf_dir))
 
 
 def panel_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    z = _normalized_window(_panel(spark, sf_dir))
+    z = _normalized_window(_ctx(spark, sf_dir))
     return z.select(schemas.ENTITY, "year", "month",
                     *[_r6(f).alias(f) for f in schemas.MONTHLY_FEATURES])
 
 
-def _tensor(panel: DataFrame) -> DataFrame:
-    ids = windows.entity_ids(_kept(panel), schemas.ENTITY)
-    z = _normalized_window(panel).join(ids, schemas.ENTITY)
+def _tensor(ctx: PanelCtx) -> DataFrame:
+    z = _normalized_window(ctx).join(_ids(ctx), schemas.ENTITY)
     return windows.window_tensor(z, schemas.ENTITY, "date", schemas.MONTHLY_FEATURES, "entity_id")
 
 
 def window_tensor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = _tensor(_panel(spark, sf_dir))
+    t = _tensor(_ctx(spark, sf_dir))
     rows = t.select(schemas.ENTITY, F.posexplode("tensor").alias("t", "row"))
     return rows.select(schemas.ENTITY, "t", F.posexplode("row").alias("f", "value")).withColumn(
         "value", _r6("value"))
 
 
 def flat_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = _tensor(_panel(spark, sf_dir))
+    t = _tensor(_ctx(spark, sf_dir))
     width = WINDOW * len(schemas.MONTHLY_FEATURES)
     entries = windows.sparse_flat_entries(windows.flat_window("tensor"), "entity_id", width)
     return (t.select(schemas.ENTITY, F.inline(entries))
@@ -285,48 +307,49 @@ def _latest(df: DataFrame):
     return F.lit(windows.latest_month(df))
 
 
-def _panel_scores(panel: DataFrame) -> DataFrame:
-    t = _tensor(panel)
+def _panel_scores(ctx: PanelCtx) -> DataFrame:
+    t = _tensor(ctx)
     return scoring.linear_scores(t, models.panel_models(), F.flatten("tensor"), [schemas.ENTITY])
 
 
-def _panel_forecast(panel: DataFrame) -> DataFrame:
-    return normalize.denormalize(_panel_scores(panel), _entity_stats(panel), "y",
+def _panel_forecast(ctx: PanelCtx) -> DataFrame:
+    return normalize.denormalize(_panel_scores(ctx), _entity_stats(ctx.panel), "y",
                                  schemas.DISTRICT_TARGET, entity=schemas.ENTITY)
 
 
 def forecast_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_text_dates(forecast.forecast_months(_panel(spark, sf_dir), "date", forecast.HORIZON,
+    return as_text_dates(forecast.forecast_months(_panel(spark, sf_dir, reuse=False), "date",
+                                                  forecast.HORIZON,
                                                   entity=schemas.ENTITY))
 
 
 def score_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _panel_scores(_panel(spark, sf_dir)).withColumn("y", _r6("y"))
+    return _panel_scores(_ctx(spark, sf_dir)).withColumn("y", _r6("y"))
 
 
 def score_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = _tensor(_panel(spark, sf_dir))
+    t = _tensor(_ctx(spark, sf_dir))
     model_set = scoring.ModelSet.load(models.panel_models())
     out = scoring.good_rows(scoring.score(t, model_set, forecast.HORIZON, schemas.ENTITY))
     return out.withColumn("y", _r6("y"))
 
 
 def score_tabular(spark: SparkSession, sf_dir: str) -> DataFrame:
-    panel = _panel(spark, sf_dir)
-    t = _tensor(panel).withColumn("flat", windows.flat_window("tensor", len(schemas.MONTHLY_FEATURES)))
-    effects = models.tabular_effects(windows.entity_ids(_kept(panel), schemas.ENTITY))
+    ctx = _ctx(spark, sf_dir)
+    t = _tensor(ctx).withColumn("flat", windows.flat_window("tensor", len(schemas.MONTHLY_FEATURES)))
+    effects = models.tabular_effects(_ids(ctx))
     out = scoring.good_rows(scoring.score_tabular(t, models.tabular_model(), effects,
                                                   forecast.HORIZON, schemas.ENTITY))
     return out.withColumn("y", _r6("y"))
 
 
 def denormalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _panel_forecast(_panel(spark, sf_dir)).withColumn("y", _r6("y"))
+    return _panel_forecast(_ctx(spark, sf_dir)).withColumn("y", _r6("y"))
 
 
 def long_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    panel = _panel(spark, sf_dir)
-    return forecast.long_forecast(_panel_forecast(panel), _latest(panel), schemas.ENTITY)
+    ctx = _ctx(spark, sf_dir)
+    return forecast.long_forecast(_panel_forecast(ctx), F.lit(ctx.latest), schemas.ENTITY)
 
 
 def series_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -349,8 +372,9 @@ def series_score_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mae_by_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Backtest from the month three months before the latest: persistence and 3-month mean."""
-    panel = _panel(spark, sf_dir)
-    origin = F.add_months(_latest(panel), -forecast.HORIZON)
+    ctx = _ctx(spark, sf_dir)
+    panel = ctx.panel
+    origin = F.add_months(F.lit(ctx.latest), -forecast.HORIZON)
     target = schemas.DISTRICT_TARGET
     persistence = panel.filter(F.col("date") == origin).select(
         schemas.ENTITY, F.lit("persistence").alias("model"), F.col(target).alias("y"))
@@ -375,7 +399,7 @@ def nation_monthly_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def latest_window_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last 12 months of every supplier (per-entity top-k, ``pos`` 0 = oldest)."""
-    return as_text_dates(windows.latest_window(_panel(spark, sf_dir), SERIES_ORDER, 12,
+    return as_text_dates(windows.latest_window(_panel(spark, sf_dir, reuse=False), SERIES_ORDER, 12,
                                                entity=schemas.ENTITY))
 
 
@@ -402,8 +426,8 @@ def norm_fit_nulls_propagate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def panel_window_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Completeness by distinct months on a panel whose latest month is stored twice."""
-    panel = _panel(spark, sf_dir)
-    latest = windows.latest_month(panel)
+    ctx = _ctx(spark, sf_dir)
+    panel, latest = ctx.panel, ctx.latest
     doubled = panel.unionByName(panel.filter(F.col("date") == F.lit(latest)))
     return as_text_dates(windows.panel_window(doubled, schemas.ENTITY, "date", WINDOW,
                                               distinct_months=True, latest=latest))
