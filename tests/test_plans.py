@@ -60,4 +60,4 @@ def test_no_cartesian_or_nested_loop_join(spark, name):
     p = plan(Q.queries()[name](spark, SF), "simple")
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
     python = any(op in p for op in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas"))
-    assert python == (name in {"score_models", "score_tabular"})
+    assert python == (name in {"score_models", "score_tabular", "series_score_models"})
