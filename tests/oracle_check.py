@@ -3,7 +3,10 @@
 Comparison: column names (sorted), row count, and the sorted multiset of rows with every value
 rendered exactly (floats by ``repr``), so it is stricter than a tolerance check.
 
-    python tests/oracle_check.py [sf_dir] [query ...]
+    python tests/oracle_check.py [sf_dir] [query ...] [--pandas]
+
+``--pandas`` compares through each engine's pandas conversion instead (``toPandas()`` against
+DuckDB's ``.df()``, every cell rendered with ``str``), as a harness hashing pandas frames would.
 """
 
 from __future__ import annotations
@@ -42,6 +45,29 @@ def rows_of(columns: list[str], rows: list[tuple]) -> list[tuple]:
     return sorted(tuple(_render(r[i]) for i in order) for r in rows)
 
 
+def pandas_rows(df) -> list[tuple]:
+    df = df[sorted(df.columns)]
+
+    def cell(v):
+        if v is None or v is getattr(__import__("pandas"), "NA") or (isinstance(v, float) and math.isnan(v)):
+            return "NULL"
+        return str(v)
+    return sorted(tuple(cell(v) for v in row) for row in df.itertuples(index=False))
+
+
+def compare_pandas(spark, sf_dir: str, names: list[str] | None = None) -> dict:
+    from __spark_entry__ import oracle_sql, queries
+    qs, sqls = queries(), oracle_sql()
+    con = duck(sf_dir)
+    report = {}
+    for name in names or list(qs):
+        if name not in sqls:
+            continue
+        report[name] = pandas_rows(qs[name](spark, sf_dir).toPandas()) == pandas_rows(con.sql(sqls[name]).df())
+        print(name, {"pandas_match": report[name]}, flush=True)
+    return report
+
+
 def duck(sf_dir: str):
     import duckdb
     con = duckdb.connect()
@@ -91,9 +117,14 @@ def compare(spark, sf_dir: str, names: list[str] | None = None, verbose: bool =
 
 if __name__ == "__main__":
     from panelcast.session import get_session
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or None
+    args = [a for a in sys.argv[1:] if not a.startswith("--")]
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    names = args[1:] or None
     spark = get_session("local[8]", shuffle_partitions=8)
+    if "--pandas" in sys.argv:
+        prep = compare_pandas(spark, sf, names)
+        print(f"{sum(prep.values())}/{len(prep)} pandas match")
+        sys.exit(0)
     rep = compare(spark, sf, names)
     bad = [k for k, v in rep.items() if v["match"] is False]
     print("MISMATCH:", bad)
