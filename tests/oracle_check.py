@@ -46,10 +46,11 @@ def rows_of(columns: list[str], rows: list[tuple]) -> list[tuple]:
 
 
 def pandas_rows(df) -> list[tuple]:
+    import pandas as pd
     df = df[sorted(df.columns)]
 
     def cell(v):
-        if v is None or v is getattr(__import__("pandas"), "NA") or (isinstance(v, float) and math.isnan(v)):
+        if v is None or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
             return "NULL"
         return str(v)
     return sorted(tuple(cell(v) for v in row) for row in df.itertuples(index=False))
