@@ -42,3 +42,28 @@ def test_one_hot_rows_sum_to_one(spark, n, idx):
     i = idx.draw(st.integers(0, n - 1))
     r = spark.range(1).select(one_hot(F.lit(i), n).alias("h")).first().h
     assert len(r) == n and sum(r) == 1.0 and r[i] == 1.0
+
+
+@SETTINGS
+@given(seed=st.integers(0, 10_000), parts=st.integers(1, 9))
+def test_row_order_does_not_change_rollup_or_stats(spark, seed, parts):
+    import random
+    import datetime as dt
+    from panelcast.operators import rollup
+    rng = random.Random(7)
+    rows = [(f"E{rng.randint(0, 4)}", dt.date(2024, rng.randint(1, 12), rng.randint(1, 28)),
+             *[round(rng.uniform(0, 100), 2) for _ in range(5)]) for _ in range(120)]
+    shuffled = rows[:]
+    random.Random(seed).shuffle(shuffled)
+    sch = ("district string, date date, temp_max double, temp_min double, precipitation double, "
+           "humidity double, sunshine double")
+    a = rollup.monthly_rollup(spark.createDataFrame(rows, sch), exact_scale=2)
+    b = rollup.monthly_rollup(spark.createDataFrame(shuffled, sch).repartition(parts), exact_scale=2)
+    assert sorted(a.collect()) == sorted(b.collect())
+    sa = normalize.fit_stats(a, ["avg_temp_max"], ["year", "month"], "district")
+    sb = normalize.fit_stats(b, ["avg_temp_max"], ["year", "month"], "district")
+    key = lambda r: r.district
+    for x, y in zip(sorted(sa.collect(), key=key), sorted(sb.collect(), key=key)):
+        assert x.district == y.district
+        assert x.avg_temp_max_mean == pytest.approx(y.avg_temp_max_mean, rel=1e-12)
+        assert x.avg_temp_max_std == pytest.approx(y.avg_temp_max_std, rel=1e-9)
