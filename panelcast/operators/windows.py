@@ -113,9 +113,13 @@ def window_tensor(df: DataFrame, entity: str | None, date: str, features: list[s
     cols = [F.col(f).cast("double") for f in features]
     if id_col:
         cols.append(F.col(id_col).cast("double"))
-    keys = ([entity] if entity else []) + ([id_col] if id_col else [])
     rows = F.sort_array(F.collect_list(F.struct(F.col(date).alias("d"), F.array(*cols).alias("v"))))
-    return df.groupBy(*keys).agg(F.transform(rows, lambda r: r["v"]).alias(name))
+    # Group by the entity alone (the id is a function of it, carried with any_value), so an input
+    # already hash-partitioned by entity is not shuffled again.
+    carried = [F.any_value(id_col).alias(id_col)] if id_col else []
+    keys = [entity] if entity else []
+    out = df.groupBy(*keys).agg(*carried, F.transform(rows, lambda r: r["v"]).alias(name))
+    return out.select(*keys, *([id_col] if id_col else []), name)
 
 
 def flat_window(tensor: str = "tensor", n_features: int = 5) -> Column:
