@@ -117,10 +117,11 @@ def series_forecast(series: DataFrame, models: dict, stats: DataFrame | None = N
     ``scorer``: ``"columns"`` scores fixed-weight linear models as JVM expressions, ``"workers"``
     runs any model set in ``mapInPandas``; ``"auto"`` picks columns when every model is linear.
     """
-    validated = series.filter(_fail_unless(validate.validation_report(
-        series, ["year", "month", schemas.SERIES_TARGET] + schemas.MONTHLY_FEATURES,
-        ["year", "month"])))
-    dated = windows.with_month_date(validated)
+    # Input validation raises before any work, as the job requires (bounded report: one row per
+    # check).
+    validate.assert_valid(series, ["year", "month", schemas.SERIES_TARGET] + schemas.MONTHLY_FEATURES,
+                          ["year", "month"])
+    dated = windows.with_month_date(series)
     cols = schemas.MONTHLY_FEATURES + [schemas.SERIES_TARGET]
     stats = stats if stats is not None else normalize.fit_stats(dated, cols, ["year", "month"])
     stats = normalize.stats_row(stats)            # the global vector: one row, fetched once
@@ -164,12 +165,6 @@ def run_series_forecast(spark: SparkSession, data_path: str, models: dict, out_d
     return path
 
 
-def _fail_unless(report: DataFrame):
-    """Filter condition that keeps every row, or fails at run time when a check failed."""
-    failed = report.filter(~F.col("passed"))
-    return F.assert_true(~failed.exists(), F.lit("input validation failed")).isNull()
-
-
 # ---- panel forecast ----------------------------------------------------------------------
 
 def panel_forecast(history_df: DataFrame, models: dict | scoring.ModelSet,
@@ -202,11 +197,11 @@ def panel_forecast(history_df: DataFrame, models: dict | scoring.ModelSet,
     stats = normalize.fit_stats(kept, features + [target], ["year", "month"], entity=entity)
     complete = windows.panel_window(kept, entity, "date", k, latest=latest)
     z = normalize.normalize(complete, stats, features, entity=entity)
+    # No entity with a complete input window: fail before scoring, as a one-row fact (a lazy
+    # guard could be skipped, since AQE drops joins with an empty side without running the other).
+    if complete.isEmpty():
+        raise ValueError("no entity has a complete input window")
     ids = windows.entity_ids(kept, entity, n_distinct=facts["n"])
-    # Fail at run time when no entity has a complete input window. The guard sits on the id
-    # table, which has a row for every kept entity, so it is evaluated even when no window is.
-    ids = ids.filter(F.assert_true(complete.exists(),
-                                   F.lit("no entity has a complete input window")).isNull())
     tensor = windows.window_tensor(z.join(ids, entity), entity, "date", features, "entity_id")
     target_stats = stats.select(entity, F.col(f"{target}_mean").alias("target_mean"),
                                 F.col(f"{target}_std").alias("target_std"))

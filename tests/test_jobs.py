@@ -186,3 +186,13 @@ def test_run_series_forecast_reads_csv_and_params(spark, tmp_dir):
     assert path.endswith("ddd_predictions_April2025_May2025_June2025")
     out = spark.read.option("header", True).csv(path).collect()
     assert len(out) == 6 and {r.date for r in out} == {"2025-04-01", "2025-05-01", "2025-06-01"}
+
+
+def test_series_job_validates_before_running(spark):
+    empty = spark.createDataFrame([], "year int, month int, ddd_demand double, " +
+                                  ", ".join(f"{c} double" for c in schemas.MONTHLY_FEATURES))
+    with pytest.raises(ValueError, match="non_empty"):
+        jobs.series_forecast(empty, models.series_models())
+    missing = empty.drop("ddd_demand")
+    with pytest.raises(ValueError, match="required_columns"):
+        jobs.series_forecast(missing, models.series_models())
