@@ -67,6 +67,8 @@ def test_stream_arrival_appends_each_month_once(spark, tmp_dir):
     h = spark.read.parquet(hist)
     assert h.count() == 3
     assert h.filter("district = 'A' AND month = 4").first().avg_temp_max == 44.5
+    months = {(r.year, r.month): r.entities for r in monthly_arrival.history_months(spark, hist).collect()}
+    assert months == {(2025, 4): 2, (2025, 5): 1}
 
 
 def test_csv_reader_keeps_truncated_row(spark, tmp_dir):
