@@ -73,3 +73,47 @@ def small_batches(spark: SparkSession) -> None:
     otherwise make batches of hundreds of MB."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+
+
+def salted_least(rows: DataFrame, keys: list[str], value: str, salt: str = "salt") -> DataFrame:
+    """``keys, salt, least, n``: the least ``value`` and the number of rows of every key, once per salt
+    that the key's rows have. Rows look it up by (keys, salt), so a key that a third of all rows
+    share is met by as many tasks as there are salts, both here and in that join."""
+    local = rows.groupBy(*keys, salt).agg(F.min(value).alias("least"), F.count(F.lit(1)).alias("n"))
+    merged = local.groupBy(*keys).agg(F.min("least").alias("least"), F.sum("n").alias("n"),
+                                      F.collect_set(salt).alias("salts"))
+    return merged.select(*keys, F.explode("salts").alias(salt), "least", "n")
+
+
+def connected_components(edges: DataFrame) -> DataFrame:
+    """``node, root`` for every node of ``edges`` (a, b): the least node it is connected with.
+
+    Alternating large and small stars: every round links the larger neighbours of a node, then
+    the smaller ones, to its least neighbour. Rounds grow with the logarithm of the longest path;
+    each is written to the shared checkpoint folder and only its row count and hash sum reach
+    the driver.
+    """
+    def state(df: DataFrame):
+        return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+    def star(both: DataFrame) -> DataFrame:
+        """(node u, neighbour v) -> the same rows with the least of u and its neighbours."""
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        return both.join(least, "a")
+
+    now = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
+    now = now.checkpoint()
+    seen = state(now)
+    while seen[0]:
+        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        large = star(both).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = star(large)
+        small = (small.select(F.col("b").alias("a"), F.col("m").alias("b"))
+                 .unionByName(small.select("a", F.col("m").alias("b"))).where("a != b").distinct())
+        now = small.checkpoint()
+        if (after := state(now)) == seen:
+            break
+        seen = after
+    roots = now.select(F.col("b").alias("node")).distinct()
+    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
+        roots.select("node", F.col("node").alias("root")))

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import fan_out, salt_of, shared_path, small_batches, table
+from panelcast.llm.common import fan_out, salt_of, salted_least, shared_path, small_batches, table
 
 ARCHIVE_BYTES = 16 << 20     # an archive is closed once it is this large
 MIN_BYTES = 0
@@ -185,11 +185,8 @@ def with_originals(pages: DataFrame, min_bytes: int = MIN_BYTES, salts: int | No
     rows = pages.select("page_id", "url", payload.alias("payload")).select(
         "*", F.sha2("payload", 256).alias("key"), F.octet_length("payload").alias("size"),
         salt_of(salts, F.col("page_id")).alias("salt"))
-    local = rows.groupBy("key", "size", "salt").agg(F.min("page_id").alias("least"), F.count(F.lit(1)).alias("n"))
-    of_key = local.groupBy("key", "size").agg(F.min("least").alias("original"),
-                                              F.collect_set("salt").alias("salts"), F.sum("n").alias("n"))
-    known = of_key.select("key", "size", "original", "n", F.explode("salts").alias("salt"))
-    joined = rows.join(known, ["key", "size", "salt"])
+    joined = (rows.join(salted_least(rows, ["key", "size"], "page_id"), ["key", "size", "salt"])
+              .withColumnRenamed("least", "original"))
     revisit = (F.col("size") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("original"))
     return joined.select("page_id", "url", "payload", "size", "key", "original",
                          F.when(revisit, F.col("original")).alias("refers"))
