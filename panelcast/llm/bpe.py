@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
@@ -210,22 +211,30 @@ def decode(encoded: DataFrame, vocabulary: str, pattern: str, ids: str = "ids",
 
 
 def round_trip(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text",
-               id_of: str = "doc_id") -> DataFrame:
-    """``id_of, n_tokens, ids_sha256, decoded_sha256`` in one pass: encode, then decode the ids."""
+               id_of: str = "doc_id", keep_ids: bool = False) -> DataFrame:
+    """``id_of, n_tokens, ids_sha256, decoded_sha256`` (and ``ids``) in one pass: encode, then decode
+    the ids."""
     def make(codec: Codec, batch: pa.RecordBatch) -> pa.RecordBatch:
-        counts, of_ids, of_text = [], [], []
+        counts, of_ids, of_text, found = [], [], [], []
         for t in batch.column(1):
             ids = codec.encode(t.as_py())
             counts.append(len(ids))
             of_ids.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
             of_text.append(hashlib.sha256(codec.decode(ids)).hexdigest())
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()),
-             pa.array(of_text, pa.string())], [id_of, "n_tokens", "ids_sha256", "decoded_sha256"])
+            if keep_ids:
+                found.append(pa.array(ids, pa.int32()))
+        columns = {id_of: batch.column(0), "n_tokens": pa.array(counts, pa.int64()),
+                   "ids_sha256": pa.array(of_ids, pa.string()), "decoded_sha256": pa.array(of_text, pa.string())}
+        if keep_ids:
+            columns["ids"] = pa.ListArray.from_arrays(
+                pa.array([0, *itertools.accumulate(counts)], pa.int32()),
+                pa.concat_arrays([pa.array([], pa.int32()), *found]))
+        return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     kind = docs.schema[id_of].dataType.simpleString()
     return _codec(docs.select(id_of, text), vocabulary, pattern, make,
-                  f"`{id_of}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+                  f"`{id_of}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+                  + ", ids array<int>" * keep_ids)
 
 
 def default_vocabulary() -> tuple[str, str]:
