@@ -4,14 +4,17 @@ Documents are sets of distinct word shingles. Equal sets are one *node* (found b
 whole set, salted). Every node has :data:`TREES` signatures of min-hashes; a tree sorts the nodes by
 signature, and nodes with a common prefix of at least :data:`DEPTH` values form a *region*.
 
+After each step the pairs are confirmed on the full sets and joined into components.
+
 1. *Longest-common-prefix neighbours.* In the first :data:`DEEP_TREES` trees signatures go on to
    :data:`MAX_DEPTH` values. A node is paired with the least node of the deepest region in which it
    is not itself the least: a crowded region is walked at greater depth, a thin one at less, and
    each tree gives at most one pair a node.
-2. Pairs are confirmed on the full sets and joined into components.
-3. *Completion.* Wherever a region of any tree holds more than one component, its members outside
-   the region's largest component are paired with the members of other components, confirmed and
-   joined. Copies inside a component are never expanded, and no link between components in a common region is left out.
+2. *Hubs.* In every region of every tree the nodes outside its largest component are paired with one
+   node of it.
+3. *Completion.* Where a region still holds more than one component, its nodes outside the largest
+   one are paired with the nodes of other components. Nothing is sampled or capped, copies inside
+   a component are never expanded, and no link between components in a common region is left out.
 
 A pair of similarity 0.8 shares no region of 20 trees with probability (1 - 0.8^4)^20 = 3e-5, one of
 0.9 with 1e-9; a component is lost only if all links that hold it together are.
@@ -29,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -171,19 +174,38 @@ def regions(nodes: DataFrame) -> DataFrame:
     return rows.join(crowded, "region")
 
 
-def completing_pairs(region_rows: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of step 3. A node without a confirmed link is its own component."""
-    rows = (region_rows.join(roots, "node", "left")
-            .withColumn("root", F.coalesce("root", "node")))
+def _ranked(region_rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows of the regions with several components: ``region, node, n, root, largest``. A node without a
+    confirmed link is its own component."""
+    rows = region_rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     sizes = rows.groupBy("region", "root").agg(F.count(F.lit(1)).alias("size"))
     largest = (sizes.groupBy("region").agg(F.max(F.struct("size", "root")).alias("top"), F.count(F.lit(1)).alias("roots"))
                .where("roots > 1").select("region", F.col("top.root").alias("largest")))
-    rows = rows.join(largest, "region")
+    return rows.join(largest, "region")
+
+
+def hub_pairs(region_rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs of step 2."""
+    rows = _ranked(region_rows, roots)
+    hub = (rows.where("root = largest").groupBy("region")
+           .agg(F.min(F.struct(F.xxhash64("node", "region").alias("by"), "node", "n")).alias("hub")))
+    return (rows.where("root != largest").join(hub, "region")
+            .select(F.col("hub.node").alias("a"), F.col("node").alias("b"), F.col("hub.n").alias("na"), F.col("n").alias("nb")))
+
+
+def completing_pairs(region_rows: DataFrame, roots: DataFrame, similarity: int) -> DataFrame:
+    """Pairs of step 3."""
+    rows = _ranked(region_rows, roots)
     few = rows.where("root != largest").select("region", F.col("node").alias("a"), F.col("n").alias("na"),
                                                F.col("root").alias("root_a"))
-    all_ = rows.select("region", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("root_b"),
-                       (F.col("root") == F.col("largest")).alias("top"))
-    return (few.join(all_, "region").where("root_a != root_b AND (top OR a < b)").select("a", "b", "na", "nb"))
+    every = rows.select("region", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("root_b"),
+                        (F.col("root") == F.col("largest")).alias("top"))
+    return (few.join(every, "region").where(F.expr("root_a != root_b AND (top OR a < b)") & _sizes_allow(similarity))
+            .select("a", "b", "na", "nb"))
+
+
+def _sizes_allow(similarity: int) -> Column:
+    return F.least("na", "nb") * 100 >= F.greatest("na", "nb") * similarity
 
 
 # ---- confirmation -----------------------------------------------------------------------------
@@ -208,8 +230,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, shingle: int, text: str, ke
 def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the similarity."""
     small_batches(pairs.sparkSession)
-    possible = pairs.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * similarity)
-    possible = possible.select("a", "b").distinct()
+    possible = pairs.where(_sizes_allow(similarity)).select("a", "b").distinct()
     joined = (possible.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
               .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b").select("a", "b", "sa", "sb"))
 
@@ -242,13 +263,17 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = S
     wanted = region_rows.select("node").distinct().join(nodes.select("node", "id"), "node")
     sets = stored(shingle_sets(docs, wanted, shingle, text, key), "sets")
     links = stored(confirmed(deep_neighbours(nodes), sets, similarity), "links")
-    spark_roots = stored(connected_components(links), "roots")
-    more = stored(confirmed(completing_pairs(region_rows, spark_roots), sets, similarity), "links")
-    if not more.isEmpty():
-        spark_roots = stored(connected_components(links.unionByName(more)), "roots")
-
-    least = (spark_roots.join(nodes.select("node", "id"), "node").groupBy("root").agg(F.min("id").alias("component")))
-    of_node = spark_roots.join(least, "root").select("node", "component")
+    roots = stored(connected_components(links), "roots")
+    for step in (2, 3):
+        pairs = hub_pairs(region_rows, roots) if step == 2 else completing_pairs(region_rows, roots, similarity)
+        more = stored(confirmed(pairs, sets, similarity), "links")
+        if not more.isEmpty():
+            # Components stand in for the links found so far.
+            links = roots.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
+            roots = stored(connected_components(links), "roots")
+
+    least = (roots.join(nodes.select("node", "id"), "node").groupBy("root").agg(F.min("id").alias("component")))
+    of_node = roots.join(least, "root").select("node", "component")
     looked_up = by_set.join(of_node, "node", "left").select("node", "salt", F.coalesce("component", "least").alias("component"))
     out = signed.withColumn("salt", salt_of(salts, F.col("id"))).select("id", "n", "node", "salt")
     out = out.join(looked_up, ["node", "salt"], "left")
