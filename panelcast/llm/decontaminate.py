@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from panelcast.llm.common import alnum_words, small_batches, stored, table
 
-SEGMENT_WORDS = 400_000      # words of a segment: bounds a task's memory and an index row
+SEGMENT_WORDS = 200_000      # words of a segment: bounds a task's memory and an index row
 BLOCK_WORDS = 200_000        # words of the test items that a search takes at a time
 WINDOW = 10
 SEGMENT_SCHEMA = ("segment string, docs array<binary>, starts array<int>, lengths array<int>, "
@@ -165,7 +165,9 @@ def search(index: DataFrame, items: DataFrame, key: str = "item_id", text: str =
     if window + slop > 64:
         raise ValueError("windows of more than 64 words need an index with a wider gap")
     spark, out, blocks = index.sparkSession, None, 0
+    # An index row is a few MB: read and hand over few at a time, not by batches of thousands.
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    spark.conf.set("spark.sql.parquet.enableNestedColumnVectorizedReader", "false")
     schema = "segment string, nth int, doc string, n_words long, spans array<struct<first:int,end:int>>, items array<string>"
     spans_type = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
 
