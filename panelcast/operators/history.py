@@ -61,12 +61,12 @@ def rows_new_keys(history: DataFrame, batch: DataFrame, keys: list[str]) -> Data
 
 
 def rows_if_absent(history: DataFrame, batch: DataFrame, match_cols: list[str],
-                   order: list[str] | None = None) -> DataFrame:
-    """The batch unless its first row (by ``order``) equals a stored row on ``match_cols``.
+                   order: list[str]) -> DataFrame:
+    """The batch unless its first row (by ``order``, its time columns) equals a stored row on ``match_cols``.
 
     Plain equality: a NULL never matches. The batch is one row per month in practice.
     """
-    first = batch.orderBy(*(order or match_cols)).limit(1).select(*match_cols)
+    first = batch.orderBy(*order).limit(1).select(*match_cols)
     hit = history.join(first, _match(history, first, match_cols, null_safe=False), "left_semi")
     return batch.filter(~hit.exists())
 
@@ -82,7 +82,7 @@ def append_new_keys(history: DataFrame, batch: DataFrame, keys: list[str]) -> Da
 
 
 def append_if_absent(history: DataFrame, batch: DataFrame, match_cols: list[str],
-                     order: list[str] | None = None) -> DataFrame:
+                     order: list[str]) -> DataFrame:
     """Append the batch unless its first row equals a stored row on ``match_cols``."""
     return history.unionByName(rows_if_absent(history, batch, match_cols, order))
 

@@ -24,11 +24,13 @@ def fit_stats(df: DataFrame, features: list[str], order: list[str], entity: str
 
     ``nulls="propagate"`` (NumPy behaviour) makes both NULL when a value in the prefix is NULL;
     ``"skip"`` ignores NULLs. A std below ``floor`` becomes 1.0. Entities whose prefix is empty
-    get NULL statistics.
+    get NULL statistics; rows without an entity belong to none.
     """
     if nulls not in ("propagate", "skip"):
         raise ValueError("nulls must be 'propagate' or 'skip'")
     part = [entity] if entity else []
+    if entity:
+        df = df.where(F.col(entity).isNotNull())
     w = Window.partitionBy(*part).orderBy(*order)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ranked = df.select(*part, *features,

@@ -34,22 +34,8 @@ def global_index(df: DataFrame, order: list[Column | str], name: str = "pos") ->
                   .drop("_pid", "_mono", "_off"))
 
 
-# Above this many distinct values the ids are assigned by the distributed index; at or below it
-# one window over the (checked, bounded) distinct set is cheaper than a sort plus checkpoint.
-MAX_SINGLE_TASK_IDS = 1_000_000
-
-
-def dense_ids(df: DataFrame, key: str, name: str = "entity_id",
-              max_single_task: int = MAX_SINGLE_TASK_IDS, n_distinct: int | None = None) -> DataFrame:
-    """Dense 0-based ids over the sorted distinct values of ``key`` (NULL excluded).
-
-    The distinct count is a one-row fact (pass ``n_distinct`` when it is already known); only a
-    set proven to hold at most ``max_single_task`` values is ranked in one task, larger sets use
-    :func:`global_index`.
-    """
+def dense_ids(df: DataFrame, key: str, name: str = "entity_id") -> DataFrame:
+    """Dense 0-based ids over the sorted distinct values of ``key`` (NULL excluded), by
+    :func:`global_index` whatever their number."""
     distinct = df.select(key).where(F.col(key).isNotNull()).distinct()
-    n = distinct.count() if n_distinct is None else n_distinct
-    if n <= max_single_task:
-        rank = F.dense_rank().over(Window.orderBy(F.col(key).asc())) - F.lit(1)
-        return distinct.select(key, rank.cast("int").alias(name))
     return global_index(distinct, [F.col(key).asc()], name).withColumn(name, F.col(name).cast("int"))

@@ -97,13 +97,14 @@ def both_grains(df: DataFrame, entity: str = ENTITY, date: str = "date", rules:
     """Entity-month and national-month rows in one plan, flagged by ``national`` (0 or 1).
 
     The national rows come from the entity partials (one row per entity-month), so the daily
-    rows are scanned and shuffled once; Spark reuses the partial-aggregate exchange.
+    rows are scanned and shuffled once; Spark reuses the partial-aggregate exchange. Rows without
+    an entity count for the nation only.
     """
     rules = rules or ROLLUP_RULES
     keys = [entity, "year", "month"]
-    partials = _prepare(df, entity, date).groupBy(*keys).agg(
+    partials = _prepare(df, None, date).groupBy(*keys).agg(
         *_partial_aggs(rules, exact_scale, row_count))
-    per_entity = _finalize(partials, keys, rules, exact_scale, hours, digits, row_count)
+    per_entity = _finalize(partials.where(F.col(entity).isNotNull()), keys, rules, exact_scale, hours, digits, row_count)
     national_partials = partials.groupBy("year", "month").agg(*_reaggregate(rules, row_count))
     national = _finalize(national_partials, ["year", "month"], rules, exact_scale, hours, digits,
                          row_count)

@@ -237,8 +237,23 @@ def score_tabular(df: DataFrame, model: TabularLinear, effects: DataFrame | None
     return src.mapInPandas(run, schema)
 
 
-def good_rows(scores: DataFrame) -> DataFrame:
-    return scores.filter(F.col("error").isNull()).drop("error")
+def good_rows(scores: DataFrame, on_error: str = "drop_model") -> DataFrame:
+    """Scores without their ``error`` column.
+
+    ``"raise"`` fails the query on the first error, as the panel job must; ``"drop_model"`` leaves out
+    every row of a model that failed anywhere (a batch may fail alone), as the series job does. The
+    set of failed models is bounded by the model set. Errors are listed by :func:`failures`.
+    """
+    if on_error == "raise":
+        ok = F.assert_true(F.col("error").isNull(), F.concat_ws(": ", "model", "error"))
+        return scores.filter(ok.isNull()).drop("error")
+    return scores.join(failures(scores).select("model").distinct(), "model", "left_anti").drop("error")
+
+
+def failures(scores: DataFrame) -> DataFrame:
+    """``model, error, n``: what failed, and for how many rows."""
+    return (scores.filter(F.col("error").isNotNull()).groupBy("model", "error")
+            .agg(F.count(F.lit(1)).alias("n")))
 
 
 # ---- column-expression scorer ---------------------------------------------------------------

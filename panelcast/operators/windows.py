@@ -45,9 +45,10 @@ def latest_window(df: DataFrame, order: list[str], k: int = 12, entity: str | No
             ym = F.col("year") * 12 + F.col("month")
             span = Window.partitionBy()                          # the k window rows only
             out = (out.withColumn("_span", F.max(ym).over(span) - F.min(ym).over(span))
-                      .filter(F.assert_true(F.col("_span") == F.lit(k - 1),
+                      .withColumn("_months", F.size(F.collect_set(ym).over(span)))
+                      .filter(F.assert_true((F.col("_span") == F.lit(k - 1)) & (F.col("_months") == F.lit(k)),
                                             F.lit("input window is not contiguous")).isNull())
-                      .drop("_span"))
+                      .drop("_span", "_months"))
         return out
     w = Window.partitionBy(entity).orderBy(*desc)
     ranked = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k)
@@ -81,8 +82,9 @@ def in_panel_window(df: DataFrame, date: str = "date", k: int = 6,
 def panel_window(df: DataFrame, entity: str, date: str = "date", k: int = 6,
                  max_from: DataFrame | None = None, distinct_months: bool = False,
                  latest: dt.date | None = None) -> DataFrame:
-    """Window rows of entities that are complete: exactly ``k`` rows (or ``k`` distinct months)."""
-    rows = in_panel_window(df, date, k, max_from, latest)
+    """Window rows of entities that are complete: exactly ``k`` rows (or ``k`` distinct months).
+    Rows without an entity belong to none."""
+    rows = in_panel_window(df, date, k, max_from, latest).where(F.col(entity).isNotNull())
     w = Window.partitionBy(entity)
     n = F.size(F.collect_set(date).over(w)) if distinct_months else F.count(F.lit(1)).over(w)
     return rows.withColumn("_n", n).filter(F.col("_n") == k).drop("_n")
@@ -100,10 +102,9 @@ def panel_skipped(df: DataFrame, entity: str, date: str = "date", k: int = 6,
                     .filter(F.col("n_rows") != k))
 
 
-def entity_ids(df: DataFrame, entity: str, name: str = "entity_id",
-               n_distinct: int | None = None) -> DataFrame:
+def entity_ids(df: DataFrame, entity: str, name: str = "entity_id") -> DataFrame:
     """Dense 0-based ids over the sorted distinct entities (see ``ordering.dense_ids``)."""
-    return dense_ids(df, entity, name, n_distinct=n_distinct)
+    return dense_ids(df, entity, name)
 
 
 def window_tensor(df: DataFrame, entity: str | None, date: str, features: list[str],

@@ -59,7 +59,7 @@ def monthly_etl(payloads: DataFrame, dim: DataFrame, as_of: dt.date | str,
     if national_history is not None:
         stored_n = schemas.schema_align(national_history, national_cols,
                                         add_missing={schemas.SERIES_TARGET: T.DoubleType()})
-        national_new = history.rows_if_absent(stored_n, national_batch, schemas.MONTHLY_FEATURES)
+        national_new = history.rows_if_absent(stored_n, national_batch, schemas.MONTHLY_FEATURES, ["year", "month"])
     else:
         national_new = national_batch
     return {
@@ -79,8 +79,10 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
     from pyspark.errors import AnalysisException
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):   # nothing stored yet
+            return None
+        raise
 
 
 def run_monthly_etl(spark: SparkSession, landing: str, dim: DataFrame, as_of: str, warehouse: str) -> dict:
@@ -133,8 +135,8 @@ def series_forecast(series: DataFrame, models: dict, stats: DataFrame | None = N
         scored = scoring.linear_scores(tensor, models, F.flatten("tensor"), [])
     else:
         keyed = tensor.withColumn("_k", F.lit(0))      # the single series as one keyed row
-        scored = scoring.good_rows(
-            scoring.score(keyed, scoring.ModelSet.load(models), horizon, "_k")).drop("_k")
+        scored = scoring.good_rows(scoring.score(keyed, scoring.ModelSet.load(models), horizon, "_k"),
+                                   on_error="drop_model").drop("_k")
     y = normalize.denormalize(scored, stats, "y", schemas.SERIES_TARGET)
     latest = F.lit(windows.latest_month(dated))
     return forecast.series_forecast(y, latest)
@@ -188,9 +190,7 @@ def panel_forecast(history_df: DataFrame, models: dict | scoring.ModelSet,
         checkpoint_dir(panel.sparkSession)
         panel = panel.checkpoint(eager=True)
     kept = filters.entity_exclude(panel, entity, exclude) if exclude else panel
-    kept_key = F.col(entity) if not exclude else F.when(~F.col(entity).isin(list(exclude)), F.col(entity))
-    facts = panel.agg(F.max("date").alias("latest"), F.count_distinct(kept_key).alias("n")).first()
-    latest = facts["latest"]
+    latest = panel.agg(F.max("date")).first()[0]
     if latest is None:
         raise ValueError("the history is empty")
 
@@ -201,14 +201,14 @@ def panel_forecast(history_df: DataFrame, models: dict | scoring.ModelSet,
     # guard could be skipped, since AQE drops joins with an empty side without running the other).
     if complete.isEmpty():
         raise ValueError("no entity has a complete input window")
-    ids = windows.entity_ids(kept, entity, n_distinct=facts["n"])
+    ids = windows.entity_ids(kept, entity)
     tensor = windows.window_tensor(z.join(ids, entity), entity, "date", features, "entity_id")
     target_stats = stats.select(entity, F.col(f"{target}_mean").alias("target_mean"),
                                 F.col(f"{target}_std").alias("target_std"))
     tensor = tensor.join(target_stats, entity)
     model_set = models if isinstance(models, scoring.ModelSet) else scoring.ModelSet.load(models)
     scores = scoring.good_rows(scoring.score(tensor, model_set, horizon, entity,
-                                             carry=["target_mean", "target_std"]))
+                                             carry=["target_mean", "target_std"]), on_error="raise")
     y = scores.withColumn("y", F.col("y") * F.col("target_std") + F.col("target_mean"))
     return forecast.long_forecast(y, F.lit(latest), entity, out=f"predicted_{target}")
 

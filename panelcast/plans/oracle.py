@@ -161,10 +161,12 @@ FROM daily WHERE date IS NOT NULL
 GROUP BY ALL"""
 
     q["monthly_both_grains"] = with_ctes(DAILY) + f"""
-SELECT CAST(district AS VARCHAR) AS district, {YM}, CAST(grouping(district) AS INTEGER) AS national,
-  {MEASURES}
-FROM daily {KEEP}
-GROUP BY GROUPING SETS ((district, year(date), month(date)), (year(date), month(date)))"""
+SELECT * FROM (
+  SELECT CAST(district AS VARCHAR) AS district, {YM}, CAST(grouping(district) AS INTEGER) AS national,
+    {MEASURES}
+  FROM daily WHERE date IS NOT NULL
+  GROUP BY GROUPING SETS ((district, year(date), month(date)), (year(date), month(date))))
+WHERE national = 1 OR district IS NOT NULL"""
 
     q["round_policy"] = """
 SELECT l_orderkey, l_linenumber, x, r2, round_even(x * 10000.0, 0) / 10000.0 AS r4,
@@ -191,8 +193,7 @@ FROM e JOIN g USING (district, request)"""
 SELECT c_custkey AS district, c_name, c_nationkey FROM customer c
 WHERE NOT EXISTS (
   SELECT 1 FROM orders o
-  WHERE o.o_custkey = c.c_custkey AND o.o_orderstatus <> 'P'
-    AND o.o_orderdate >= TIMESTAMP '2001-07-01' AND o.o_orderdate < TIMESTAMP '2001-08-01')"""
+  WHERE o.o_custkey = c.c_custkey AND o.o_orderstatus <> 'P')"""
 
     q["schema_align"] = with_ctes(DAILY, PANEL) + f"""
 SELECT year, month, district, CAST(NULL AS DOUBLE) AS mal_cases, {FEATURES} FROM panel"""
@@ -202,7 +203,7 @@ SELECT b.district, b.year, b.month
 FROM panel b JOIN panel h
   ON b.district IS NOT DISTINCT FROM h.district AND b.year IS NOT DISTINCT FROM h.year
  AND b.month IS NOT DISTINCT FROM h.month
-WHERE b.year * 100 + b.month BETWEEN 200105 AND 200106 AND h.year * 100 + h.month < 200106"""
+WHERE b.year * 100 + b.month >= 200105 AND h.year * 100 + h.month < 200106"""
 
     hist = with_ctes(DAILY, PANEL, f"""h AS (
   SELECT year, month, district, mal_cases, {FEATURES}, year * 100 + month AS ym FROM panel)""")
@@ -212,23 +213,23 @@ WHERE b.year * 100 + b.month BETWEEN 200105 AND 200106 AND h.year * 100 + h.mont
     q["append_all_or_nothing"] = hist + f"""
 SELECT {cols}, 'disjoint' AS scenario FROM h WHERE ym < 200106
 UNION ALL
-SELECT {cols}, 'disjoint' FROM h WHERE ym = 200106 AND NOT EXISTS (
-  SELECT 1 FROM h b JOIN h x ON {same} WHERE b.ym = 200106 AND x.ym < 200106)
+SELECT {cols}, 'disjoint' FROM h WHERE ym >= 200106 AND NOT EXISTS (
+  SELECT 1 FROM h b JOIN h x ON {same} WHERE b.ym >= 200106 AND x.ym < 200106)
 UNION ALL
 SELECT {cols}, 'overlap' FROM h WHERE ym < 200106
 UNION ALL
-SELECT {cols}, 'overlap' FROM h WHERE ym BETWEEN 200105 AND 200106 AND NOT EXISTS (
-  SELECT 1 FROM h b JOIN h x ON {same} WHERE b.ym BETWEEN 200105 AND 200106 AND x.ym < 200106)"""
+SELECT {cols}, 'overlap' FROM h WHERE ym >= 200105 AND NOT EXISTS (
+  SELECT 1 FROM h b JOIN h x ON {same} WHERE b.ym >= 200105 AND x.ym < 200106)"""
 
     q["append_new_keys"] = hist + f"""
 SELECT {cols}, 'disjoint' AS scenario FROM h WHERE ym < 200106
 UNION ALL
-SELECT {cols}, 'disjoint' FROM h b WHERE ym = 200106 AND NOT EXISTS (
+SELECT {cols}, 'disjoint' FROM h b WHERE ym >= 200106 AND NOT EXISTS (
   SELECT 1 FROM h x WHERE x.ym < 200106 AND {same})
 UNION ALL
 SELECT {cols}, 'overlap' FROM h WHERE ym < 200106
 UNION ALL
-SELECT {cols}, 'overlap' FROM h b WHERE ym BETWEEN 200105 AND 200106 AND NOT EXISTS (
+SELECT {cols}, 'overlap' FROM h b WHERE ym >= 200105 AND NOT EXISTS (
   SELECT 1 FROM h x WHERE x.ym < 200106 AND {same})"""
 
     eq = " AND ".join(f"x.{c} = f.{c}" for c in FEATURE_LIST)
@@ -237,12 +238,12 @@ SELECT {cols}, 'overlap' FROM h b WHERE ym BETWEEN 200105 AND 200106 AND NOT EXI
   SELECT {ncols}, CAST(NULL AS DOUBLE) AS ddd_demand, year * 100 + month AS ym FROM national)""") + f"""
 SELECT {ncols}, ddd_demand, 'new' AS scenario FROM national WHERE year * 100 + month < 200106
 UNION ALL
-SELECT {ncols}, ddd_demand, 'new' FROM b WHERE ym = 200106 AND NOT EXISTS (
+SELECT {ncols}, ddd_demand, 'new' FROM b WHERE ym >= 200106 AND NOT EXISTS (
   SELECT 1 FROM national x, b f WHERE f.ym = 200106 AND x.year * 100 + x.month < 200106 AND {eq})
 UNION ALL
 SELECT {ncols}, ddd_demand, 'present' FROM national WHERE year * 100 + month < 200106
 UNION ALL
-SELECT {ncols}, ddd_demand, 'present' FROM b WHERE ym = 200105 AND NOT EXISTS (
+SELECT {ncols}, ddd_demand, 'present' FROM b WHERE ym >= 200105 AND NOT EXISTS (
   SELECT 1 FROM national x, b f WHERE f.ym = 200105 AND x.year * 100 + x.month < 200106 AND {eq})"""
 
     q["merge_target"] = with_ctes(DAILY, NATIONAL) + "SELECT * FROM national"

@@ -28,10 +28,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 KEYS = [schemas.ENTITY, "year", "month"]
 AS_OF = "2001-09-15"
-# History holds months before 2001-06; the disjoint batch is 2001-06; the overlapping batch is
-# 2001-05..2001-06, so its 2001-05 keys collide.
+# History holds the months before 2001-06 and the disjoint batch all others; the overlapping batch
+# begins with 2001-05, so its 2001-05 keys collide. History and either batch are the whole panel.
 CUT = (2001, 6)
-OVERLAP = ((2001, 5), (2001, 6))
+OPEN = (9999, 12)
+OVERLAP = ((2001, 5), OPEN)
 
 
 def as_text_dates(df: DataFrame) -> DataFrame:
@@ -88,7 +89,7 @@ def payload_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def coverage_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    payloads = tv.order_payloads(spark, sf_dir, "2001-07-01", "2001-08-01")
+    payloads = tv.order_payloads(spark, sf_dir)
     return payload.coverage_missing(tv.customer_dim(spark, sf_dir), payloads)
 
 
@@ -117,7 +118,7 @@ def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _cases(spark: SparkSession, sf_dir: str, op) -> DataFrame:
     h = _district_history(spark, sf_dir)
     base = h.filter(tv.before(*CUT))
-    disjoint = h.filter(tv.within(CUT, CUT))
+    disjoint = h.filter(tv.within(CUT, OPEN))
     overlap = h.filter(tv.within(*OVERLAP))
     return (op(base, disjoint).withColumn("scenario", F.lit("disjoint"))
             .unionByName(op(base, overlap).withColumn("scenario", F.lit("overlap"))))
@@ -136,11 +137,11 @@ def append_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = s.filter(tv.before(*CUT))
     # A new monthly batch arrives without its target (the target is filled later).
     batch = s.withColumn(schemas.SERIES_TARGET, F.lit(None).cast("double"))
-    fresh = batch.filter(tv.within(CUT, CUT))
-    stored = batch.filter(tv.within(OVERLAP[0], OVERLAP[0]))
+    fresh = batch.filter(tv.within(CUT, OPEN))
+    stored = batch.filter(tv.within(*OVERLAP))
     feats = schemas.MONTHLY_FEATURES
-    return (history.append_if_absent(base, fresh, feats).withColumn("scenario", F.lit("new"))
-            .unionByName(history.append_if_absent(base, stored, feats)
+    return (history.append_if_absent(base, fresh, feats, ["year", "month"]).withColumn("scenario", F.lit("new"))
+            .unionByName(history.append_if_absent(base, stored, feats, ["year", "month"])
                          .withColumn("scenario", F.lit("present"))))
 
 
@@ -228,7 +229,7 @@ def _ctx(spark: SparkSession, sf_dir: str) -> PanelCtx:
 
 
 def _ids(ctx: PanelCtx) -> DataFrame:
-    return windows.entity_ids(_kept(ctx.panel), schemas.ENTITY, n_distinct=ctx.n_kept)
+    return windows.entity_ids(_kept(ctx.panel), schemas.ENTITY)
 
 
 def _entity_stats(panel: DataFrame) -> DataFrame:

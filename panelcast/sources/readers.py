@@ -15,16 +15,25 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
                keep_corrupt: bool = False) -> DataFrame:
     """Read a table with a declared schema (no inference at scale).
 
-    CSV is read with a header in PERMISSIVE mode; with ``keep_corrupt`` a malformed line (such as
+    CSV columns are bound by the names of the header, wherever they stand; others are left out and a
+    missing one raises. Lines are read in PERMISSIVE mode; with ``keep_corrupt`` a malformed line (such as
     a truncated last row) is kept in ``_corrupt_record`` instead of failing the job.
     """
     if fmt != "csv":
         return spark.read.schema(schema).format(fmt).load(path)
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    header = spark.read.option("header", True).csv(path).columns
+    wanted = {f.name: f for f in schema.fields}
+    if missing := [name for name in wanted if name not in header]:
+        raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
+    in_file = T.StructType([wanted.get(name, T.StructField(name, T.StringType())) for name in header])
+    # The header of every file must be this one: it is checked, not skipped.
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
+    names = list(wanted)
     if keep_corrupt:
-        schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+        in_file = in_file.add(CORRUPT, T.StringType())
+        names.append(CORRUPT)
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    return reader.schema(schema).csv(path)
+    return reader.schema(in_file).csv(path).select(*names)
 
 
 def read_csv_dated(spark: SparkSession, path: str, schema: T.StructType, date: str = "date",

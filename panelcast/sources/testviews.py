@@ -90,11 +90,9 @@ def event_payload_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select(ENTITY, "request", F.to_json(F.struct(daily.alias("daily"))).alias("body"))
 
 
-def order_payloads(spark: SparkSession, sf_dir: str, first: str, end: str) -> DataFrame:
-    """One payload per order in ``[first, end)``; orders with status 'P' carry no ``daily``."""
+def order_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One payload per order; orders with status 'P' carry no ``daily``."""
     o = table(spark, sf_dir, "orders")
-    o = o.filter((F.col("o_orderdate") >= F.lit(first).cast("timestamp_ntz"))
-                 & (F.col("o_orderdate") < F.lit(end).cast("timestamp_ntz")))
     daily = F.when(F.col("o_orderstatus") != "P",
                    F.struct(F.array(F.col("o_totalprice")).alias("value")))
     return o.select(F.col("o_custkey").alias(ENTITY), daily.alias("daily"))
