@@ -13,8 +13,11 @@ After each step the pairs are confirmed on the full sets and joined into compone
 2. *Hubs.* In every region of every tree the nodes outside its largest component are paired with one
    node of it.
 3. *Completion.* Where a region still holds more than one component, its nodes outside the largest
-   one are paired with the nodes of other components. Nothing is sampled or capped, copies inside
-   a component are never expanded, and no link between components in a common region is left out.
+   one are paired with the nodes of other components, once in the first region that they share.
+   A pair passes if the parity sketches of its sets differ in no more bits than two sets of
+   that similarity can have unshared shingles. Every differing bit stands for at least one such
+   shingle, so the test never loses a link. Nothing is sampled or capped, copies inside a component
+   are never expanded, and no link between components in a common region is left out.
 
 A pair of similarity 0.8 shares no region of 20 trees with probability (1 - 0.8^4)^20 = 3e-5, one of
 0.9 with 1e-9; a component is lost only if all links that hold it together are.
@@ -42,6 +45,7 @@ from panelcast.llm.common import (connected_components, fan_out, salt_of, salted
 SHINGLE, SIMILARITY = 5, 80          # words of a shingle; per cent of the union
 TREES, DEPTH = 20, 4
 DEEP_TREES, MAX_DEPTH = 3, 8
+SKETCH_WORDS = 32                    # 64-bit words of a parity sketch
 MEMO_ENTRIES = 400_000
 CHUNK = 1 << 20                      # shingles hashed at a time
 
@@ -123,6 +127,12 @@ def prefixes(hashes: np.ndarray) -> list[list[np.ndarray]]:
     return out
 
 
+def parity_sketch(shingles: np.ndarray) -> np.ndarray:
+    """SKETCH_WORDS longs; each bit is the parity of the number of shingles that fall on it."""
+    bits = np.bincount((_mix(shingles) % np.uint64(64 * SKETCH_WORDS)).astype(np.int64), minlength=64 * SKETCH_WORDS)
+    return np.packbits((bits & 1).astype(np.uint8)).view(np.int64)
+
+
 def signatures(docs: DataFrame, shingle: int, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``id, n, node`` (digest of the set), ``trees`` array<array<long>>; nulls without shingles."""
     small_batches(docs.sparkSession)
@@ -193,17 +203,29 @@ def hub_pairs(region_rows: DataFrame, roots: DataFrame) -> DataFrame:
             .select(F.col("hub.node").alias("a"), F.col("node").alias("b"), F.col("hub.n").alias("na"), F.col("n").alias("nb")))
 
 
-def completing_pairs(region_rows: DataFrame, roots: DataFrame, similarity: int) -> DataFrame:
+def completing_pairs(region_rows: DataFrame, roots: DataFrame, nodes: DataFrame, sets: DataFrame,
+                     similarity: int) -> DataFrame:
     """Pairs of step 3."""
-    rows = _ranked(region_rows, roots)
+    rows = (_ranked(region_rows, roots).join(sets.select("node", "sketch"), "node")
+            .join(nodes.select("node", F.transform("trees", lambda t: t[0]).alias("regions")), "node"))
     few = rows.where("root != largest").select("region", F.col("node").alias("a"), F.col("n").alias("na"),
-                                               F.col("root").alias("root_a"))
+                                               F.col("root").alias("root_a"), F.col("sketch").alias("sketch_a"),
+                                               F.col("regions").alias("regions_a"))
     every = rows.select("region", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("root_b"),
+                        F.col("sketch").alias("sketch_b"), F.col("regions").alias("regions_b"),
                         (F.col("root") == F.col("largest")).alias("top"))
-    return (few.join(every, "region").where(F.expr("root_a != root_b AND (top OR a < b)") & _sizes_allow(similarity))
+    return (few.join(every, "region")
+            .where(F.expr("root_a != root_b AND (top OR a < b)") & _sizes_allow(similarity) & _sketches_allow(similarity)
+                   & (F.array_intersect("regions_a", "regions_b")[0] == F.col("region")))
             .select("a", "b", "na", "nb"))
 
 
+def _sketches_allow(similarity: int) -> Column:
+    """Sets of the similarity differ in at most (1 - s) / (1 + s) of the sum of their sizes."""
+    differ = sum((F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i])) for i in range(SKETCH_WORDS)), F.lit(0))
+    return differ * (100 + similarity) <= (F.col("na") + F.col("nb")) * (100 - similarity)
+
+
 def _sizes_allow(similarity: int) -> Column:
     return F.least("na", "nb") * 100 >= F.greatest("na", "nb") * similarity
 
@@ -211,7 +233,8 @@ def _sizes_allow(similarity: int) -> Column:
 # ---- confirmation -----------------------------------------------------------------------------
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, shingle: int, text: str, key: str) -> DataFrame:
-    """``node, shingles binary`` of the wanted nodes (``id, node``: a document that has the set)."""
+    """``node, shingles binary, sketch array<long>`` of the wanted nodes (``id, node``: a document that
+    has the set)."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").alias("text"))
     rows = rows.join(wanted, rows.doc.eqNullSafe(wanted.id)).select("node", "text")
@@ -219,12 +242,14 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, shingle: int, text: str, ke
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(shingle)
         for batch in batches:
-            sets = [shingles.of(t.as_py()).tobytes() for t in batch.column(1)]
+            found = [shingles.of(t.as_py()) for t in batch.column(1)]
+            sets = [s.tobytes() for s in found]
             right = [hashlib.blake2b(s, digest_size=16).digest() == n for s, n in zip(sets, batch.column(0).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())],
-                                             ["node", "shingles"]).filter(pa.array(right, pa.bool_()))
+            sketches = pa.array([parity_sketch(s) for s in found], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary()), sketches],
+                                             ["node", "shingles", "sketch"]).filter(pa.array(right, pa.bool_()))
 
-    return rows.mapInArrow(run, "node binary, shingles binary").dropDuplicates(["node"])
+    return rows.mapInArrow(run, "node binary, shingles binary, sketch array<bigint>").dropDuplicates(["node"])
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
@@ -265,7 +290,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = S
     links = stored(confirmed(deep_neighbours(nodes), sets, similarity), "links")
     roots = stored(connected_components(links), "roots")
     for step in (2, 3):
-        pairs = hub_pairs(region_rows, roots) if step == 2 else completing_pairs(region_rows, roots, similarity)
+        pairs = (hub_pairs(region_rows, roots) if step == 2
+                 else completing_pairs(region_rows, roots, nodes, sets, similarity))
         more = stored(confirmed(pairs, sets, similarity), "links")
         if not more.isEmpty():
             # Components stand in for the links found so far.

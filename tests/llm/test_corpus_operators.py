@@ -5,6 +5,7 @@ import itertools
 import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -276,3 +277,15 @@ def test_pipeline_stages_keep_clean_documents(spark, tmp_path):
     spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     got = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert got == ({i for i, _ in clean} - {0}) | {100}
+
+
+def test_parity_sketches_differ_in_at_most_the_unshared_shingles():
+    """The test that drops candidate pairs must never drop a link, at any size of the sets."""
+    rng = np.random.default_rng(7)
+    for n in (0, 1, 5, 150, 5000, 40_000):
+        a = np.unique(rng.integers(0, 1 << 62, n, dtype=np.uint64))
+        for kept in (0.0, 0.5, 0.89, 1.0):
+            b = np.unique(np.concatenate([a[:int(len(a) * kept)], rng.integers(0, 1 << 62, n // 9, dtype=np.uint64)]))
+            x, y = near_dedup.parity_sketch(a), near_dedup.parity_sketch(b)
+            assert len(x) == near_dedup.SKETCH_WORDS
+            assert sum(int(v).bit_count() for v in (x ^ y).view(np.uint64)) <= len(np.setxor1d(a, b))
