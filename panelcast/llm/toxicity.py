@@ -36,7 +36,7 @@ SHARED = 2                  # n-grams of this length and shorter are counted ove
 DISCOUNT = 0.75
 RUN = 3                     # words of the run that counts by itself
 FOLDS = 5
-MEMO_ENTRIES = 600_000
+MEMO_ENTRIES = 300_000      # entries of each memo, at most
 PAD = "\x02"
 STOP = "\x03"
 
@@ -73,31 +73,45 @@ class KneserNey:
     """Two character models that differ above :data:`SHARED` and share all counts from there down."""
 
     def __init__(self, counts: list[tuple[str, int, int]]) -> None:
-        self.counts: list[list[dict[str, int]]] = []     # [side][level]: n-grams of ORDER - level
+        own: list[list[dict[str, int]]] = []             # [side][level]: n-grams of ORDER - level
         for side in (1, 2):
             levels = [{c[0]: c[side] for c in counts if c[side]}]
             while ORDER - len(levels) > SHARED:
                 levels.append(Counter(g[1:] for g in levels[-1]))    # distinct left extensions
-            self.counts.append(levels)
-        pooled = list(Counter(g[1:] for g in {*self.counts[0][-1], *self.counts[1][-1]}).items())
-        self.lower = [dict(pooled)]
-        while len(self.lower) < SHARED:
-            self.lower.append(Counter(g[1:] for g in self.lower[-1]))
-        self.contexts = [[_contexts(c) for c in levels] for levels in self.counts]
-        self.lower_contexts = [_contexts(c) for c in self.lower]
-        self.alphabet = max(1, len(self.lower[-1])) + 1
+            own.append(levels)
+        lower = [Counter(g[1:] for g in {*own[0][-1], *own[1][-1]})]
+        while len(lower) < SHARED:
+            lower.append(Counter(g[1:] for g in lower[-1]))
+        shared = [(c, _contexts(c)) for c in lower]
+        self.levels = [[(c, _contexts(c)) for c in levels] + shared for levels in own]
+        self.uniform = 1 / (max(1, len(lower[-1])) + 1)
+        self.known: list[dict[str, float]] = [{}, {}]    # probabilities of n-grams under ORDER, by side
+        self.ratios: dict[str, float] = {}
         self.memo: dict[bytes, float] = {}
 
-    def _p(self, counts: list[dict], contexts: list[dict], gram: str, base: float) -> float:
-        """Interpolated Kneser-Ney over ``counts`` (longest first), on top of ``base``."""
-        p = base
-        for level in range(len(counts) - 1, -1, -1):
-            g = gram[level:]
-            total, kinds = contexts[level].get(g[:-1], (0, 0))
+    def _p(self, side: int, gram: str) -> float:
+        """Interpolated Kneser-Ney: p(last character of ``gram`` | those before it)."""
+        if not gram:
+            return self.uniform
+        p = self.known[side].get(gram)
+        if p is None:
+            p = self._p(side, gram[1:])
+            counts, contexts = self.levels[side][ORDER - len(gram)]
+            total, kinds = contexts.get(gram[:-1], (0, 0))
             if total:
-                p = (max(counts[level].get(g, 0) - DISCOUNT, 0) + DISCOUNT * kinds * p) / total
+                p = (max(counts.get(gram, 0) - DISCOUNT, 0) + DISCOUNT * kinds * p) / total
+            if len(gram) < ORDER:
+                _keep(self.known[side], gram, p)
         return p
 
+    def _ratio(self, gram: str) -> float:
+        """log p(gram | toxic) - log p(gram | ordinary). There are far fewer n-grams than words, so
+        a word that was not met before costs look-ups, not probabilities."""
+        ratio = self.ratios.get(gram)
+        if ratio is None:
+            ratio = _keep(self.ratios, gram, math.log(self._p(1, gram)) - math.log(self._p(0, gram)))
+        return ratio
+
     def evidence(self, word: bytes) -> float:
         """log p(word | toxic) - log p(word | ordinary)."""
         known = self.memo.get(word)
@@ -105,13 +119,8 @@ class KneserNey:
             spelt = PAD * (ORDER - 1) + word.decode("utf-8", "replace") + STOP
             known = 0.0
             for i in range(len(spelt) - ORDER + 1):
-                gram = spelt[i:i + ORDER]
-                base = self._p(self.lower, self.lower_contexts, gram[ORDER - SHARED:], 1 / self.alphabet)
-                ordinary, toxic = (self._p(self.counts[s], self.contexts[s], gram, base) for s in (0, 1))
-                known += math.log(toxic) - math.log(ordinary)
-            if len(self.memo) >= MEMO_ENTRIES:
-                self.memo.clear()
-            self.memo[word] = known
+                known += self._ratio(spelt[i:i + ORDER])
+            _keep(self.memo, word, known)
         return known
 
     def features(self, words: list[bytes]) -> tuple[float, float]:
@@ -126,6 +135,14 @@ class KneserNey:
         return float(total[-1] / length[-1]), float(run.max())
 
 
+def _keep(memo: dict, key: str | bytes, value: float) -> float:
+    """Remember ``value``; a memo that is full starts anew."""
+    if len(memo) >= MEMO_ENTRIES:
+        memo.clear()
+    memo[key] = value
+    return value
+
+
 def _contexts(counts: dict[str, int]) -> dict[str, tuple[int, int]]:
     """context -> (sum of counts, distinct continuations)."""
     sums: dict[str, list[int]] = defaultdict(lambda: [0, 0])
