@@ -38,6 +38,7 @@ from panelcast.llm.common import small_batches, stored, table
 EDITS = 2
 MIN_CHARS = 20
 BROADCAST_LINES = 1_000_000     # ids of lines to compare that are sent to every worker (8 MB) at most
+COUNTED_LINES = 256             # lines whose characters are counted at a time
 
 
 def segments(n: int, edits: int) -> list[tuple[int, int]]:
@@ -102,11 +103,17 @@ def bounded_distance(a: str, b: str, most: int) -> int | None:
     return next((d for d, state in enumerate(states) if state & last), None)
 
 
-def char_counts(line: str) -> int:
-    """Sixteen character counts mod 16, in nibbles; one edit changes at most two of them by one."""
-    codes = np.frombuffer(line.encode("utf-32-le"), np.uint32)
-    counts = np.bincount(((codes * np.uint32(2654435761)) >> np.uint32(28)).astype(np.int64), minlength=16) & 15
-    return int((counts.astype(np.uint64) << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum().astype(np.int64))
+def char_counts(lines: list[str]) -> list[int]:
+    """Per line sixteen character counts mod 16, in nibbles; one edit changes at most two of them by one."""
+    out: list[int] = []
+    for start in range(0, len(lines), COUNTED_LINES):
+        some = lines[start:start + COUNTED_LINES]
+        codes = np.frombuffer("".join(some).encode("utf-32-le"), np.uint32)
+        bins = ((codes * np.uint32(2654435761)) >> np.uint32(28)).astype(np.int64)
+        bins += np.repeat(np.arange(len(some)) * 16, [len(line) for line in some])
+        counts = (np.bincount(bins, minlength=16 * len(some)).reshape(-1, 16) & 15).astype(np.uint64)
+        out += (counts << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=1, dtype=np.uint64).view(np.int64).tolist()
+    return out
 
 
 def lines_of(text: str | None) -> list[str]:
@@ -152,38 +159,39 @@ def occurrences(docs: DataFrame, text: str, key: str) -> DataFrame:
 
 
 def line_keys(docs: DataFrame, edits: int, min_chars: int, text: str) -> DataFrame:
-    """``digest, id, counts, index array<long>, probe array<long>``: a row per distinct line."""
+    """``digest, id, counts, keys array<long>``: a row per distinct line. The first ``edits + 1`` keys
+    are those of its segments, the others those it looks up: in one column, so that both sides of the
+    candidate join read the same columns and share one shuffle and one pass over the texts."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(f"`{text}`").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed, plans = xxhash.xxh3_64_intdigest, {}
         for batch in batches:
-            distinct = {line for t in batch.column(0) for line in lines_of(t.as_py()) if len(line) >= min_chars}
-            index, probe, digests, counts = [], [], [], []
+            distinct = list({line for t in batch.column(0) for line in lines_of(t.as_py()) if len(line) >= min_chars})
+            keys, digests = [], []
             for line in distinct:
                 n = len(line)
                 if n not in plans:
-                    plans[n] = ([(n << 8 | i, a, a + s) for i, (a, s) in enumerate(segments(n, edits))],
-                                [(m << 8 | i, a, a + s) for m, i, a, s in probes(n, edits)])
-                # Keys are seeded with the indexed length and the segment number.
-                index.append([_signed(hashed(line[a:b].encode(), seed)) for seed, a, b in plans[n][0]])
-                probe.append([_signed(hashed(line[a:b].encode(), seed)) for seed, a, b in plans[n][1]])
+                    # Keys are seeded with the indexed length and the segment number.
+                    plans[n] = ([(n << 8 | i, a, a + s) for i, (a, s) in enumerate(segments(n, edits))]
+                                + [(m << 8 | i, a, a + s) for m, i, a, s in probes(n, edits)])
+                keys.append([_signed(hashed(line[a:b].encode(), seed)) for seed, a, b in plans[n]])
                 digests.append(_digest(line))
-                counts.append(char_counts(line))
-            keys = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(digests, pa.binary()), pa.array(map(_id, digests), pa.int64()), pa.array(counts, pa.int64()),
-                 pa.array(index, keys), pa.array(probe, keys)], ["digest", "id", "counts", "index", "probe"])
+                [pa.array(digests, pa.binary()), pa.array(map(_id, digests), pa.int64()),
+                 pa.array(char_counts(distinct), pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                ["digest", "id", "counts", "keys"])
 
-    lines = rows.mapInArrow(run, "digest binary, id long, counts long, index array<long>, probe array<long>")
+    lines = rows.mapInArrow(run, "digest binary, id long, counts long, keys array<long>")
     return lines.dropDuplicates(["digest"])
 
 
 def candidate_pairs(lines: DataFrame, edits: int) -> DataFrame:
     """``a, b`` (line ids, a < b) of the lines that share a key and whose counts allow a link."""
-    indexed = lines.select("id", "counts", F.explode("index").alias("key"))
-    probing = lines.select(F.col("id").alias("b"), F.col("counts").alias("with"), F.explode("probe").alias("key"))
+    indexed = lines.select("id", "counts", F.explode(F.slice("keys", 1, edits + 1)).alias("key"))
+    looked_up = F.slice("keys", F.lit(edits + 2), F.size("keys"))
+    probing = lines.select(F.col("id").alias("b"), F.col("counts").alias("with"), F.explode(looked_up).alias("key"))
     difference = F.lit(0)
     for i in range(16):
         d = F.shiftright(F.col("counts"), 4 * i).bitwiseAND(15) - F.shiftright(F.col("with"), 4 * i).bitwiseAND(15)
