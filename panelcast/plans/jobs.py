@@ -102,12 +102,25 @@ def run_monthly_etl(spark: SparkSession, landing: str, dim: DataFrame, as_of: st
     for name in ("daily", "district_month", "national_month", "coverage_missing"):
         paths[name] = sinks.period_path(warehouse, name, period)
         sinks.write_table(out[name], paths[name])
+    if out["duplicates"] is not None:             # before the append, which would add to the keys
+        paths["duplicates"] = sinks.period_path(warehouse, "duplicates", period)
+        sinks.write_table(out["duplicates"], paths["duplicates"])
     for name in ("district", "national"):
         sinks.write_table(out[f"{name}_append"], paths[f"{name}_history"], mode="append",
                           partition_by=["year", "month"])
     return paths
 
 
+def _some_rows(forecast_rows: DataFrame) -> DataFrame:
+    """The forecast, written to the shared checkpoint folder first: a run that fails or gives no row
+    raises here and leaves the last good output as it was (M5)."""
+    checkpoint_dir(forecast_rows.sparkSession)
+    rows = forecast_rows.checkpoint(eager=True)
+    if rows.isEmpty():
+        raise RuntimeError("the forecast has no rows")
+    return rows
+
+
 # ---- single-series forecast ------------------------------------------------------------------
 
 def series_forecast(series: DataFrame, models: dict, stats: DataFrame | None = None,
@@ -159,11 +172,9 @@ def run_series_forecast(spark: SparkSession, data_path: str, models: dict, out_d
                                   types={"year": T.IntegerType(), "month": T.IntegerType()})
     stats = (readers.read_params(spark, params_path, schemas.NATIONAL_HISTORY_COLUMNS)
              if params_path else None)
-    out = series_forecast(series, models, stats)
+    out = _some_rows(series_forecast(series, models, stats))
     path = sinks.forecast_path(out_dir, "ddd_predictions", forecast_labels(series, style="joined"))
     sinks.write_csv(out.withColumn("date", F.date_format("date", "yyyy-MM-dd")), path)
-    if spark.read.option("header", True).csv(path).isEmpty():
-        raise RuntimeError("no prediction rows were written")
     return path
 
 
@@ -222,14 +233,22 @@ def forecast_labels(panel_history: DataFrame, horizon: int = forecast.HORIZON,
     return list(panel_history.sparkSession.range(1).select(*months).first())
 
 
+def panel_skips(history_df: DataFrame, exclude: list | None = None, entity: str = schemas.ENTITY,
+                k: int = 6) -> DataFrame:
+    """The entities that the panel job leaves out, with the rows found in their window (P14)."""
+    panel = windows.with_month_date(history_df)
+    kept = filters.entity_exclude(panel, entity, exclude) if exclude else panel
+    return windows.panel_skipped(kept, entity, "date", k, latest=windows.latest_month(panel))
+
+
 def run_panel_forecast(spark: SparkSession, history_path: str, models: dict, out_dir: str,
                        exclude: list | None = None) -> str:
     hist = spark.read.parquet(history_path)
-    out = panel_forecast(hist, models, exclude=exclude)
-    path = sinks.forecast_path(out_dir, "predictions", forecast_labels(hist))
+    labels = forecast_labels(hist)
+    out = _some_rows(panel_forecast(hist, models, exclude=exclude))
+    path = sinks.forecast_path(out_dir, "predictions", labels)
     sinks.write_csv(out, path, float_digits=2)
-    if spark.read.option("header", True).csv(path).isEmpty():
-        raise RuntimeError("no prediction rows were written")
+    sinks.write_csv(panel_skips(hist, exclude), sinks.forecast_path(out_dir, "skipped", labels))
     return path
 
 

@@ -45,8 +45,10 @@ def test_monthly_etl_writes_rollups_and_guarded_history(spark, tmp_dir):
     assert [r.district for r in spark.read.parquet(paths["coverage_missing"]).collect()] == ["C"]
     assert spark.read.parquet(paths["district_history"]).count() == 2
     # Second run of the same month: both guards find the month stored, nothing is appended.
-    jobs.run_monthly_etl(spark, f"{tmp_dir}/land", dim, "2025-05-10", f"{tmp_dir}/wh")
+    again = jobs.run_monthly_etl(spark, f"{tmp_dir}/land", dim, "2025-05-10", f"{tmp_dir}/wh")
     assert spark.read.parquet(paths["district_history"]).count() == 2
+    assert "duplicates" not in paths
+    assert {r.district for r in spark.read.parquet(again["duplicates"]).collect()} == {"A", "B"}     # J1
     assert spark.read.parquet(paths["national_history"]).count() == 1
     # Next month appends.
     land(f"{tmp_dir}/land5", "2025_05", [payload("A", 5, 31, 30.0)])
@@ -125,6 +127,23 @@ def test_panel_forecast_job_writes_named_long_csv(spark, tmp_dir):
     assert out.filter(F.col("predicted_mal_cases").cast("double") < 0).count() == 0
 
 
+def test_panel_job_reports_skips_and_keeps_the_last_output_on_failure(spark, tmp_dir):
+    hist = history_frame(spark).where("NOT (district = 'D1' AND year = 2024 AND month = 11)")
+    sinks.write_table(hist, f"{tmp_dir}/hist")
+    path = jobs.run_panel_forecast(spark, f"{tmp_dir}/hist", models.panel_models(), f"{tmp_dir}/res", exclude=["D3"])
+    skipped = spark.read.option("header", True).csv(path.replace("/predictions_", "/skipped_")).collect()
+    assert [(r.district, r.n_rows) for r in skipped] == [("D1", "5")]                   # P14
+    before = sorted(map(tuple, spark.read.option("header", True).csv(path).collect()))
+
+    class Broken:
+        def predict(self, x):
+            raise RuntimeError("boom")
+
+    with pytest.raises(Exception, match="boom"):
+        jobs.run_panel_forecast(spark, f"{tmp_dir}/hist", {"broken": Broken()}, f"{tmp_dir}/res", exclude=["D3"])
+    assert sorted(map(tuple, spark.read.option("header", True).csv(path).collect())) == before      # M5
+
+
 def test_series_forecast_with_model_set(spark):
     hist = history_frame(spark, 1, 30).drop("district").withColumnRenamed("mal_cases", "ddd_demand")
     lin = models.series_models()
