@@ -107,7 +107,8 @@ def run_monthly_etl(spark: SparkSession, landing: str, dim: DataFrame, as_of: st
         sinks.write_table(out["duplicates"], paths["duplicates"])
     for name in ("district", "national"):
         sinks.write_table(out[f"{name}_append"], paths[f"{name}_history"], mode="append",
-                          partition_by=["year", "month"])
+                          partition_by=["year", "month"],
+                          sort_within=["year", "month"] + ([schemas.ENTITY] if name == "district" else []))
     return paths
 
 

@@ -44,6 +44,9 @@ def test_monthly_etl_writes_rollups_and_guarded_history(spark, tmp_dir):
     assert nat.total_precipitation == 30.0 and nat.avg_temp_max == pytest.approx(39.5)
     assert [r.district for r in spark.read.parquet(paths["coverage_missing"]).collect()] == ["C"]
     assert spark.read.parquet(paths["district_history"]).count() == 2
+    files = spark.read.parquet(paths["district_history"]).groupBy(F.input_file_name()).agg(
+        F.collect_list("district").alias("order")).collect()
+    assert all(r.order == sorted(r.order) for r in files)                                # O1
     # Second run of the same month: both guards find the month stored, nothing is appended.
     again = jobs.run_monthly_etl(spark, f"{tmp_dir}/land", dim, "2025-05-10", f"{tmp_dir}/wh")
     assert spark.read.parquet(paths["district_history"]).count() == 2
