@@ -1,22 +1,21 @@
-"""Substring dedup by content-defined chunking.
+"""Substring dedup by winnowed word grams and digests of whole windows.
 
-A 16-bit gear hash (shift left, add the byte's table value) rolls over the text, its words joined by
-single spaces. A chunk ends at a word whose hash is the largest among the :data:`REACH` words on either
-side: where a chunk ends depends on some twenty words around it and on nothing before, so an
-insertion shifts the chunks behind it without changing them.
+A passage of ``min_words`` words is repeated if another document holds the same words in a row.
 
-1. Chunks are deduplicated by digest: a digest met in several documents has a first place
-   (least document, least word), found with map-side combining.
-2. Every other place of it is aligned with the first one. Alignments of two documents on one diagonal
-   that share :data:`SEED_WORDS` words in whole chunks are compared word by word, with
-   :data:`MARGIN` words around, which gives the exact maximal repeated passages.
-3. Passages of at least ``min_words`` words are merged per document. A passage stays in the document
-   that has none smaller to refer to and is marked for removal in the others.
+1. *Filter*: of every stretch of ``min_words`` words the word gram (half as long) with the least hash is selected.
+   Which one that is depends on the stretch alone, so two documents that share a stretch share the hash
+   of a selected gram in it. Grams met in one document only are dropped, with map-side combining.
+2. Every window of ``min_words`` words around a gram that is left gets a 96-bit digest of its words. Windows
+   with one digest are brought together: each learns the least other document that holds it.
+3. The windows of a document are laid over each other, which gives the exact maximal repeated
+   stretches. A passage stays in the document that has none smaller to refer to and is marked for
+   removal in the others.
 
-Fifty common words hold whole common chunks wherever they lie, unless they are one word over and
-over. A passage is missed if each of its chunks has its first place in yet another document.
+No passage is missed, wherever its parts lie and however often they are repeated: the filter has no exceptions, and
+the windows are compared with all others, not with one chosen place. The digests stand for the words: in 2e9
+windows the chance of one false passage is about 1 in 4e10.
 
-Defined cases: null and empty texts have no chunks; rows without an id are left out, as nothing could
+Defined cases: null and empty texts have no windows; rows without an id are left out, as nothing could
 name them; rows that repeat an id are one document, whose own repetitions are not passages *across*
 documents; without repeated passages the result is empty.
 """
@@ -32,186 +31,195 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from panelcast.llm.common import small_batches, stored, table
 
 MIN_WORDS = 50
-REACH = 4               # a chunk's end dominates this many words on either side
-LONGEST = 16            # words: a longer stretch without an end (one word over and over) is cut evenly
-SEED_WORDS = 12         # words in common chunks that make two documents worth comparing
-RUNS = (1,)           # consecutive chunks that are looked up together
-_ODD = np.uint64(0x9E3779B97F4A7C15)
-MARGIN = 96             # words compared before and after the common chunks
+_ODD = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)    # multipliers of the two digest lanes
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
-def _gear() -> np.ndarray:
-    """The 256 values of the gear table, from the splitmix64 finaliser of their index."""
-    x = np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return (x >> np.uint64(48)).astype(np.uint16)
-
-
-def gear_hashes(data: np.ndarray, gear: np.ndarray) -> np.ndarray:
-    """The rolling hash after every byte: sum of gear[b] << age, mod 2^16, by doubling the span."""
-    h = gear[data]
+def gram_hashes(h: np.ndarray, n: int, odd: int = _ODD[0]) -> np.ndarray:
+    """Polynomial hash of every ``n`` consecutive values, mod 2^64, by doubling the span."""
+    out, held, span, power = None, 0, 1, odd
+    while True:
+        if n & span:
+            if out is None:
+                out = h
+            else:
+                out = out[:len(out) - span] * np.uint64(power) + h[held:held + len(out) - span] if len(out) > span else out[:0]
+            held += span
+        if 2 * span > n:
+            return out
+        h = h[:-span] * np.uint64(power) + h[span:] if len(h) > span else h[:0]
+        span, power = 2 * span, power * power & (1 << 64) - 1
+
+
+def _slide(fold: np.ufunc, values: np.ndarray, n: int) -> np.ndarray:
+    """``fold`` of every ``n`` consecutive values."""
     span = 1
-    while span < 16:
-        older = np.zeros_like(h)
-        older[span:] = h[:-span] << np.uint16(span)
-        h = h + older
+    while 2 * span <= n:
+        values = fold(values[:-span], values[span:])
         span *= 2
-    return h
-
-
-def chunks(words: list[bytes], gear: np.ndarray) -> tuple[np.ndarray, list[int]]:
-    """(word numbers at which chunks begin, closed by the word count; 64-bit digests)."""
-    if not words:
-        return np.zeros(1, np.int64), []
-    data = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    h = gear_hashes(np.frombuffer(data, np.uint8), gear)[ends - 1].astype(np.int32)
-    n = len(h)
-    padded = np.full(n + 2 * REACH, -1, np.int32)
-    padded[REACH:REACH + n] = h
-    peak = np.ones(n, bool)
-    for k in range(1, REACH + 1):
-        peak &= h > padded[REACH - k:REACH - k + n]
-        peak &= h >= padded[REACH + k:REACH + k + n]
-    bounds = np.unique(np.concatenate([[0], np.flatnonzero(peak) + 1, [n]]))
-    if (np.diff(bounds) > LONGEST).any():
-        bounds = np.unique(np.concatenate([np.arange(a, b, LONGEST) for a, b in zip(bounds, bounds[1:])] + [[n]]))
-    offsets = np.concatenate([[0], ends + 1])[bounds].tolist()
-    return bounds, [xxhash.xxh3_64_intdigest(data[a:b - 1]) for a, b in zip(offsets, offsets[1:])]
+    return fold(values[:len(values) - (n - span)], values[n - span:]) if n > span else values
+
+
+def gram_size(min_words: int) -> int:
+    return (min_words + 1) // 2
+
+
+def winnow(words: list[bytes], min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places, hashes) of the grams selected in a text: every ``min_words`` words hold one whose hash
+    is the least of their grams. Of equal ones as many are left out as that allows."""
+    if len(words) < min_words:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    size = gram_size(min_words)
+    reach = min_words - size + 1
+    g = gram_hashes(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), size)
+    g = (g ^ g >> np.uint64(29)) * np.uint64(_ODD[1])
+    g ^= g >> np.uint64(32)
+    least = _slide(np.minimum, g, reach)
+    padded = np.zeros(len(g) + reach - 1, np.uint64)
+    padded[reach - 1:reach - 1 + len(least)] = least
+    at = np.flatnonzero(_slide(np.maximum, padded, reach) == g)
+    found = g[at]
+    if (found[1:] == found[:-1]).any():
+        kept = []
+        for k in range(len(at)):
+            if (kept and k + 1 < len(at) and found[kept[-1]] == found[k] == found[k + 1]
+                    and at[k + 1] - at[kept[-1]] <= reach):
+                continue
+            kept.append(k)
+        at, found = at[kept], found[kept]
+    return at, found
 
 
 def words_of(text: str | None) -> list[bytes]:
     return text.encode().split() if text else []
 
 
-def chunk_rows(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``digest, doc, first, words`` of every run of :data:`RUNS` consecutive chunks."""
+def gram_rows(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``gram, doc, at`` of every selected gram."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").alias("text")).where("doc IS NOT NULL")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gear = _gear()
         for batch in batches:
-            owner, digests, first, size = [], [], [], []
-            for i, t in enumerate(batch.column(1)):
-                bounds, ds = chunks(words_of(t.as_py()), gear)
-                own = np.array(ds, np.uint64)
-                for n in RUNS:
-                    if len(own) >= n:
-                        run = own[:len(own) - n + 1] + np.uint64(n)
-                        for k in range(1, n):
-                            run = run * _ODD + own[k:len(own) - n + 1 + k]
-                        owner.append(np.full(len(run), i))
-                        digests.append(run)
-                        first.append(bounds[:-n])
-                        size.append(bounds[n:] - bounds[:-n])
-            if owner:
+            found = [winnow(words_of(t.as_py()), min_words) for t in batch.column(1)]
+            if found:
+                owner = np.repeat(np.arange(len(found)), [len(at) for at, _ in found])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(digests).view(np.int64)), batch.column(0).take(pa.array(np.concatenate(owner))),
-                     pa.array(np.concatenate(first).astype(np.int32)), pa.array(np.concatenate(size).astype(np.int32))],
-                    ["digest", "doc", "first", "words"])
+                    [pa.array(np.concatenate([g for _, g in found]).view(np.int64)), batch.column(0).take(pa.array(owner)),
+                     pa.array(np.concatenate([at for at, _ in found]).astype(np.int32))], ["gram", "doc", "at"])
 
-    schema = T.StructType([T.StructField("digest", T.LongType()), rows.schema["doc"],
-                           T.StructField("first", T.IntegerType()), T.StructField("words", T.IntegerType())])
+    schema = T.StructType([T.StructField("gram", T.LongType()), rows.schema["doc"], T.StructField("at", T.IntegerType())])
     return rows.mapInArrow(run, schema)
 
 
-def alignments(rows: DataFrame) -> DataFrame:
-    """``doc, other, shift, first, last``: words ``first .. last`` of ``doc`` hold the chunks that
-    lie ``shift`` words further on in the smaller document ``other``."""
-    origin = (rows.groupBy("digest")
-              .agg(F.min(F.struct("doc", "first")).alias("at"), F.max("doc").alias("most"))
-              .where(F.col("most") > F.col("at.doc")).select("digest", "at"))
-    placed = rows.join(origin, "digest").where(F.col("doc") > F.col("at.doc"))
-    return (placed.groupBy("doc", F.col("at.doc").alias("other"), (F.col("at.first") - F.col("first")).alias("shift"))
-            .agg(F.min("first").alias("first"), F.max(F.col("first") + F.col("words")).alias("last"),
-                 F.sum("words").alias("words"))
-            .where(F.col("words") >= SEED_WORDS).drop("words"))
+def shared_places(rows: DataFrame) -> DataFrame:
+    """``doc, places``: where each document has grams that another one has too."""
+    shared = rows.groupBy("gram").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").select("gram")
+    return rows.join(shared, "gram").groupBy("doc").agg(F.collect_set("at").alias("places"))
 
 
-def _slices(docs: DataFrame, wanted: DataFrame, text: str, key: str) -> DataFrame:
-    """``pair, side, from, slice``: the wanted words (``id, pair, side, first, last``) of documents."""
+def windows(docs: DataFrame, places: DataFrame, min_words: int, text: str, key: str) -> DataFrame:
+    """``a, b, doc, start``: digest and place of every window around the places."""
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    rows = rows.join(wanted.groupBy("id").agg(F.min("first").alias("lo"), F.max("last").alias("hi")), "id")
+    rows = docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").alias("text")).join(places, "doc")
+    reach = min_words - gram_size(min_words) + 1
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = []
-            for lo, hi, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
-                parts.append(b" ".join(words_of(t.as_py())[max(lo, 0):hi]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(parts, pa.binary())],
-                                             ["id", "lo", "part"])
-
-    schema = T.StructType([rows.schema["id"], T.StructField("lo", T.IntegerType()), T.StructField("part", T.BinaryType())])
-    return rows.select("id", F.greatest("lo", F.lit(0)).alias("lo"), "hi", "text").mapInArrow(cut, schema)
-
-
-def common_runs(a: list[bytes], b: list[bytes], least: int) -> list[tuple[int, int]]:
-    """Maximal runs [first, end) of equal words at equal places."""
-    n = min(len(a), len(b))
-    same = np.fromiter((x == y for x, y in zip(a, b)), bool, n)
-    edges = np.flatnonzero(np.diff(np.concatenate([[False], same, [False]]).astype(np.int8)))
-    return [(int(x), int(y)) for x, y in edges.reshape(-1, 2) if y - x >= least]
+            for i in range(batch.num_rows):
+                words = words_of(batch.column("text")[i].as_py())
+                n = len(words) - min_words + 1
+                at = batch.column("places")[i].values.to_numpy()
+                if n <= 0:
+                    continue
+                edges = np.zeros(n + 1, np.int64)
+                np.add.at(edges, np.clip(at - reach + 1, 0, n), 1)
+                np.add.at(edges, np.clip(at + 1, 0, n), -1)
+                starts = np.flatnonzero(np.cumsum(edges[:-1]) > 0)
+                lanes = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), np.uint64).reshape(-1, 2)
+                a, b = (gram_hashes(lanes[:, k].copy(), min_words, _ODD[k])[starts] for k in (0, 1))
+                for k in range(0, len(starts), 1 << 18):
+                    part = slice(k, k + (1 << 18))
+                    doc = batch.column("doc").take(pa.array(np.full(len(starts[part]), i)))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(a[part].view(np.int64)), pa.array((b[part] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
+                         doc, pa.array(starts[part].astype(np.int32))], ["a", "b", "doc", "start"])
+
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.IntegerType()), rows.schema["doc"],
+                           T.StructField("start", T.IntegerType())])
+    return rows.select("doc", "text", "places").mapInArrow(run, schema)
+
+
+def _stretches(covered: np.ndarray) -> list[tuple[int, int]]:
+    """Maximal runs [first, end) of true values."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], covered, [False]]).astype(np.int8)))
+    return [(int(x), int(y)) for x, y in edges.reshape(-1, 2)]
+
+
+def _cover(starts: np.ndarray, size: int, n: int) -> np.ndarray:
+    """Which of ``n`` words lie in windows of ``size`` words."""
+    edges = np.zeros(n + 1, np.int64)
+    np.add.at(edges, starts, 1)
+    np.add.at(edges, starts + size, -1)
+    return np.cumsum(edges[:-1]) > 0
 
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``doc_id, start_word, end_word, n_words, first_doc_id, kept``: every maximal stretch of a
     document that lies in passages it shares with others. ``first_doc_id`` is the least document
     that shares it; ``kept`` marks the stretch whose own document is the least."""
-    pairs = stored(alignments(chunk_rows(docs, text, key)), "alignments")
-    side_a = pairs.select(F.col("doc").alias("id"), (F.col("first") - MARGIN).alias("first"),
-                          (F.col("last") + MARGIN).alias("last"))
-    side_b = pairs.select(F.col("other").alias("id"), (F.col("first") + F.col("shift") - MARGIN).alias("first"),
-                          (F.col("last") + F.col("shift") + MARGIN).alias("last"))
-    parts = stored(_slices(docs, side_a.unionByName(side_b), text, key), "slices")
-    both = (pairs.join(parts.select(F.col("id").alias("doc"), F.col("lo").alias("lo_a"), F.col("part").alias("part_a")), "doc")
-            .select("other", "doc", "shift", "first", "last", "lo_a",
-                    F.col("part_a"))
-            .join(parts.select(F.col("id").alias("other"), F.col("lo").alias("lo_b"), F.col("part").alias("part_b")), "other")
-            .select("doc", "other", "shift", "first", "last", "lo_a", "lo_b", "part_a", "part_b"))
+    places = stored(shared_places(gram_rows(docs, min_words, text, key)), "places")
+    alike = Window.partitionBy("a", "b")
+    met = (windows(docs, places, min_words, text, key)
+           .withColumn("least", F.min("doc").over(alike))
+           .withColumn("second", F.min(F.when(F.col("doc") > F.col("least"), F.col("doc"))).over(alike))
+           .select("doc", "start", F.when(F.col("doc") > F.col("least"), F.col("least")).otherwise(F.col("second")).alias("other"))
+           .where("other IS NOT NULL").repartition("doc").sortWithinPartitions("doc", "start"))
     small_batches(docs.sparkSession)
+    kind = met.schema["doc"].dataType
+    arrow = to_arrow_type(kind)
+    schema = T.StructType([T.StructField("doc", kind), T.StructField("x", T.IntegerType()), T.StructField("y", T.IntegerType()),
+                           T.StructField("other", kind), T.StructField("kept", T.BooleanType())])
+
+    def spans(doc, starts: np.ndarray, others: list) -> Iterator[tuple]:
+        base, starts = int(starts[0]), starts - starts[0]
+        for x, y in _stretches(_cover(starts, min_words, int(starts[-1]) + min_words)):
+            low, high = np.searchsorted(starts, (x - min_words + 1, y))
+            other = min(others[low:high])
+            yield doc, base + x, base + y, other, other > doc
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        doc, starts, others = None, [], []
+        types = [("doc", arrow), ("x", pa.int32()), ("y", pa.int32()), ("other", arrow), ("kept", pa.bool_())]
+
+        def rows() -> list[dict]:
+            found = spans(doc, np.concatenate(starts).astype(np.int64), others) if starts else ()
+            return [dict(zip(("doc", "x", "y", "other", "kept"), r)) for r in found]
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            owner, starts, ends, shifts = [], [], [], []
-            for i, row in enumerate(batch.drop_columns(["doc", "other", "part_a", "part_b"]).to_pylist()):
-                a, b = (batch.column(c)[i].as_py().split(b" ") for c in ("part_a", "part_b"))
-                lo = max(row["first"] - MARGIN, row["lo_a"], row["lo_b"] - row["shift"])
-                hi = row["last"] + MARGIN
-                at_a, at_b = lo - row["lo_a"], lo + row["shift"] - row["lo_b"]
-                for x, y in common_runs(a[at_a:at_a + hi - lo], b[at_b:at_b + hi - lo], min_words):
-                    owner.append(i)
-                    starts.append(lo + x)
-                    ends.append(lo + y)
-                    shifts.append(row["shift"])
-            take = pa.array(owner, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc").take(take), batch.column("other").take(take), pa.array(starts, pa.int32()),
-                 pa.array(ends, pa.int32()), pa.array(shifts, pa.int32())], ["doc", "other", "x", "y", "shift"])
-
-    kind = both.schema["doc"].dataType
-    schema = T.StructType([T.StructField("doc", kind), T.StructField("other", kind)]
-                          + [T.StructField(c, T.IntegerType()) for c in ("x", "y", "shift")])
-    runs = stored(both.mapInArrow(compare, schema), "runs")
-    spans = (runs.select("doc", "other", "x", "y")
-             .unionByName(runs.select(F.col("other").alias("doc"), F.col("doc").alias("other"),
-                                      (F.col("x") + F.col("shift")).alias("x"), (F.col("y") + F.col("shift")).alias("y")))
-             .groupBy("doc", "x", "y").agg(F.min("other").alias("other")))
-    before = Window.partitionBy("doc").orderBy("x", "y").rowsBetween(Window.unboundedPreceding, -1)
-    upto = Window.partitionBy("doc").orderBy("x", "y")
-    opens = F.coalesce(F.col("x") > F.max("y").over(before), F.lit(True)).cast("int")
-    merged = (spans.withColumn("opens", opens).withColumn("run", F.sum("opens").over(upto))
-              .groupBy("doc", "run").agg(F.min("x").alias("x"), F.max("y").alias("y"), F.min("other").alias("other")))
-    return merged.select(F.col("doc").alias(key), F.col("x").alias("start_word"), F.col("y").alias("end_word"),
-                         (F.col("y") - F.col("x")).alias("n_words"), F.col("other").alias("first_doc_id"),
-                         (F.col("other") > F.col("doc")).alias("kept"))
+            out, names, at, other = [], batch.column(0).to_pylist(), batch.column(1).to_numpy(), batch.column(2).to_pylist()
+            first = 0
+            for i in [k for k in range(1, len(names)) if names[k] != names[k - 1]] + [len(names)]:
+                if i == first:
+                    continue
+                if starts and names[first] != doc:
+                    out += rows()
+                    starts, others = [], []
+                doc = names[first]
+                starts.append(at[first:i])
+                others.extend(other[first:i])
+                first = i
+            yield pa.RecordBatch.from_pylist(out, pa.schema(types))
+        yield pa.RecordBatch.from_pylist(rows(), pa.schema(types))
+
+    return met.mapInArrow(run, schema).select(
+        F.col("doc").alias(key), F.col("x").alias("start_word"), F.col("y").alias("end_word"),
+        (F.col("y") - F.col("x")).alias("n_words"), F.col("other").alias("first_doc_id"), "kept")
 
 
 def remove_repeated(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text", key: str = "doc_id") -> DataFrame:

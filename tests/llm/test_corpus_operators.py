@@ -228,6 +228,35 @@ def test_repeated_passages_are_found_exactly(spark):
     assert left[51] == "" and len(left[52].split()) == 7 and left[50] == rows[10][1] and left[61] is None
 
 
+def brute_spans(rows, size):
+    """Windows met in another document, laid over each other."""
+    held = {}
+    for i, t in rows:
+        w = (t or "").encode().split()
+        for k in range(len(w) - size + 1) if i is not None else ():
+            held.setdefault(tuple(w[k:k + size]), set()).add((i, k))
+    covered = {}
+    for places in held.values():
+        if len({i for i, _ in places}) > 1:
+            for i, k in places:
+                covered.setdefault(i, set()).update(range(k, k + size))
+    return {(i, x) for i, words_ in covered.items() for x in words_}
+
+
+def test_repeated_passages_equal_brute_force(spark):
+    """A passage whose parts lie in other orders in smaller documents, long ones that go on elsewhere, one word over and over."""
+    passage, long = words(66).split(), words(400).split()
+    rows = [(1, " ".join([*passage[44:], *words(3).split(), *passage[22:44], *words(3).split(), *passage[:22]])),
+            (2, words(20) + " " + " ".join(passage)), (3, " ".join(passage) + " " + words(9)),
+            (4, " ".join(long[150:300])), (5, " ".join(long[:200])), (6, words(5) + " " + " ".join(long)), (7, " ".join(long) + " " + words(5)),
+            (8, words(3) + " go" * 130), (9, "go " * 70 + words(4)), (10, "a b c " * 40), (11, words(2) + " b c a" * 30), (None, " ".join(long)), (12, None)]
+    docs = documents(spark, rows)
+    for size in (50, 7, 1):
+        got = substrings.repeated_spans(docs, size).collect()
+        assert {(r.doc_id, x) for r in got for x in range(r.start_word, r.end_word)} == brute_spans(rows, size)
+    assert {2, 3} <= {r.doc_id for r in substrings.repeated_spans(docs).collect()}
+
+
 # ---- 10 ------------------------------------------------------------------------------------------
 
 def test_toxicity_is_learnt_and_held_out(spark):
