@@ -8,8 +8,8 @@ A passage of ``min_words`` words is repeated if another document holds the same
 2. Every window of ``min_words`` words around a gram that is left gets a 96-bit digest of its words. Windows
    with one digest are brought together: each learns the least other document that holds it.
 3. The windows of a document are laid over each other, which gives the exact maximal repeated
-   stretches. A passage stays in the document that has none smaller to refer to and is marked for
-   removal in the others.
+   stretches. Words in a window that a smaller document holds are marked for removal, the other words in
+   windows are kept: every removed word stays in a smaller document.
 
 No passage is missed, wherever its parts lie and however often they are repeated: the filter has no exceptions, and
 the windows are compared with all others, not with one chosen place. The digests stand for the words: in 2e9
@@ -171,8 +171,9 @@ def _cover(starts: np.ndarray, size: int, n: int) -> np.ndarray:
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``doc_id, start_word, end_word, n_words, first_doc_id, kept``: every maximal stretch of a
-    document that lies in passages it shares with others. ``first_doc_id`` is the least document
-    that shares it; ``kept`` marks the stretch whose own document is the least."""
+    document to remove, which lies in passages that smaller documents hold, and to keep (``kept``), which
+    lies only in passages that it shares with larger ones; a kept stretch ends where one to remove begins, so
+    it can be shorter than ``min_words``. ``first_doc_id`` is the least other document that shares a part of it."""
     places = stored(shared_places(gram_rows(docs, min_words, text, key)), "places")
     alike = Window.partitionBy("a", "b")
     met = (windows(docs, places, min_words, text, key)
@@ -188,10 +189,13 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "tex
 
     def spans(doc, starts: np.ndarray, others: list) -> Iterator[tuple]:
         base, starts = int(starts[0]), starts - starts[0]
-        for x, y in _stretches(_cover(starts, min_words, int(starts[-1]) + min_words)):
-            low, high = np.searchsorted(starts, (x - min_words + 1, y))
-            other = min(others[low:high])
-            yield doc, base + x, base + y, other, other > doc
+        keeps = np.fromiter((o > doc for o in others), bool, len(others))
+        gone = _cover(starts[~keeps], min_words, int(starts[-1]) + min_words)
+        kept = _cover(starts[keeps], min_words, len(gone)) & ~gone
+        for covered, which in ((gone, np.flatnonzero(~keeps)), (kept, np.flatnonzero(keeps))):
+            for x, y in _stretches(covered):
+                low, high = np.searchsorted(starts[which], (x - min_words + 1, y))
+                yield doc, base + x, base + y, min(others[k] for k in which[low:high]), covered is kept
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc, starts, others = None, [], []

@@ -257,6 +257,23 @@ def test_repeated_passages_equal_brute_force(spark):
     assert {2, 3} <= {r.doc_id for r in substrings.repeated_spans(docs).collect()}
 
 
+def test_adjacent_passages_are_kept_once_each(spark):
+    one, two, three = (words(60) for _ in range(3))
+    tail = " ".join(one.split()[10:])
+    rows = [(2, one), (5, one + " " + two), (9, words(4) + " " + two + " " + three), (11, three + " " + one), (12, tail + " " + words(70)),
+            (20, words(5)), (30, " ".join(two.split()[5:]) + " " + words(3))]
+    docs = documents(spark, rows)
+    got = {(r.doc_id, r.start_word, r.end_word, r.first_doc_id, r.kept) for r in substrings.repeated_spans(docs).collect()}
+    assert got == {(2, 0, 60, 5, True), (5, 0, 60, 2, False), (5, 60, 120, 9, True), (9, 4, 64, 5, False), (9, 64, 124, 11, True),
+                   (11, 0, 120, 2, False), (12, 0, 50, 2, False), (30, 0, 55, 5, False)}
+    left = " | ".join(r.text for r in substrings.remove_repeated(docs).collect())
+    assert all(left.count(p) == 1 for p in (one, two, three))
+    a, b = words(40), words(60)
+    lapped = documents(spark, [(1, a + " " + b), (2, a + " " + b + " " + a), (3, words(2) + " " + b + " " + a)])
+    got = {(r.doc_id, r.start_word, r.end_word, r.first_doc_id, r.kept) for r in substrings.repeated_spans(lapped).collect()}
+    assert got == {(1, 0, 100, 2, True), (2, 0, 100, 1, False), (2, 100, 140, 3, True), (3, 2, 102, 1, False)}
+
+
 # ---- 10 ------------------------------------------------------------------------------------------
 
 def test_toxicity_is_learnt_and_held_out(spark):
