@@ -41,7 +41,8 @@ EVIDENCE = 1.0           # added to every declaration, spread over the languages
 STRENGTH = 5.0           # pages' worth of the wider level in each level of the host prior
 MOST_LANGUAGES = 500
 _GONE = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
-_DECLARED = re.compile(r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-z]{2,3})\b")
+_HTML_TAG = re.compile(r"(?i)<html\b[^>]*")
+_DECLARED = re.compile(r"(?i)\blang\s*=\s*+[\"']?\s*+([a-z]{2,3})\b")
 _CODE = r"^[a-z]{2}$"
 _LETTERS = bytes(LOWER_BYTES[b] if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
@@ -51,8 +52,11 @@ def visible_text(html: str | None) -> str:
 
 
 def declared_language(html: str | None) -> str:
-    found = _DECLARED.search(html[:4096]) if html else None
-    return found[1].lower() if found else ""
+    """The language of the first html tag that declares one, wherever it stands."""
+    for tag in _HTML_TAG.finditer(html or ""):
+        if found := _DECLARED.search(tag[0], 5):
+            return found[1].lower()
+    return ""
 
 
 def trigram_buckets(text: str | None) -> np.ndarray:

@@ -313,6 +313,13 @@ def test_language_fuses_evidence(spark):
     assert {r.lang for r in language.identify(pages, docs.limit(0)).collect()} == {None}
 
 
+@pytest.mark.parametrize("head", ["", "<!-- licence " + "x" * 10_000 + " -->", " " * 10_000, "<html>" + "<script>" + "y" * 5000 + "</script>"])
+def test_declared_language_is_found_anywhere(head):
+    assert language.declared_language(head + "<HTML class=a\n lang = ' De-AT'><p>x") == "de"
+    assert language.declared_language(head + "<html class=a><p lang=fr>x") == ""
+    assert language.declared_language(head + "<html lang=\"\">") == "" == language.declared_language(None)
+
+
 def test_pipeline_stages_keep_clean_documents(spark, tmp_path):
     import corpus_pipeline
     bench = words(30)
