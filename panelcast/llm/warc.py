@@ -8,7 +8,8 @@ the same bytes in place of the same file.
 
 *Reading*: members are inflated and checked one by one (CRC, version line, content length, block
 digest). After a failed check the reader searches for the next place where a whole valid member or version
-line begins, goes on from there, and logs the bytes between as quarantined. Compressed and plain
+line begins, goes on from there, and logs the bytes between as quarantined. Of a member that is damaged, or holds
+a damaged record, it keeps what inflated and searches that for the records in the same way. Compressed and plain
 archives, and mixtures, are read alike.
 
 Defined cases: a null payload is empty; payloads below ``min_bytes`` are all responses; null page
@@ -133,43 +134,111 @@ def inflate(data: bytes, at: int) -> tuple[bytes, int]:
     return out, len(data) - len(z.unused_data)
 
 
-def _member(data: bytes, at: int) -> tuple[list[Record], int]:
+def inflate_part(data: bytes, at: int) -> tuple[bytes, int, bool]:
+    """What a damaged gzip member yields, how far it could be read, and whether no byte of it was wrong: it is only cut."""
+    z, out, first = zlib.decompressobj(31), [], at
+    for step in (1 << 16, 1 << 8):
+        while first < len(data):
+            held = z.copy()
+            try:
+                out.append(z.decompress(data[first:first + step]))
+            except zlib.error:
+                z = held
+                break
+            first += step
+        else:
+            return b"".join(out), len(data), True
+    try:                                        # the last bytes one by one, up to the wrong one
+        while first < len(data):
+            rest = data[first:first + 1]
+            while piece := z.decompress(rest, 1):
+                out.append(piece)
+                rest = z.unconsumed_tail
+            first += 1
+    except zlib.error:
+        pass
+    return b"".join(out), first, False
+
+
+def _records(content: bytes, at: int, sure: bool) -> tuple[list[Record], list[str]]:
+    """The intact records of the member at ``at``, and what lies between them. If the member is not ``sure``
+    to be right, only records with a block digest count."""
+    records, lost, inner, bad, why = [], [], 0, -1, ""
+    while inner < len(content):
+        try:
+            record, end = parse_record(content, inner)
+            if not sure and not record.headers.get("WARC-Block-Digest", "").startswith("sha1:"):
+                raise Damage("no block digest in a damaged member")
+        except Damage as e:
+            if bad < 0:
+                bad, why = inner, str(e)
+            found = VERSION.search(content, inner + 1)
+            inner = found.start() if found else len(content)
+            continue
+        if bad >= 0:
+            lost.append(f"{why}, inflated bytes {bad} to {inner}")
+            bad = -1
+        record.offset = at
+        records.append(record)
+        inner = end
+    if bad >= 0:
+        lost.append(f"{why}, inflated bytes {bad} to {len(content)}")
+    return records, lost
+
+
+def _member(data: bytes, at: int) -> tuple[list[Record], int, list[str]]:
     if data.startswith(GZIP_MAGIC, at):
         content, end = inflate(data, at)
-        records, inner = [], 0
-        while inner < len(content):
-            record, inner = parse_record(content, inner)
-            record.offset = at
-            records.append(record)
+        records, lost = _records(content, at, True)
         if not records:
-            raise Damage("empty member")
-        return records, end
+            raise Damage(lost[0] if lost else "empty member")
+        return records, end, lost
     record, end = parse_record(data, at)
-    return [record], end
+    return [record], end, []
 
 
 _NEXT = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 
 
 def salvage(data: bytes) -> Salvage:
-    """Every intact record, and the byte ranges that had to be left out."""
-    out, at, bad, why = Salvage(), 0, -1, ""
+    """Every intact record, and the byte ranges that had to be left out. A member that is damaged or holds
+    damaged records is a gap for each of them, whose reason gives the inflated bytes that are lost."""
+    out, at, bad, why = Salvage(), 0, -1, []
+    part, reach = b"", 0                        # what the last damaged member yielded, and how far it was read
+
+    def close(end: int) -> None:
+        out.gaps.extend((bad, end, w) for w in why)
+
     while at < len(data):
         try:
-            records, end = _member(data, at)
+            records, end, lost = _member(data, at)
+            if at < reach and data[at:end] in part:
+                raise Damage("part of the damaged member")
         except Damage as e:
-            if bad < 0:
-                bad, why = at, str(e)
+            kept, lost, content, stop = [], [], b"", at
+            if data.startswith(GZIP_MAGIC, at):
+                content, stop, cut = inflate_part(data, at)
+                if not (at < reach and data[at:stop] in part):
+                    kept, lost = _records(content, at, cut)
+            if kept:
+                if bad >= 0:
+                    close(at)
+                bad, why = at, [f"{e}: {x}" for x in lost] or [str(e)]
+                out.records += kept
+                part, reach = content, stop
+            elif bad < 0:
+                bad, why = at, [str(e)]
             found = _NEXT.search(data, at + 1)
             at = found.start() if found else len(data)
             continue
         if bad >= 0:
-            out.gaps.append((bad, at, why))
+            close(at)
             bad = -1
+        out.gaps += [(at, end, x) for x in lost]
         out.records += records
         at = end
     if bad >= 0:
-        out.gaps.append((bad, len(data), why))
+        close(len(data))
     return out
 
 

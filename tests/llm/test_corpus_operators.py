@@ -171,6 +171,36 @@ def test_salvage_recovers_what_follows_the_damage(pack):
     assert warc.salvage(b"").records == [] and warc.salvage(b"no archive").gaps[0][:2] == (0, 10)
 
 
+def _stored_member(data):
+    z = zlib.compressobj(0, zlib.DEFLATED, 31)
+    return z.compress(data) + z.flush()
+
+
+@pytest.mark.parametrize("pack", [warc._gzip, _stored_member])
+def test_salvage_reads_on_inside_members(pack):
+    records = [warc.page_record(str(i), "http://x/", words(2000).encode(), None) for i in range(5)]
+    ends = list(itertools.accumulate(map(len, records)))
+    ids = lambda found: [r.headers["WARC-Record-ID"][10:-1] for r in found.records]
+    broken = bytearray(b"".join(records))
+    broken[ends[2] - 40] ^= 1
+    member, after = pack(bytes(broken)), warc._gzip(warc.page_record("9", "http://y/", b"z", None))
+    found = warc.salvage(member + after)                                  # a bad record in an intact member
+    assert ids(found) == ["0", "1", "3", "4", "9"]
+    assert found.gaps == [(0, len(member), f"block digest differs, inflated bytes {ends[1]} to {ends[2]}")]
+    whole = pack(b"".join(records))
+    cut = warc.salvage(whole[:-40])                                       # a cut tail
+    assert ids(cut) == ["0", "1", "2", "3"] and [g[:2] for g in cut.gaps] == [(0, len(whole) - 40)]
+    both = warc.salvage(member[:-40] + after)                             # both, and a member behind them
+    assert ids(both) == ["0", "1", "3", "9"] and {g[:2] for g in both.gaps} == {(0, len(member) - 40)} and len(both.gaps) == 2
+    tail = warc.salvage(whole[:-8] + b"\0\0\0\0" + whole[-4:] + after)    # a wrong checksum, all records right
+    assert ids(tail) == ["0", "1", "2", "3", "4", "9"] and [g[:2] for g in tail.gaps] == [(0, len(whole))]
+    bad = bytearray(whole)
+    bad[len(whole) * 7 // 10] ^= 0x55                                     # a wrong byte in the middle
+    found = warc.salvage(bytes(bad) + after)
+    assert ids(found)[:3] == ["0", "1", "2"] and ids(found)[-1] == "9" and len(set(ids(found))) == len(found.records)
+    assert all(r.block in b"".join(records) + warc.page_record("9", "http://y/", b"z", None) for r in found.records)
+
+
 # ---- 8 -------------------------------------------------------------------------------------------
 
 def distance(a, b):
