@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from panelcast.llm import (bpe, decontaminate, exact_dedup, language, line_dedup, near_dedup, preference,
-                           substrings, toxicity, warc)
+from panelcast.llm import (bpe, decontaminate, exact_dedup, language, lexical, line_dedup, near_dedup,
+                           preference, substrings, toxicity, warc)
 
 QUERIES = {
     "op1_preference": preference.op1_preference,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_substring_dedup": substrings.op9_substring_dedup,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op13_lexical_search": lexical.op13_lexical_search,
 }
 
 # Operators 3, 4, 8, 9 and 10 have no SQL form; tests/llm holds them against brute force.
@@ -25,4 +26,5 @@ ORACLE = {
     "op5_minhash_near_dedup": near_dedup.ORACLE,
     "op6_decontaminate": decontaminate.ORACLE,
     "op7_warc": warc.ORACLE,
+    "op13_lexical_search": lexical.ORACLE,
 }
