@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from panelcast.llm import (bpe, decontaminate, exact_dedup, language, lexical, line_dedup, near_dedup,
-                           preference, substrings, toxicity, warc)
+from panelcast.llm import (bpe, collocations, decontaminate, exact_dedup, language, lexical, line_dedup,
+                           metric_join, near_dedup, preference, substrings, toxicity, warc)
 
 QUERIES = {
     "op1_preference": preference.op1_preference,
@@ -16,6 +16,8 @@ QUERIES = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_substring_dedup": substrings.op9_substring_dedup,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_collocations": collocations.op11_collocations,
+    "op12_jaccard_join": metric_join.op12_jaccard_join,
     "op13_lexical_search": lexical.op13_lexical_search,
 }
 
@@ -26,5 +28,7 @@ ORACLE = {
     "op5_minhash_near_dedup": near_dedup.ORACLE,
     "op6_decontaminate": decontaminate.ORACLE,
     "op7_warc": warc.ORACLE,
+    "op11_collocations": collocations.ORACLE,
+    "op12_jaccard_join": metric_join.ORACLE,
     "op13_lexical_search": lexical.ORACLE,
 }
