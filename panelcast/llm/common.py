@@ -6,6 +6,8 @@ import re
 import string
 import uuid
 
+from pyspark import cloudpickle
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +40,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession, value: object) -> Broadcast:
+    """A broadcast of ``value`` with its classes by value, so that workers need not have this package."""
+    return spark.sparkContext.broadcast([cloudpickle.dumps(value)])
+
+
+def shipped(broadcast: Broadcast) -> object:
+    """What was shipped; a worker unpacks it once."""
+    held = broadcast.value
+    if isinstance(held[0], bytes):
+        held[0] = cloudpickle.loads(held[0])
+    return held[0]
+
+
 def fan_out(spark: SparkSession) -> int:
     """Into how many salts a key is spread: as many as there are shuffle partitions, so that a
     hot key fills all of them."""

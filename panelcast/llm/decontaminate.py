@@ -7,14 +7,16 @@ document and its word at once, and no list ever crosses a document. The table is
 shared folder, where any number of searches read it; a document longer than a segment gets a
 segment of its own.
 
-*Search*: the test items are compiled in blocks of bounded size. A phrase is looked up segment by segment:
-its terms' lists are ordered by length, the rarest gives the candidate starts (positions less the
-term's offset in the phrase), and every further list, shifted by its own offset, is intersected
-with them. Segments that lack a term of a phrase drop it at once. :func:`search` returns exact
-matches; ``slop`` widens the intersection to a neighbourhood of each offset (proximity).
-
-Defined cases: null or empty texts have no words; documents and items without words match
-nothing; a null ``item_id`` hits words but is not listed; items that repeat an id count once.
+*Search*: the test items are compiled in blocks of bounded size. A segment looks the block's terms up once; phrases
+that have a term which the segment lacks are dropped together. For each of the others the terms' lists are ordered
+by length, the rarest gives the candidate starts (positions less the term's offset in the phrase), and every further
+list, shifted by its own offset, is intersected with them. :func:`search` returns exact matches; ``slop`` widens
+the intersection to a neighbourhood of each offset (proximity).
+
+Defined cases: null or empty texts have no words; documents and items without words match nothing; a null ``item_id``
+hits words but is not listed; items that repeat an id count once; documents that repeat an id (or have none) are
+judged one by one; very long texts are indexed whole; without items no document is hit, without documents there are
+no rows. Only the key and the text of either table are read, so other columns' names cannot clash.
 """
 
 from __future__ import annotations
@@ -24,13 +26,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import alnum_words, small_batches, stored, table
+from panelcast.llm.common import alnum_words, ship, shipped, small_batches, stored, table
 
-SEGMENT_WORDS = 200_000      # words of a segment: bounds a task's memory and an index row
+SEGMENT_WORDS = 150_000      # words of a segment: bounds a task's memory and an index row
 BLOCK_WORDS = 200_000        # words of the test items that a search takes at a time
 WINDOW = 10
 SEGMENT_SCHEMA = ("segment string, docs array<binary>, starts array<int>, lengths array<int>, "
@@ -39,25 +42,29 @@ SEGMENT_SCHEMA = ("segment string, docs array<binary>, starts array<int>, length
 
 # ---- index ------------------------------------------------------------------------------------
 
+class _Codes(dict):
+    """term -> number, in the order of first use."""
+
+    def __missing__(self, term: bytes) -> int:
+        self[term] = code = len(self)
+        return code
+
+
 def _segment(name: str, docs: list[tuple[bytes, list[bytes]]], gap: int) -> dict:
     """CSR postings of documents laid one after another, ``gap`` free positions between them."""
-    ids: dict[bytes, int] = {}
-    starts, codes, at = [], [], 0
-    positions = []
-    for _, words in docs:
-        starts.append(at)
-        codes.append(np.fromiter((ids.setdefault(w, len(ids)) for w in words), np.int64, len(words)))
-        positions.append(np.arange(at, at + len(words)))
-        at += len(words) + gap
-    code = np.concatenate(codes) if codes else np.empty(0, np.int64)
+    ids = _Codes()
+    lengths = np.array([len(w) for _, w in docs], np.int64)
+    starts = np.cumsum(lengths + gap) - lengths - gap
+    code = np.concatenate([np.fromiter(map(ids.__getitem__, w), np.int64, len(w)) for _, w in docs])
+    place = np.arange(len(code)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + np.repeat(starts, lengths)
     terms = sorted(ids)
     order_of = np.empty(len(ids), np.int64)
-    order_of[[ids[t] for t in terms]] = np.arange(len(terms))
+    order_of[np.fromiter(map(ids.__getitem__, terms), np.int64, len(terms))] = np.arange(len(terms))
     code = order_of[code]
     order = np.argsort(code, kind="stable")
-    return {"segment": name, "docs": [d for d, _ in docs], "starts": starts, "lengths": [len(w) for _, w in docs],
-            "terms": terms, "ends": np.cumsum(np.bincount(code, minlength=len(terms))).tolist(),
-            "postings": np.concatenate(positions)[order].astype(np.int32) if positions else []}
+    return {"segment": name, "docs": [d for d, _ in docs], "starts": starts.astype(np.int32), "lengths": lengths.astype(np.int32),
+            "terms": terms, "ends": np.cumsum(np.bincount(code, minlength=len(terms))).astype(np.int32),
+            "postings": place[order].astype(np.int32)}
 
 
 def build_index(docs: DataFrame, text: str = "text", key: str = "doc_id", gap: int = 64,
@@ -101,34 +108,35 @@ class Segment:
         self.docs = row.column("docs")[i].values.to_pylist()
         self.starts, self.lengths, ends, self.postings = (
             row.column(c)[i].values.to_numpy() for c in ("starts", "lengths", "ends", "postings"))
-        self.terms = {t: n for n, t in enumerate(row.column("terms")[i].values.to_pylist())}
+        self.terms = row.column("terms")[i].values
         self.bounds = np.concatenate([[0], ends])
-        self.sizes = np.diff(self.bounds).tolist()
+        self.sizes = np.diff(self.bounds)
+
+    def codes(self, terms: pa.Array) -> np.ndarray:
+        """The segment's numbers of the terms, -1 for those that it lacks."""
+        found = pc.index_in(terms, value_set=self.terms)
+        return pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int64)
 
-    def list_of(self, term: bytes) -> np.ndarray:
-        n = self.terms.get(term)
-        return self.postings[:0] if n is None else self.postings[self.bounds[n]:self.bounds[n + 1]]
+    def list_of(self, code: int) -> np.ndarray:
+        return self.postings[self.bounds[code]:self.bounds[code + 1]]
 
-    def phrase(self, phrase: list[bytes], slop: int = 0) -> np.ndarray:
+    def phrase(self, codes: list[int], slop: int = 0) -> np.ndarray:
         """Rising start positions at which every term lies within ``slop`` of its offset."""
-        codes = [self.terms.get(t, -1) for t in phrase]
-        if min(codes) < 0:
-            return self.postings[:0]
-        rarest = sorted(range(len(phrase)), key=lambda o: self.sizes[codes[o]])
-        starts = self.list_of(phrase[rarest[0]]) - rarest[0]
+        rarest = sorted(range(len(codes)), key=lambda o: self.sizes[codes[o]])
+        starts = self.list_of(codes[rarest[0]]) - rarest[0]
         if slop:
             starts = np.unique((starts[:, None] + np.arange(-slop, slop + 1)).ravel())
         for offset in rarest[1:]:
             if not len(starts):
                 break
-            postings, wanted = self.list_of(phrase[offset]), starts + offset
+            postings, wanted = self.list_of(codes[offset]), starts + offset
             at = np.searchsorted(postings, wanted - slop)
             found = postings[np.minimum(at, len(postings) - 1)]
             starts = starts[(at < len(postings)) & (found >= wanted - slop) & (found <= wanted + slop)]
         if slop:                     # an occurrence may not reach into a neighbouring document
             own = self.doc_of(starts)
             starts = starts[(starts >= self.starts[own])
-                            & (starts + len(phrase) <= self.starts[own] + self.lengths[own])]
+                            & (starts + len(codes) <= self.starts[own] + self.lengths[own])]
         return starts
 
     def doc_of(self, positions: np.ndarray) -> np.ndarray:
@@ -144,6 +152,27 @@ def windows_of(words: list[bytes], window: int) -> list[tuple[bytes, ...]]:
     return [tuple(words[i:i + size]) for i in range(len(words) - size + 1)]
 
 
+class Block:
+    """Phrases, the ids of the items that have them, and their terms."""
+
+    def __init__(self, phrases: dict[tuple[bytes, ...], set[str | None]]) -> None:
+        terms = sorted({t for p in phrases for t in p})
+        number = {t: n for n, t in enumerate(terms)}
+        self.terms = pa.array(terms, pa.binary())
+        self.ids = [sorted(i for i in ids if i is not None) for ids in phrases.values()]
+        self.sizes = [len(p) for p in phrases]
+        # Rows of term numbers; the number after the last one fills up short phrases.
+        self.phrases = np.full((len(phrases), max(self.sizes, default=1)), len(terms), np.int64)
+        for row, phrase in zip(self.phrases, phrases):
+            row[:len(phrase)] = [number[t] for t in phrase]
+
+    def possible(self, segment: Segment) -> Iterator[tuple[list[int], list[str]]]:
+        """``(codes, item ids)`` of the phrases whose terms the segment has."""
+        codes = np.append(segment.codes(self.terms), 0)[self.phrases]
+        for n in np.flatnonzero(codes.min(axis=1) >= 0).tolist():
+            yield codes[n, :self.sizes[n]].tolist(), self.ids[n]
+
+
 def _blocks(items: DataFrame, key: str, text: str, window: int, block_words: int):
     """The phrases of the test items, phrase -> ids, in blocks of about ``block_words`` words. The
     driver holds one block at a time, whatever the number of items."""
@@ -165,19 +194,17 @@ def search(index: DataFrame, items: DataFrame, key: str = "item_id", text: str =
     if window + slop > 64:
         raise ValueError("windows of more than 64 words need an index with a wider gap")
     spark, out, blocks = index.sparkSession, None, 0
-    # An index row is a few MB: read and hand over few at a time, not by batches of thousands.
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
-    spark.conf.set("spark.sql.parquet.enableNestedColumnVectorizedReader", "false")
+    small_batches(spark)         # an index row is a few MB: a batch holds a few of them
     schema = "segment string, nth int, doc string, n_words long, spans array<struct<first:int,end:int>>, items array<string>"
     spans_type = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
 
     for phrases in _blocks(items, key, text, window, block_words):
-        block = spark.sparkContext.broadcast(phrases)
+        block = ship(spark, Block(phrases))
 
         def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for i in range(batch.num_rows):
-                    yield _matches(Segment(batch, i), block.value, slop, spans_type)
+                    yield _matches(Segment(batch, i), shipped(block), slop, spans_type)
 
         found = index.mapInArrow(run, schema)
         out = found if out is None else out.unionByName(found)
@@ -189,16 +216,16 @@ def search(index: DataFrame, items: DataFrame, key: str = "item_id", text: str =
         F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_set("items")).alias("items"))
 
 
-def _matches(segment: Segment, phrases: dict, slop: int, spans_type: pa.DataType) -> pa.RecordBatch:
+def _matches(segment: Segment, block: Block, slop: int, spans_type: pa.DataType) -> pa.RecordBatch:
     """A row for every document of the segment, with what occurs in it."""
     spans: dict[int, list[tuple[int, int]]] = {}
     items: dict[int, set[str]] = {}
-    for phrase, ids in phrases.items():
-        starts = segment.phrase(list(phrase), slop)
+    for codes, ids in block.possible(segment):
+        starts = segment.phrase(codes, slop)
         for doc, start in zip(segment.doc_of(starts).tolist(), starts.tolist()):
             first = start - int(segment.starts[doc])
-            spans.setdefault(doc, []).append((first, first + len(phrase)))
-            items.setdefault(doc, set()).update(i for i in ids if i is not None)
+            spans.setdefault(doc, []).append((first, first + len(codes)))
+            items.setdefault(doc, set()).update(ids)
     return pa.RecordBatch.from_arrays(
         [pa.array([segment.name] * len(segment.docs), pa.string()),
          pa.array(range(len(segment.docs)), pa.int32()),
@@ -219,10 +246,10 @@ def _merged(spans) -> list[dict]:
     return out
 
 
-def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW,
-                  block_words: int = BLOCK_WORDS, segment_words: int = SEGMENT_WORDS) -> DataFrame:
-    """Per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``."""
-    found = search(build_index(docs, segment_words=segment_words), items, window=window,
+def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS,
+                  segment_words: int = SEGMENT_WORDS, key: str = "doc_id") -> DataFrame:
+    """Per document: ``key, n_words, n_hit, n_items, items_sha256, contaminated``."""
+    found = search(build_index(docs, key=key, segment_words=segment_words), items, window=window,
                    block_words=block_words).select("doc", "n_words", "spans", "items")
 
     def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,12 +262,10 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW,
                  pa.array([len(x) for x in names], pa.int64()),
                  pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in names]),
                  pa.array([h > 0 for h in hit])],
-                ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+                ["doc", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
 
-    kind = docs.schema["doc_id"].dataType
-    return found.mapInArrow(summary, "doc_id string, n_words long, n_hit long, n_items long, "
-                                     "items_sha256 string, contaminated boolean"
-                            ).withColumn("doc_id", F.col("doc_id").cast(kind))
+    summed = found.mapInArrow(summary, "doc string, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    return summed.select(F.col("doc").cast(docs.schema[key].dataType).alias(key), *summed.columns[1:])
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,8 @@ are looked up with the text as well.
 
 Defined cases: a null text is empty; null ids lose to any id; rows that repeat id *and* text are
 in one group, ``group_size`` counts each and exactly one of them is ``kept`` (the least by the hash of
-the whole row; rows equal in all columns are interchangeable). An empty table gives no rows.
+the whole row; rows equal in all columns are interchangeable). Very long texts are compared whole. An empty table gives
+no rows. Other columns are kept as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -84,14 +85,19 @@ def _repeated(assigned: DataFrame) -> DataFrame:
 
 def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", salts: int | None = None,
                 digest: Callable[[Column], Column] = sha256) -> DataFrame:
-    """The kept rows with all their columns."""
+    """The kept rows with all their columns. The winners are found on narrow rows; whole rows move once, to a semi-join
+    that hashes the winners and sorts nothing."""
     salts = salts or fan_out(docs.sparkSession)
     rows, winners, shared = _groups(docs, key, text, salts, digest)
-    wins = F.col("__id").eqNullSafe(F.col("__keep"))
-    ids = _assigned(rows, winners, shared, [])
-    out = _assigned(rows, winners, shared, ["__row"]).where(wins)
-    if not _repeated(ids).isEmpty():
-        first = Window.partitionBy("__d", "__keep", "__id").orderBy(F.xxhash64("__row"))
+    repeated = not _repeated(_assigned(rows, winners, shared, [])).isEmpty()
+    if shared:
+        out = _assigned(rows, winners, shared, ["__row", "__norm"]).where(F.col("__id").eqNullSafe(F.col("__keep")))
+    else:
+        best = winners.select(F.col("__d").alias("__of"), F.col("__keep").alias("__best")).distinct()
+        out = rows.join(best.hint("shuffle_hash"), (F.col("__d") == F.col("__of")) & F.col("__id").eqNullSafe(F.col("__best")),
+                        "left_semi")
+    if repeated:
+        first = Window.partitionBy("__d", "__id", *["__norm"] * shared).orderBy(F.xxhash64("__row"))
         out = out.withColumn("__nth", F.row_number().over(first)).where("__nth = 1")
     return out.select("__row.*")
 

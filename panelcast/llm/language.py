@@ -40,7 +40,9 @@ SMOOTHING = 0.5          # added to every trigram bucket
 EVIDENCE = 1.0           # added to every declaration, spread over the languages
 STRENGTH = 5.0           # pages' worth of the wider level in each level of the host prior
 MOST_LANGUAGES = 500
-_GONE = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
+_OPEN = re.compile(r"(?i)<(?:(script|style)\b|(!--))?")
+_CLOSE = {"script": re.compile(r"(?i)</script\s*>"), "style": re.compile(r"(?i)</style\s*>"), "!--": re.compile("-->"),
+          "": re.compile(">")}
 _HTML_TAG = re.compile(r"(?i)<html\b[^>]*")
 _DECLARED = re.compile(r"(?i)\blang\s*=\s*+[\"']?\s*+([a-z]{2,3})\b")
 _CODE = r"^[a-z]{2}$"
@@ -48,7 +50,23 @@ _LETTERS = bytes(LOWER_BYTES[b] if b >= 128 or chr(b).isalpha() else 32 for b in
 
 
 def visible_text(html: str | None) -> str:
-    return markup.unescape(_GONE.sub(" ", html)) if html else ""
+    """The text without tags, comments, scripts and styles, each replaced by a space. One that is never closed is taken as a
+    tag, and a tag that is never closed as text. One pass: what was not found once is not looked for again."""
+    if not html:
+        return ""
+    out, at, seen, missing = [], 0, 0, set()
+    while "" not in missing and (start := _OPEN.search(html, seen)):
+        close = None
+        for kind in ((start[1] or start[2] or "").lower(), ""):
+            if kind not in missing:
+                close = _CLOSE[kind].search(html, start.end() if kind else start.start())
+                if close:
+                    break
+                missing.add(kind)
+        if close:
+            out += [html[at:start.start()], " "]
+            at = seen = close.end()
+    return markup.unescape("".join([*out, html[at:]]))
 
 
 def declared_language(html: str | None) -> str:

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from panelcast.llm.common import WORD, alnum_words, lower_ascii, small_batches, stored, table
+from panelcast.llm.common import WORD, alnum_words, lower_ascii, ship, shipped, small_batches, stored, table
 
 SEGMENT_DOCS = 2048          # documents of a segment, at most
 SEGMENT_WORDS = 1_000_000    # words of a segment, unless one document has more
@@ -243,10 +243,10 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, key: str = "doc_id", t
         segments = presence(docs, vocabulary, key, text)
         stats = statistics(segments, len(vocabulary))
         wanted = [(item, [vocabulary[t.encode()] for t in terms]) for item, terms in block]
-        shared = spark.sparkContext.broadcast((wanted, stats))
+        shared = ship(spark, (wanted, stats))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            wanted, stats = shared.value
+            wanted, stats = shipped(shared)
             best: list[list[tuple]] = [[] for _ in wanted]
             for batch in batches:
                 for i in range(batch.num_rows):

@@ -1,23 +1,27 @@
-"""Substring dedup by winnowed word grams and digests of whole windows.
+"""Substring dedup by content-defined chunks of a gear rolling hash.
 
 A passage of ``min_words`` words is repeated if another document holds the same words in a row.
 
-1. *Filter*: of every stretch of ``min_words`` words the word gram (half as long) with the least hash is selected.
-   Which one that is depends on the stretch alone, so two documents that share a stretch share the hash
-   of a selected gram in it. Grams met in one document only are dropped, with map-side combining.
-2. Every window of ``min_words`` words around a gram that is left gets a 96-bit digest of its words. Windows
+1. *Chunks*: a gear hash rolls over the words, eight at a time. A place is a cut if its hash is the least in some run
+   of :func:`reach` places around it, so whether it is one depends on the words near it alone: an insertion moves the
+   cuts behind it, but changes none. A chunk goes from a cut to the next, with the eight words that made the next one.
+2. *Dedup by digest*: chunks that one document only holds are dropped, with map-side combining. Two documents that share
+   ``min_words`` words share two cuts and so a whole chunk in them (the runs at either end of the passage have no place
+   in common); nothing is missed.
+3. Every window of ``min_words`` words around a chunk that is left gets a 96-bit digest of its words. Windows
    with one digest are brought together: each learns the least other document that holds it.
-3. The windows of a document are laid over each other, which gives the exact maximal repeated
+4. The windows of a document are laid over each other, which gives the exact maximal repeated
    stretches. Words in a window that a smaller document holds are marked for removal, the other words in
    windows are kept: every removed word stays in a smaller document.
 
-No passage is missed, wherever its parts lie and however often they are repeated: the filter has no exceptions, and
-the windows are compared with all others, not with one chosen place. The digests stand for the words: in 2e9
+The windows are compared with all others, not with one chosen place. The digests stand for the words: in 2e9
 windows the chance of one false passage is about 1 in 4e10.
 
-Defined cases: null and empty texts have no windows; rows without an id are left out, as nothing could
-name them; rows that repeat an id are one document, whose own repetitions are not passages *across*
-documents; without repeated passages the result is empty.
+Defined cases: null and empty texts have no windows; rows without an id are left out, as nothing could name them; rows that
+repeat an id and a text are one version of a document, and rows that repeat the id with another text are another version:
+its own spans carry its ``version`` (the text's hash), and passages that only versions of one id share are not repeated
+*across* documents; very long texts are taken whole; without repeated passages, or without rows, the result is empty. Other
+columns are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -65,94 +69,129 @@ def _slide(fold: np.ufunc, values: np.ndarray, n: int) -> np.ndarray:
     return fold(values[:len(values) - (n - span)], values[n - span:]) if n > span else values
 
 
-def gram_size(min_words: int) -> int:
-    return (min_words + 1) // 2
+GEAR_WORDS = 8                       # words in the rolling hash: each one shifts the others by a byte
 
 
-def winnow(words: list[bytes], min_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(places, hashes) of the grams selected in a text: every ``min_words`` words hold one whose hash
-    is the least of their grams. Of equal ones as many are left out as that allows."""
-    if len(words) < min_words:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    size = gram_size(min_words)
-    reach = min_words - size + 1
-    g = gram_hashes(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), size)
+def reach(min_words: int) -> int:
+    """Places of which the least is a cut: two runs of them fit side by side into a passage's places."""
+    return max(1, (min_words - gear(min_words) + 1) // 2)
+
+
+def gear(min_words: int) -> int:
+    return min(GEAR_WORDS, max(1, min_words // 2))
+
+
+def cuts(h: np.ndarray, min_words: int) -> np.ndarray:
+    """Places whose gear hash (of the words from there on) is the least of some run of :func:`reach` places."""
+    size, run = gear(min_words), reach(min_words)
+    n = len(h) - size + 1
+    g = np.zeros(n, np.uint64)
+    for k in range(size):
+        g = (g << np.uint64(8)) + h[k:k + n]
     g = (g ^ g >> np.uint64(29)) * np.uint64(_ODD[1])
     g ^= g >> np.uint64(32)
-    least = _slide(np.minimum, g, reach)
-    padded = np.zeros(len(g) + reach - 1, np.uint64)
-    padded[reach - 1:reach - 1 + len(least)] = least
-    at = np.flatnonzero(_slide(np.maximum, padded, reach) == g)
-    found = g[at]
-    if (found[1:] == found[:-1]).any():
-        kept = []
-        for k in range(len(at)):
-            if (kept and k + 1 < len(at) and found[kept[-1]] == found[k] == found[k + 1]
-                    and at[k + 1] - at[kept[-1]] <= reach):
-                continue
-            kept.append(k)
-        at, found = at[kept], found[kept]
-    return at, found
+    least = _slide(np.minimum, g, run)
+    padded = np.zeros(n + run - 1, np.uint64)
+    padded[run - 1:run - 1 + len(least)] = least
+    return np.flatnonzero(_slide(np.maximum, padded, run) == g)
+
+
+def chunks(words: list[bytes], min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(digests, first words, ends) of a text's chunks; texts shorter than a passage have none."""
+    none = np.empty(0, np.int64)
+    if len(words) < min_words:
+        return none.view(np.uint64), none, none
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    at = cuts(h, min_words)
+    # A passage of one word is a chunk by itself.
+    first, end = (at[:-1], at[1:] + gear(min_words)) if min_words > 1 else (at, at + 1)
+    # Sums of h[i] * odd^i; a difference of two, divided by odd^first, depends on the chunk's words alone.
+    odd = _ODD[0]
+    power = np.cumprod(np.concatenate([[1], np.full(len(h), odd, np.uint64)]).astype(np.uint64), dtype=np.uint64)
+    back = np.cumprod(np.concatenate([[1], np.full(len(h), pow(odd, -1, 1 << 64), np.uint64)]).astype(np.uint64), dtype=np.uint64)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * power[:-1], dtype=np.uint64)])
+    digest = (total[end] - total[first]) * back[first] + (end - first).astype(np.uint64)
+    return (digest ^ digest >> np.uint64(29)) * np.uint64(_ODD[1]), first, end
 
 
 def words_of(text: str | None) -> list[bytes]:
     return text.encode().split() if text else []
 
 
-def gram_rows(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``gram, doc, at`` of every selected gram."""
-    small_batches(docs.sparkSession)
+def _versions(docs: DataFrame, text: str, key: str) -> DataFrame:
+    """``doc, version, text``: every version of a document that has an id."""
     rows = docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").alias("text")).where("doc IS NOT NULL")
+    return rows.select("doc", F.xxhash64("text").alias("version"), "text")
+
+
+def chunk_rows(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``chunk, doc, version, places`` of every chunk of a text: where it is there, as pairs of first word and end."""
+    small_batches(docs.sparkSession)
+    rows = _versions(docs, text, key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [winnow(words_of(t.as_py()), min_words) for t in batch.column(1)]
-            if found:
-                owner = np.repeat(np.arange(len(found)), [len(at) for at, _ in found])
+            digests, owners, sizes, places = [], [], [], []
+            for i, t in enumerate(batch.column(2)):
+                digest, first, end = chunks(words_of(t.as_py()), min_words)
+                if len(digest):
+                    order = np.argsort(digest, kind="stable")
+                    found, starts = np.unique(digest[order], return_index=True)
+                    digests.append(found)
+                    owners.append(np.full(len(found), i))
+                    sizes.append(np.diff(np.append(starts, len(order))))
+                    places.append(np.stack([first[order], end[order]], axis=1).ravel())
+            if digests:
+                owner = pa.array(np.concatenate(owners))
+                offsets = np.concatenate([[0], np.cumsum(2 * np.concatenate(sizes))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([g for _, g in found]).view(np.int64)), batch.column(0).take(pa.array(owner)),
-                     pa.array(np.concatenate([at for at, _ in found]).astype(np.int32))], ["gram", "doc", "at"])
+                    [pa.array(np.concatenate(digests).view(np.int64)), batch.column(0).take(owner), batch.column(1).take(owner),
+                     pa.ListArray.from_arrays(offsets, np.concatenate(places).astype(np.int32))],
+                    ["chunk", "doc", "version", "places"])
 
-    schema = T.StructType([T.StructField("gram", T.LongType()), rows.schema["doc"], T.StructField("at", T.IntegerType())])
+    schema = T.StructType([T.StructField("chunk", T.LongType()), rows.schema["doc"], T.StructField("version", T.LongType()),
+                           T.StructField("places", T.ArrayType(T.IntegerType()))])
     return rows.mapInArrow(run, schema)
 
 
 def shared_places(rows: DataFrame) -> DataFrame:
-    """``doc, places``: where each document has grams that another one has too."""
-    shared = rows.groupBy("gram").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").select("gram")
-    return rows.join(shared, "gram").groupBy("doc").agg(F.collect_set("at").alias("places"))
+    """``doc, version, places``: where each text has chunks that another document has too."""
+    shared = (rows.groupBy("chunk").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
+              .select("chunk"))
+    return (rows.join(shared, "chunk").groupBy("doc", "version")
+            .agg(F.flatten(F.collect_set("places")).alias("places")))
 
 
 def windows(docs: DataFrame, places: DataFrame, min_words: int, text: str, key: str) -> DataFrame:
-    """``a, b, doc, start``: digest and place of every window around the places."""
+    """``a, b, doc, version, start``: digest and place of every window that holds one of the places."""
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").alias("text")).join(places, "doc")
-    reach = min_words - gram_size(min_words) + 1
+    rows = _versions(docs, text, key).join(places, ["doc", "version"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 words = words_of(batch.column("text")[i].as_py())
                 n = len(words) - min_words + 1
-                at = batch.column("places")[i].values.to_numpy()
+                first, end = batch.column("places")[i].values.to_numpy().reshape(-1, 2).T
                 if n <= 0:
                     continue
                 edges = np.zeros(n + 1, np.int64)
-                np.add.at(edges, np.clip(at - reach + 1, 0, n), 1)
-                np.add.at(edges, np.clip(at + 1, 0, n), -1)
+                np.add.at(edges, np.clip(end - min_words, 0, n), 1)
+                np.add.at(edges, np.clip(first + 1, 0, n), -1)
                 starts = np.flatnonzero(np.cumsum(edges[:-1]) > 0)
                 lanes = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), np.uint64).reshape(-1, 2)
                 a, b = (gram_hashes(lanes[:, k].copy(), min_words, _ODD[k])[starts] for k in (0, 1))
                 for k in range(0, len(starts), 1 << 18):
                     part = slice(k, k + (1 << 18))
-                    doc = batch.column("doc").take(pa.array(np.full(len(starts[part]), i)))
+                    owner = pa.array(np.full(len(starts[part]), i))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(a[part].view(np.int64)), pa.array((b[part] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
-                         doc, pa.array(starts[part].astype(np.int32))], ["a", "b", "doc", "start"])
+                         batch.column("doc").take(owner), batch.column("version").take(owner),
+                         pa.array(starts[part].astype(np.int32))], ["a", "b", "doc", "version", "start"])
 
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.IntegerType()), rows.schema["doc"],
-                           T.StructField("start", T.IntegerType())])
-    return rows.select("doc", "text", "places").mapInArrow(run, schema)
+                           T.StructField("version", T.LongType()), T.StructField("start", T.IntegerType())])
+    return rows.select("doc", "version", "text", "places").mapInArrow(run, schema)
 
 
 def _stretches(covered: np.ndarray) -> list[tuple[int, int]]:
@@ -170,22 +209,23 @@ def _cover(starts: np.ndarray, size: int, n: int) -> np.ndarray:
 
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``doc_id, start_word, end_word, n_words, first_doc_id, kept``: every maximal stretch of a
+    """``doc_id, version, start_word, end_word, n_words, first_doc_id, kept``: every maximal stretch of a
     document to remove, which lies in passages that smaller documents hold, and to keep (``kept``), which
     lies only in passages that it shares with larger ones; a kept stretch ends where one to remove begins, so
     it can be shorter than ``min_words``. ``first_doc_id`` is the least other document that shares a part of it."""
-    places = stored(shared_places(gram_rows(docs, min_words, text, key)), "places")
+    places = stored(shared_places(chunk_rows(docs, min_words, text, key)), "places")
     alike = Window.partitionBy("a", "b")
     met = (windows(docs, places, min_words, text, key)
            .withColumn("least", F.min("doc").over(alike))
            .withColumn("second", F.min(F.when(F.col("doc") > F.col("least"), F.col("doc"))).over(alike))
-           .select("doc", "start", F.when(F.col("doc") > F.col("least"), F.col("least")).otherwise(F.col("second")).alias("other"))
-           .where("other IS NOT NULL").repartition("doc").sortWithinPartitions("doc", "start"))
+           .select("doc", "version", "start",
+                   F.when(F.col("doc") > F.col("least"), F.col("least")).otherwise(F.col("second")).alias("other"))
+           .where("other IS NOT NULL").repartition("doc", "version").sortWithinPartitions("doc", "version", "start"))
     small_batches(docs.sparkSession)
     kind = met.schema["doc"].dataType
     arrow = to_arrow_type(kind)
-    schema = T.StructType([T.StructField("doc", kind), T.StructField("x", T.IntegerType()), T.StructField("y", T.IntegerType()),
-                           T.StructField("other", kind), T.StructField("kept", T.BooleanType())])
+    schema = T.StructType([T.StructField("doc", kind), T.StructField("version", T.LongType()), T.StructField("x", T.IntegerType()),
+                           T.StructField("y", T.IntegerType()), T.StructField("other", kind), T.StructField("kept", T.BooleanType())])
 
     def spans(doc, starts: np.ndarray, others: list) -> Iterator[tuple]:
         base, starts = int(starts[0]), starts - starts[0]
@@ -195,44 +235,48 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "tex
         for covered, which in ((gone, np.flatnonzero(~keeps)), (kept, np.flatnonzero(keeps))):
             for x, y in _stretches(covered):
                 low, high = np.searchsorted(starts[which], (x - min_words + 1, y))
-                yield doc, base + x, base + y, min(others[k] for k in which[low:high]), covered is kept
+                yield base + x, base + y, min(others[k] for k in which[low:high]), covered is kept
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        doc, starts, others = None, [], []
-        types = [("doc", arrow), ("x", pa.int32()), ("y", pa.int32()), ("other", arrow), ("kept", pa.bool_())]
+        now, starts, others = None, [], []
+        names = ["doc", "version", "x", "y", "other", "kept"]
+        types = pa.schema(list(zip(names, [arrow, pa.int64(), pa.int32(), pa.int32(), arrow, pa.bool_()])))
 
         def rows() -> list[dict]:
-            found = spans(doc, np.concatenate(starts).astype(np.int64), others) if starts else ()
-            return [dict(zip(("doc", "x", "y", "other", "kept"), r)) for r in found]
+            found = spans(now[0], np.concatenate(starts).astype(np.int64), others) if starts else ()
+            return [dict(zip(names, (*now, *r))) for r in found]
 
         for batch in batches:
-            out, names, at, other = [], batch.column(0).to_pylist(), batch.column(1).to_numpy(), batch.column(2).to_pylist()
+            out, texts = [], list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            at, other = batch.column(2).to_numpy(), batch.column(3).to_pylist()
             first = 0
-            for i in [k for k in range(1, len(names)) if names[k] != names[k - 1]] + [len(names)]:
+            for i in [k for k in range(1, len(texts)) if texts[k] != texts[k - 1]] + [len(texts)]:
                 if i == first:
                     continue
-                if starts and names[first] != doc:
+                if starts and texts[first] != now:
                     out += rows()
                     starts, others = [], []
-                doc = names[first]
+                now = texts[first]
                 starts.append(at[first:i])
                 others.extend(other[first:i])
                 first = i
-            yield pa.RecordBatch.from_pylist(out, pa.schema(types))
-        yield pa.RecordBatch.from_pylist(rows(), pa.schema(types))
+            yield pa.RecordBatch.from_pylist(out, types)
+        yield pa.RecordBatch.from_pylist(rows(), types)
 
     return met.mapInArrow(run, schema).select(
-        F.col("doc").alias(key), F.col("x").alias("start_word"), F.col("y").alias("end_word"),
+        F.col("doc").alias(key), "version", F.col("x").alias("start_word"), F.col("y").alias("end_word"),
         (F.col("y") - F.col("x")).alias("n_words"), F.col("other").alias("first_doc_id"), "kept")
 
 
 def remove_repeated(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` with the passages that are not kept cut out of the text (null stays null)."""
     spans = repeated_spans(docs, min_words, text, key).where(~F.col("kept"))
-    cuts = spans.groupBy(F.col(key).alias("__key")).agg(F.sort_array(F.collect_list(F.struct("start_word", "end_word"))).alias("cuts"))
+    cuts = (spans.groupBy(F.col(key).alias("__key"), F.col("version").alias("__version"))
+            .agg(F.sort_array(F.collect_list(F.struct("start_word", "end_word"))).alias("cuts")))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                        F.col(f"`{key}`").alias("__key"), F.col(f"`{text}`").alias("text"))
-    rows = rows.join(cuts, "__key", "left").select("row", "text", "cuts")
+    rows = rows.withColumn("__version", F.xxhash64("text"))
+    rows = rows.join(cuts, ["__key", "__version"], "left").select("row", "text", "cuts")
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

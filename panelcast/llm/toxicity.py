@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelcast.llm.common import LOWER_BYTES, WORD, lower_ascii, small_batches, table
+from panelcast.llm.common import LOWER_BYTES, WORD, lower_ascii, ship, shipped, small_batches, table
 
 SAMPLE_ROWS = 30_000        # labelled rows learnt from, at most (about)
 ORDER = 5
@@ -36,7 +36,7 @@ SHARED = 2                  # n-grams of this length and shorter are counted ove
 DISCOUNT = 0.75
 RUN = 3                     # words of the run that counts by itself
 FOLDS = 5
-MEMO_ENTRIES = 300_000      # entries of each memo, at most
+MEMO_ENTRIES = 200_000      # entries of each memo, at most; memos end with their task
 PAD = "\x02"
 STOP = "\x03"
 
@@ -89,6 +89,10 @@ class KneserNey:
         self.ratios: dict[str, float] = {}
         self.memo: dict[bytes, float] = {}
 
+    def forget(self) -> None:
+        """Drop the memos: the worker process lives on after its task."""
+        self.known, self.ratios, self.memo = [{}, {}], {}, {}
+
     def _p(self, side: int, gram: str) -> float:
         """Interpolated Kneser-Ney: p(last character of ``gram`` | those before it)."""
         if not gram:
@@ -193,15 +197,18 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> Scor
     if not any(o for _, o, _ in counts) or not any(t for _, _, t in counts):
         return None
     model = KneserNey(counts)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = ship(docs.sparkSession, model)
     small_batches(docs.sparkSession)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shared.value.features(tox_words(t.as_py())) for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.float64()),
-                                              pa.array([f[1] for f in found], pa.float64()),
-                                              batch.column(1)], ["a", "b", "y"])
+        try:
+            for batch in batches:
+                found = [shipped(shared).features(tox_words(t.as_py())) for t in batch.column(0)]
+                yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.float64()),
+                                                  pa.array([f[1] for f in found], pa.float64()),
+                                                  batch.column(1)], ["a", "b", "y"])
+        finally:
+            shipped(shared).forget()
 
     held = rows.where(fold(F.col("id")) == 1).select("text", "toxic").mapInArrow(
         features, "a double, b double, y int").collect()
@@ -218,12 +225,15 @@ def score(docs: DataFrame, scorer: Scorer | None, text: str = "text") -> DataFra
                        F.col(f"`{text}`").alias("text"))
     if scorer is None:
         return rows.select("row", F.lit(0.0).alias("score"))
-    shared = docs.sparkSession.sparkContext.broadcast(scorer)
+    shared = ship(docs.sparkSession, scorer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shared.value.score(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], ["row", "score"])
+        try:
+            for batch in batches:
+                found = [shipped(shared).score(t.as_py()) for t in batch.column(1)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], ["row", "score"])
+        finally:
+            shipped(shared).model.forget()
 
     schema = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())])
     return rows.mapInArrow(run, schema)

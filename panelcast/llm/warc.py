@@ -90,6 +90,9 @@ class Salvage:
     gaps: list[tuple[int, int, str]] = field(default_factory=list)   # first byte, end, reason
 
 
+PIECE = 1 << 14              # compressed bytes inflated at a time
+
+
 class Damage(ValueError):
     pass
 
@@ -124,14 +127,17 @@ def parse_record(data: bytes, at: int) -> tuple[Record, int]:
 
 def inflate(data: bytes, at: int) -> tuple[bytes, int]:
     """The gzip member at ``at`` and where it ends."""
-    z = zlib.decompressobj(31)
+    z, out, first = zlib.decompressobj(31), [], at
     try:
-        out = z.decompress(memoryview(data)[at:])
+        while not z.eof and first < len(data):      # piece by piece: what follows the member is not copied for it
+            piece = data[first:first + PIECE]
+            out.append(z.decompress(piece))
+            first += len(piece)
     except zlib.error as e:
         raise Damage(f"gzip: {e}") from None
     if not z.eof:
         raise Damage("gzip: member is cut")
-    return out, len(data) - len(z.unused_data)
+    return b"".join(out), first - len(z.unused_data)
 
 
 def inflate_part(data: bytes, at: int) -> tuple[bytes, int, bool]:
