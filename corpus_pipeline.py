@@ -1,9 +1,14 @@
 """The corpus pipeline: documents to token ids, in five stages.
 
 Every stage takes ``(spark, docs, sf_dir)`` and works on all that its predecessor kept; all but the
-last return the columns of ``docs``. Rows that share an id (or have none) share the verdict of the
-near-duplicate and decontamination stages. ``run`` writes each stage to the shared folder and reads
+last return the columns of ``docs``. ``run`` writes each stage to the shared folder and reads
 it again, so a lost executor never costs more than one stage.
+
+Every row is judged by itself, by a row number of the stage's stored input: rows that share an id, or have none, do not
+share a verdict. Null and empty texts are clean and not toxic by themselves (they score the curve's value there), are
+copies of each other for exact dedup, and have no near copies, passages or ids. Without labels of both classes nothing
+is rejected as toxic; without a benchmark nothing is contaminated; an empty table gives no rows. Very long texts are taken
+whole, and other columns are handed on as they are.
 """
 
 from __future__ import annotations
@@ -26,17 +31,24 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(docs)
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__row``: partition and place in it, the same in every scan of the stage's stored input."""
+    return docs.withColumn("__row", F.monotonically_increasing_id())
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the least id stays."""
-    kept = near_dedup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("__kept"))
-    return docs.join(kept, docs.doc_id.eqNullSafe(kept["__kept"]), "left_semi")
+    """Of each group of near duplicates one document stays."""
+    docs = _numbered(docs)
+    kept = near_dedup.near_duplicates(docs, key="__row").where("kept").select("__row")
+    return docs.join(kept, "__row", "left_semi").drop("__row")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of the benchmark go."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    hit = found.where("contaminated").select(F.col("doc_id").alias("__hit"))
-    return docs.join(hit, docs.doc_id.eqNullSafe(hit["__hit"]), "left_anti")
+    docs = _numbered(docs)
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), key="__row")
+    hit = found.where("contaminated").select("__row")
+    return docs.join(hit, "__row", "left_anti").drop("__row")
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
