@@ -12,14 +12,15 @@ that reach the similarity are near in both. The join divides the space until onl
    Documents with three or more empty classes also enter the cells of these, so no pair depends on an empty one.
    (Pivots chosen among the documents cannot make the first cut: nearly all documents are at distance 1 from nearly
    all others, so every window would hold every document. README has the figures.)
-3. *Pivots.* Every document of a shared cell is compared with the least document of its cells, its Voronoi pivot. Links
-   are joined into components; pairs within one component need no further look.
+3. *Pivots.* Every document of a shared cell is compared with the least document of its cells, its Voronoi pivot. Those that
+   link with one pivot are connected; pairs within one component need no further look.
 4. *Recursion.* A cell that still has several components and more than :data:`LEAF` rows gets a pivot of its own and is divided
    by the exact distance from it into rings twice as wide as the allowed distance; the triangle inequality says which
-   documents of the next ring's border are replicated. Rings are cells of the next round.
+   documents of the next ring's border are replicated. A ring is divided further if it is much smaller than its cell, up
+   to :data:`ROUNDS` times; where the distances from a pivot are all alike, another one would not tell more.
 5. *Leaves.* In the cells that are left, pairs of different components are compared if their sizes and their parity
-   sketches (a lower bound of the difference) allow the similarity. What is not divided after :data:`ROUNDS` rounds is a leaf
-   of any size, so the result is exact for every input.
+   sketches (a lower bound of the difference) allow the similarity. A cell that could not be divided is a leaf of any
+   size, so the result is exact for every input.
 
 Links are confirmed on the full sets of 64-bit shingle hashes. Equal sets are one node, so copies are never paired.
 
@@ -47,8 +48,9 @@ from panelcast.llm.near_dedup import Shingles, parity_sketch
 SHINGLE, SIMILARITY = 3, 90
 SHELL = 125                          # a shell's largest size, per cent of its least
 SPARE = 3                            # classes beyond the differences that a pair may have
-LEAF = 64                            # rows of a cell that is not divided further
+LEAF = 256                           # rows of a cell that is not divided further
 ROUNDS = 3
+SMALLER = 0.6                        # a ring is divided if it has at most this share of its cell's rows
 SKETCH_WORDS = 32                    # as parity_sketch makes them
 
 
@@ -202,8 +204,8 @@ def _sketches_allow(similarity: int) -> Column:
 # ---- recursion --------------------------------------------------------------------------------
 
 def unresolved(cells: DataFrame, roots: DataFrame) -> DataFrame:
-    """``cell, nid, n, root`` and the cell's number of rows (``size``), of the cells with several components."""
-    rows = cells.select("cell", "nid", "n").join(roots.withColumnRenamed("node", "nid"), "nid", "left")
+    """``cell, nid, n, root``, the cell's number of rows (``size``) and what else there is, of the cells with several components."""
+    rows = cells.join(roots.withColumnRenamed("node", "nid"), "nid", "left")
     rows = rows.withColumn("root", F.coalesce("root", "nid"))
     several = (rows.groupBy("cell").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
                .where("low != high").select("cell", "size"))
@@ -211,7 +213,7 @@ def unresolved(cells: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def rings(rows: DataFrame, distances: DataFrame, similarity: int, level: int) -> DataFrame:
-    """The rows of each cell dealt into rings around its pivot: ``cell, nid, n``. A ring is twice as wide as the allowed
+    """The rows of each cell dealt into rings around its pivot: ``cell, nid, n, parent`` (the divided cell's size). A ring is twice as wide as the allowed
     distance; what lies above it by no more than that distance is in it, too."""
     far = 100 - similarity
     near = distances.select(F.col("a").alias("pivot"), F.col("b").alias("nid"), "common", "total")
@@ -222,11 +224,11 @@ def rings(rows: DataFrame, distances: DataFrame, similarity: int, level: int) ->
     ring = F.floor(apart / (2 * far * total)).cast("long")
     # The quotient is a double: the exact comparison settles a place on the border.
     ring = F.when(apart < ring * 2 * far * total, ring - 1).when(apart >= (ring + 1) * 2 * far * total, ring + 1).otherwise(ring)
-    rows = rows.select("cell", "nid", "n", apart.alias("apart"), total.alias("total"), ring.alias("ring"))
+    rows = rows.select("cell", "nid", "n", "size", apart.alias("apart"), total.alias("total"), ring.alias("ring"))
     border = (F.col("ring") > 0) & (F.col("apart") <= far * F.col("total") * (2 * F.col("ring") + 1))
     homes = F.when(border, F.array("ring", F.col("ring") - 1)).otherwise(F.array("ring"))
-    rows = rows.select("cell", "nid", "n", F.explode(homes).alias("ring"))
-    return rows.select(F.xxhash64("cell", F.lit(level), "ring").alias("cell"), "nid", "n")
+    rows = rows.select("cell", "nid", "n", "size", F.explode(homes).alias("ring"))
+    return rows.select(F.xxhash64("cell", F.lit(level), "ring").alias("cell"), "nid", "n", F.col("size").alias("parent"))
 
 
 def leaf_pairs(rows: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
@@ -247,31 +249,28 @@ def components(docs: DataFrame, nodes: DataFrame, shingle: int, similarity: int,
     first = (cells.where("nid != pivot").groupBy("nid", "n").agg(F.min("pivot").alias("pivot")).join(sizes, "pivot")
              .select(F.col("pivot").alias("a"), F.col("nid").alias("b"), F.col("np").alias("na"), F.col("n").alias("nb")))
     links = compared(first.where(_sizes_allow(similarity)), sets).where(_linked(similarity)).select("a", "b")
-    roots = stored(connected_components(links), "metric-roots")
-
-    def joined(more: DataFrame) -> DataFrame:
-        """The components with more links: those before stand in for theirs."""
-        before = roots.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-        return stored(connected_components(before.unionByName(more)), "metric-roots")
-
-    leaves = []
-    rows = stored(unresolved(cells, roots), "metric-unresolved")
+    roots = links.select(F.col("b").alias("node"), F.col("a").alias("root"))     # one pivot each: a part of the components
+    rows = unresolved(cells.select("cell", "nid", "n", F.lit(None).cast("long").alias("parent")), roots)
+    rows, leaves = stored(rows, "metric-unresolved"), None
     for level in range(ROUNDS):
-        large = rows.where(F.col("size") > LEAF)
+        divide = (F.col("size") > LEAF) & (F.col("parent").isNull() | (F.col("size") <= SMALLER * F.col("parent")))
+        large, rest = rows.where(divide).drop("parent"), rows.where(~divide).select("cell", "nid", "n")
+        leaves = rest if leaves is None else leaves.unionByName(rest)
         if large.isEmpty():
             break
-        leaves.append(rows.where(F.col("size") <= LEAF).select("cell", "nid", "n"))
         pivots = (large.groupBy("cell").agg(F.min(F.struct(F.xxhash64("nid", F.lit(level)), "nid")).alias("by"))
                   .select("cell", F.col("by.nid").alias("pivot")))
         large = stored(large.join(pivots, "cell"), "metric-large")
         distances = compared(large.where("nid != pivot").select(F.col("pivot").alias("a"), F.col("nid").alias("b")), sets)
-        roots = joined(distances.where(_linked(similarity)).select("a", "b"))
+        links = links.unionByName(distances.where(_linked(similarity)).select("a", "b"))
+        roots = stored(connected_components(links), "metric-roots")
+        links = roots.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
         rows = stored(unresolved(rings(large, distances, similarity, level), roots), "metric-unresolved")
-    rows = rows.select("cell", "nid", "n")
-    for leaf in leaves:
-        rows = rows.unionByName(leaf)
-    more = compared(leaf_pairs(unresolved(rows, roots), sets, similarity), sets)
-    return joined(more.where(_linked(similarity)).select("a", "b"))
+    else:
+        leaves = leaves.unionByName(rows.select("cell", "nid", "n"))
+    more = compared(leaf_pairs(unresolved(leaves, roots), sets, similarity), sets)
+    links = links.unionByName(more.where(_linked(similarity)).select("a", "b"))
+    return stored(connected_components(links), "metric-roots")
 
 
 def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY, text: str = "text",

@@ -107,8 +107,9 @@ def chunks(words: list[bytes], min_words: int) -> tuple[np.ndarray, np.ndarray,
     first, end = (at[:-1], at[1:] + gear(min_words)) if min_words > 1 else (at, at + 1)
     # Sums of h[i] * odd^i; a difference of two, divided by odd^first, depends on the chunk's words alone.
     odd = _ODD[0]
-    power = np.cumprod(np.concatenate([[1], np.full(len(h), odd, np.uint64)]).astype(np.uint64), dtype=np.uint64)
-    back = np.cumprod(np.concatenate([[1], np.full(len(h), pow(odd, -1, 1 << 64), np.uint64)]).astype(np.uint64), dtype=np.uint64)
+    one = np.ones(1, np.uint64)
+    power, back = (np.cumprod(np.concatenate([one, np.full(len(h), x, np.uint64)]), dtype=np.uint64)
+                   for x in (odd, pow(odd, -1, 1 << 64)))
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * power[:-1], dtype=np.uint64)])
     digest = (total[end] - total[first]) * back[first] + (end - first).astype(np.uint64)
     return (digest ^ digest >> np.uint64(29)) * np.uint64(_ODD[1]), first, end

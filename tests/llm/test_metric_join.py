@@ -75,6 +75,7 @@ def test_recursion_into_rings(spark, monkeypatch):
     """Cells of more than three rows are divided around pivots, as often as it takes."""
     monkeypatch.setattr(mj, "LEAF", 3)
     monkeypatch.setattr(mj, "ROUNDS", 4)
+    monkeypatch.setattr(mj, "SMALLER", 0.9)
     rows = list(enumerate(copies(3, 2, 60, 14)))
     assert found(spark, rows) == brute(rows)
 
@@ -108,7 +109,8 @@ def test_similar_sets_share_a_cell(common, left, right, similarity, seed):
 def test_near_rows_meet_in_a_ring(spark, fractions, similarity):
     """Two rows whose distances from the pivot differ by no more than the allowed distance share a ring."""
     rows = [(1, n + 1, 9, 1, 0, min(c, t), t) for n, (c, t) in enumerate(fractions)]
-    cells = spark.createDataFrame([(1, 0, 9, 1, 0)] + [(1, r[1], 9, 1, 0) for r in rows], "cell long, nid long, n long, root long, pivot long")
+    cells = spark.createDataFrame([(1, 0, 9, 1, 0, 5)] + [(1, r[1], 9, 1, 0, 5) for r in rows],
+                                  "cell long, nid long, n long, root long, pivot long, size long")
     near = spark.createDataFrame([(0, r[1], r[5], r[6]) for r in rows], "a long, b long, common long, total long")
     homes = {}
     for r in mj.rings(cells, near, similarity, 0).collect():
