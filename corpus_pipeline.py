@@ -37,9 +37,12 @@ def _numbered(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates one document stays."""
+    """Of each group of near duplicates the document with the least id stays (of rows that share it, one)."""
     docs = _numbered(docs)
-    kept = near_dedup.near_duplicates(docs, key="__row").where("kept").select("__row")
+    found = near_dedup.near_duplicates(docs, key="__row").select("__row", "component_id")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")).alias("least")
+    kept = (found.join(docs.select("__row", "doc_id"), "__row").groupBy("component_id").agg(least)
+            .select(F.col("least.__row").alias("__row")))
     return docs.join(kept, "__row", "left_semi").drop("__row")
 
 
