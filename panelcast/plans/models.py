@@ -69,3 +69,21 @@ def tabular_effects(ids: DataFrame, id_col: str = "entity_id") -> DataFrame:
     i = F.col(id_col).cast("double")
     eff = F.array(*[F.lit(ENTITY_EFFECT) * i * F.lit(float(h)) for h in range(1, HORIZON + 1)])
     return ids.select(id_col, eff.alias("effect"))
+
+
+def tree_nodes(horizons: int = HORIZON, trees: int = 4) -> list[tuple]:
+    """Rule-built regression trees on 30 flat features and the one-hot id, as rows of a node table: the root asks for a
+    feature of the last month, its children for one of an earlier month and for one entity."""
+    width = PANEL_MONTHS * N_FEATURES
+    rows = []
+    for h in range(1, horizons + 1):
+        for t in range(trees):
+            last = (PANEL_MONTHS - 1) * N_FEATURES + (t + h) % N_FEATURES
+            earlier = ((t * 7 + h * 3) % (PANEL_MONTHS - 1)) * N_FEATURES + t % N_FEATURES
+            entity = width + 3 * t + h
+            shift, size = 0.1 * t - 0.13, 0.5 / (t + h)
+            rows += [(h, t, 0, last, shift, 1, 2, None, False), (h, t, 1, earlier, -0.37 + 0.21 * t, 3, 4, None, t % 2 == 1),
+                     (h, t, 2, entity, 0.5, 5, 6, None, False), (h, t, 3, None, None, None, None, -size, False),
+                     (h, t, 4, None, None, None, None, size / 4, False), (h, t, 5, None, None, None, None, size, False),
+                     (h, t, 6, None, None, None, None, 2 * size, False)]
+    return rows
