@@ -3,40 +3,57 @@
 Plan shape: one window partitioned by entity (row number and entity size over the same spec, so
 one sort) feeding a group-by on the same key, so no second shuffle. An entity-month panel has at
 most one row per month per entity, so no window partition grows with the number of rows. The
-global fit (``entity=None``) runs on a series of one row per period, which is bounded by the
-calendar, not by the data.
+global fit (``entity=None``) finds the cut-off by position: rows are range-sorted, the partitions' row
+counts give every row its place, and what lies before the cut-off is aggregated with map-side
+combining. No task sees more rows than its range.
+
+``numeric="float32"`` rounds the values to single precision before the fit and the statistics after it, as
+the panel job keeps them (features stay double: a z-score then mixes both). Sums are double, so a
+value is off by at most 2^-24 of itself before and once more after the fit: a mean of n values v by at most
+2^-23 * mean(|v|), a std s by at most 2^-23 * s + 2^-24 * max|v|.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.functions.numeric import STD_FLOOR, std_floor, unzscore, zscore
+from panelcast.operators.ordering import global_index
 
 TRAIN_FRAC = 0.6
 
 
 def fit_stats(df: DataFrame, features: list[str], order: list[str], entity: str | None = None,
               train_frac: float = TRAIN_FRAC, nulls: str = "propagate",
-              floor: float = STD_FLOOR) -> DataFrame:
+              floor: float = STD_FLOOR, numeric: str = "double") -> DataFrame:
     """Per-entity ``{f}_mean`` and population ``{f}_std`` over the first ``floor(frac * n)`` rows.
 
     ``nulls="propagate"`` (NumPy behaviour) makes both NULL when a value in the prefix is NULL;
-    ``"skip"`` ignores NULLs. A std below ``floor`` becomes 1.0. Entities whose prefix is empty
+    ``"skip"`` ignores NULLs. ``numeric`` is ``"double"`` or ``"float32"`` (see above). A std below ``floor`` becomes 1.0. Entities whose prefix is empty
     get NULL statistics; rows without an entity belong to none.
     """
     if nulls not in ("propagate", "skip"):
         raise ValueError("nulls must be 'propagate' or 'skip'")
+    if numeric not in ("double", "float32"):
+        raise ValueError("numeric must be 'double' or 'float32'")
+    kept = "float" if numeric == "float32" else "double"
     part = [entity] if entity else []
+    values = [F.col(f).cast(kept).cast("double").alias(f) for f in features]
     if entity:
         df = df.where(F.col(entity).isNotNull())
-    w = Window.partitionBy(*part).orderBy(*order)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranked = df.select(*part, *features,
-                       F.row_number().over(w).alias("_rn"),
-                       F.count(F.lit(1)).over(whole).alias("_n"))
-    train = F.col("_rn") <= F.floor(F.lit(float(train_frac)) * F.col("_n"))
+        w = Window.partitionBy(*part).orderBy(*order)
+        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        ranked = df.select(*part, *values,
+                           F.row_number().over(w).alias("_rn"),
+                           F.count(F.lit(1)).over(whole).alias("_n"))
+        train = F.col("_rn") <= F.floor(F.lit(float(train_frac)) * F.col("_n"))
+    else:
+        placed = global_index(df.select(*order, *values), order, "_pos")
+        n = placed.count()                               # a one-row fact, from the stored rows
+        ranked, train = placed, F.col("_pos") < math.floor(train_frac * n)
     aggs = [F.count_if(train).alias("_t")]
     for f in features:
         v = F.when(train, F.col(f))
@@ -49,7 +66,7 @@ def fit_stats(df: DataFrame, features: list[str], order: list[str], entity: str
         if nulls == "propagate":
             complete = F.col(f"_c_{f}") == F.col("_t")
             mean, std = F.when(complete, mean), F.when(complete, std)
-        out += [mean.alias(f"{f}_mean"), std.alias(f"{f}_std")]
+        out += [mean.cast(kept).cast("double").alias(f"{f}_mean"), std.cast(kept).cast("double").alias(f"{f}_std")]
     return stats.select(*out)
 
 

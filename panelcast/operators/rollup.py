@@ -1,11 +1,10 @@
 """Monthly roll-ups of daily observations (entity-month and national-month grains).
 
 Plan shape: one hash aggregate at the (entity, year, month) grain with map-side partial
-aggregation, so a hot entity is combined on every mapper before the shuffle. The national grain
-re-aggregates those partial sums and counts instead of re-reading the daily rows; means are
-``sum / count``, so the national mean is still the mean over *daily rows*, not over rounded
-entity rows. With ``exact_scale`` the sums are exact ``bigint`` sums of fixed-point units, which
-makes the re-aggregation bit-exact and order-free.
+aggregation, so a hot entity is combined on every mapper before the shuffle. Both grains come
+from one expansion of the daily rows (``GROUPING SETS``); means are ``sum / count``, so the national
+mean is the mean over *daily rows*, not over rounded entity rows. With ``exact_scale`` the sums are
+exact ``bigint`` sums of fixed-point units, so no order of summation changes a result.
 """
 
 from __future__ import annotations
@@ -96,23 +95,17 @@ def both_grains(df: DataFrame, entity: str = ENTITY, date: str = "date", rules:
                 exact_scale: int | None = None, row_count: str | None = None) -> DataFrame:
     """Entity-month and national-month rows in one plan, flagged by ``national`` (0 or 1).
 
-    The national rows come from the entity partials (one row per entity-month), so the daily
-    rows are scanned and shuffled once; Spark reuses the partial-aggregate exchange. Rows without
-    an entity count for the nation only.
+    One scan and one shuffle: ``GROUPING SETS`` expands each daily row to both grains, and the map side
+    combines them, so the shuffle carries one row per key and mapper. ``grouping`` tells the national
+    total apart from a row without an entity, which counts for the nation only.
     """
     rules = rules or ROLLUP_RULES
     keys = [entity, "year", "month"]
-    partials = _prepare(df, None, date).groupBy(*keys).agg(
-        *_partial_aggs(rules, exact_scale, row_count))
-    per_entity = _finalize(partials.where(F.col(entity).isNotNull()), keys, rules, exact_scale, hours, digits, row_count)
-    national_partials = partials.groupBy("year", "month").agg(*_reaggregate(rules, row_count))
-    national = _finalize(national_partials, ["year", "month"], rules, exact_scale, hours, digits,
-                         row_count)
-    national = national.withColumn(entity, F.lit(None).cast(partials.schema[entity].dataType))
-    cols = per_entity.columns
-    return (per_entity.withColumn("national", F.lit(0))
-            .unionByName(national.select(*cols).withColumn("national", F.lit(1)))
-            .select(*keys, "national", *cols[3:]))
+    rows = _prepare(df, None, date)
+    grains = rows.groupingSets([[rows[k] for k in keys], [rows["year"], rows["month"]]], *[rows[k] for k in keys]).agg(
+        *_partial_aggs(rules, exact_scale, row_count), F.grouping(entity).cast("int").alias("national"))
+    grains = grains.where((F.col("national") == 1) | F.col(entity).isNotNull())
+    return _finalize(grains, [*keys, "national"], rules, exact_scale, hours, digits, row_count)
 
 
 def monthly_rollup_by(df: DataFrame, mapping: DataFrame, key: str, group: str,

@@ -1,9 +1,8 @@
 """Scoring entity windows with a set of named models.
 
-* ``score``: ``mapInPandas`` over the tensor column. Models travel as small picklable specs and
-  are built once per Python worker (cached), never once per row; every Arrow batch is scored
-  as one matrix per model. A model that raises or returns the wrong shape yields error rows
-  for that model only.
+* ``score``: ``mapInPandas`` over the flattened tensor. Models travel once, as a broadcast of small
+  specs, and are built once per Python worker; every Arrow batch is scored as one matrix per model.
+  A model that raises or returns the wrong shape yields error rows for that model only.
 * ``linear_scores``: a fixed-weight linear scorer written as column expressions (stays in the
   JVM and in whole-stage codegen), used where the weights are known.
 * ``score_spark_ml``: a fitted Spark ML model per horizon on an assembled feature vector.
@@ -17,9 +16,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.session import checkpoint_dir
+
 log = logging.getLogger(__name__)
 
 
@@ -84,22 +86,6 @@ class NpzModel:
             return LinearModel(as_tuple(z["weights"]), as_tuple(z["bias"]))
 
 
-@dataclass(frozen=True)
-class OnnxModel:
-    """An exported network run by onnxruntime (optional dependency)."""
-    path: str
-
-    def build(self):
-        import onnxruntime as ort  # gated: only needed for this model kind
-        sess = ort.InferenceSession(self.path, providers=["CPUExecutionProvider"])
-        name = sess.get_inputs()[0].name
-
-        class _Run:
-            def predict(self, x):
-                return np.asarray(sess.run(None, {name: x.astype(np.float32)})[0], dtype=np.float64)
-        return _Run()
-
-
 def _build(spec):
     return spec.build() if hasattr(spec, "build") else spec
 
@@ -130,21 +116,22 @@ class ModelSet:
         return list(self.specs)
 
 
-_WORKER_CACHE: dict = {}
+def _ship(df: DataFrame, specs: dict):
+    """A broadcast of the specs, pickled by value. A worker keeps a broadcast's value from task to task, and in the
+    dictionary beside it the models that it built."""
+    return df.sparkSession.sparkContext.broadcast((cloudpickle.dumps(specs), {}))
 
 
-def _worker_models(specs: dict) -> dict:
-    key = tuple((n, repr(s)) for n, s in specs.items())
-    if key not in _WORKER_CACHE:
-        built = {}
-        for n, s in specs.items():
+def _shipped_models(value: tuple[bytes, dict]) -> dict:
+    """The models by name; one that does not build is the exception that says why."""
+    specs, kept = value
+    if not kept:
+        for name, spec in cloudpickle.loads(specs).items():
             try:
-                built[n] = _build(s)
+                kept[name] = _build(spec)
             except Exception as exc:  # noqa: BLE001
-                built[n] = exc
-        _WORKER_CACHE.clear()
-        _WORKER_CACHE[key] = built
-    return _WORKER_CACHE[key]
+                kept[name] = exc
+    return kept
 
 
 def _rows_out(entity_vals, name, y, horizon, error, carry=None):
@@ -173,18 +160,20 @@ def score(df: DataFrame, models: ModelSet, horizon: int = 3, entity: str = "dist
     ``carry`` names per-entity columns (such as the target's statistics) passed through to every
     output row of that entity, so later steps need no join back.
     """
-    specs = dict(models.specs)
+    shipped = _ship(df, dict(models.specs))
     carry = list(carry or [])
     etype = df.schema[entity].dataType.simpleString()
     schema = f"{entity} {etype}, model string, horizon int, y double, error string"
     schema += "".join(f", {c} {df.schema[c].dataType.simpleString()}" for c in carry)
 
     def run(batches):
-        built = _worker_models(specs)
+        built = _shipped_models(shipped.value)
         for pdf in batches:
             if pdf.empty:
                 continue
-            x = np.stack([np.stack(list(rows)) for rows in pdf[tensor]]).astype(np.float64)
+            # Flat rows of equal size are one buffer; the window's shape comes back by a view.
+            x = np.concatenate(pdf["__flat"].to_numpy()).astype(np.float64, copy=False)
+            x = x.reshape(len(pdf), int(pdf["__steps"].iloc[0]), -1)
             keys = pdf[entity].to_numpy()
             extra = {c: pdf[c].to_numpy() for c in carry}
             for name, model in built.items():
@@ -200,7 +189,8 @@ def score(df: DataFrame, models: ModelSet, horizon: int = 3, entity: str = "dist
                         out = _rows_out(keys, name, None, horizon, f"predict: {exc}", extra)
                 yield out.rename(columns={"_e": entity})
 
-    return df.select(entity, tensor, *carry).mapInPandas(run, schema)
+    flat = df.select(entity, F.flatten(tensor).alias("__flat"), F.size(tensor).alias("__steps"), *carry)
+    return flat.mapInPandas(run, schema)
 
 
 def score_tabular(df: DataFrame, model: TabularLinear, effects: DataFrame | None = None,
@@ -237,17 +227,30 @@ def score_tabular(df: DataFrame, model: TabularLinear, effects: DataFrame | None
     return src.mapInPandas(run, schema)
 
 
+def split_scores(scores: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(good rows, errors)`` of one scoring pass.
+
+    The scores are written once to the shared checkpoint folder, so no model runs a second time (one that is not
+    deterministic could fail differently then) and both results survive the loss of executors. Good are the rows of the
+    models that failed nowhere, without their ``error`` column; errors are as in :func:`failures`.
+    """
+    checkpoint_dir(scores.sparkSession)
+    held = scores.checkpoint(eager=True)
+    errors = failures(held)
+    failed = errors.select("model").distinct()           # bounded by the model set
+    return held.join(F.broadcast(failed), "model", "left_anti").drop("error"), errors
+
+
 def good_rows(scores: DataFrame, on_error: str = "drop_model") -> DataFrame:
     """Scores without their ``error`` column.
 
     ``"raise"`` fails the query on the first error, as the panel job must; ``"drop_model"`` leaves out
-    every row of a model that failed anywhere (a batch may fail alone), as the series job does. The
-    set of failed models is bounded by the model set. Errors are listed by :func:`failures`.
+    every row of a model that failed anywhere (a batch may fail alone), as the series job does.
     """
     if on_error == "raise":
         ok = F.assert_true(F.col("error").isNull(), F.concat_ws(": ", "model", "error"))
         return scores.filter(ok.isNull()).drop("error")
-    return scores.join(failures(scores).select("model").distinct(), "model", "left_anti").drop("error")
+    return split_scores(scores)[0]
 
 
 def failures(scores: DataFrame) -> DataFrame:
@@ -281,18 +284,16 @@ def linear_scores(df: DataFrame, models: dict[str, LinearModel], flat: Column,
 
 def score_spark_ml(df: DataFrame, models: dict[int, object], features: str = "features",
                    keys: list[str] | None = None, name: str = "spark_ml") -> DataFrame:
-    """Apply one fitted Spark ML model per horizon to an assembled ``features`` vector."""
+    """Apply one fitted Spark ML model per horizon to an assembled ``features`` vector, in one plan: each model adds its
+    prediction column, and the columns are dealt into rows at the end."""
     keys = keys or ["district"]
-    parts = []
+    out, found = df.select(*keys, features), []
     for h, m in sorted(models.items()):
-        pred = m.transform(df.select(*keys, features)).select(
-            *keys, F.lit(name).alias("model"), F.lit(h).alias("horizon"),
-            F.col(m.getOrDefault("predictionCol")).alias("y"))
-        parts.append(pred)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        column = m.getOrDefault("predictionCol")
+        out = m.transform(out).withColumnRenamed(column, f"_y{h}")
+        out = out.select(*keys, features, *[c for c in out.columns if c.startswith("_y")])
+        found.append(F.struct(F.lit(name).alias("model"), F.lit(h).alias("horizon"), F.col(f"_y{h}").alias("y")))
+    return out.select(*keys, F.inline(F.array(*found)))
 
 
 def feature_vector(df: DataFrame, flat: str, id_col: str, ids: DataFrame,
@@ -315,11 +316,7 @@ def feature_vector(df: DataFrame, flat: str, id_col: str, ids: DataFrame,
 def _ship_by_value() -> None:
     """Pickle this module's functions and model classes by value, so Python workers need only
     numpy/pandas/pyspark and not this package on their path."""
-    try:
-        from pyspark import cloudpickle
-        cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    except Exception:  # noqa: BLE001 - fall back to by-reference pickling
-        pass
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 _ship_by_value()

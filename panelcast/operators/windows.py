@@ -30,10 +30,10 @@ def latest_window(df: DataFrame, order: list[str], k: int = 12, entity: str | No
                   require_contiguous: bool = False) -> DataFrame:
     """The last ``k`` rows by ``order`` with ``pos`` 0..k-1 in ascending time.
 
-    With ``min_rows`` the query fails at run time when the series (or, per entity, the whole
-    panel) has fewer than ``k`` rows, as the single-series job requires. The window is positional
-    (no gap check) unless ``require_contiguous``, which fails a single series whose ``k`` rows
-    (ordered by year and month) do not span exactly ``k`` consecutive months.
+    A single series with fewer than ``k`` rows fails at run time with ``min_rows``, as the single-series job requires;
+    per entity, the entities with fewer rows are left out, and :func:`entity_runs` says why. The window is positional
+    (no gap check) unless ``require_contiguous``: then a single series whose ``k`` rows (ordered by year and month) do
+    not span exactly ``k`` consecutive months fails, and per entity only windows of ``k`` consecutive months stay.
     """
     desc = [F.col(c).desc() for c in order]
     if entity is None:
@@ -52,8 +52,49 @@ def latest_window(df: DataFrame, order: list[str], k: int = 12, entity: str | No
         return out
     w = Window.partitionBy(entity).orderBy(*desc)
     ranked = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k)
-    size = F.count(F.lit(1)).over(Window.partitionBy(entity))
-    return ranked.withColumn(pos, size - F.col("_rn")).drop("_rn")
+    whole = Window.partitionBy(entity)                          # at most k rows of each entity by now
+    ranked = ranked.withColumn("_size", F.count(F.lit(1)).over(whole))
+    if min_rows:
+        ranked = ranked.where(F.col("_size") == k)
+    if require_contiguous:
+        ym = F.col("year") * 12 + F.col("month")
+        ranked = (ranked.withColumn("_span", F.max(ym).over(whole) - F.min(ym).over(whole))
+                        .withColumn("_months", F.size(F.collect_set(ym).over(whole)))
+                        .where((F.col("_span") == F.col("_size") - 1) & (F.col("_months") == F.col("_size")))
+                        .drop("_span", "_months"))
+    return ranked.withColumn(pos, F.col("_size") - F.col("_rn")).drop("_rn", "_size")
+
+
+def entity_runs(df: DataFrame, entity: str, k: int = 12) -> DataFrame:
+    """Gaps and islands: every run of consecutive months of every entity, with what stands against an input window of
+    ``k`` months that ends with it.
+
+    ``entity, run`` (0 is the latest), ``first, last`` (months as year * 12 + month - 1), ``n_months, n_rows, gap`` (months
+    missing before the next run; NULL for the latest) and ``state`` of the entity: ``short`` (fewer than ``k`` rows), ``repeated``
+    (a month twice among its last ``k`` rows), ``gap`` (its latest run has fewer than ``k`` months) or ``ready``. Rows without
+    entity, year or month belong to no run. One shuffle by entity: months are combined before it, so a hot
+    entity carries one row per month.
+    """
+    ym = (F.col("year") * 12 + F.col("month") - 1).cast("int")
+    months = (df.where(F.col(entity).isNotNull() & F.col("year").isNotNull() & F.col("month").isNotNull())
+              .groupBy(entity, ym.alias("ym")).agg(F.count(F.lit(1)).alias("n")))
+    by_time, whole = Window.partitionBy(entity).orderBy("ym"), Window.partitionBy(entity)
+    from_end = Window.partitionBy(entity).orderBy(F.desc("ym"))
+    rows = (months.withColumn("island", F.col("ym") - F.row_number().over(by_time))
+            .withColumn("later", F.sum("n").over(from_end) - F.col("n"))      # rows in later months
+            .withColumn("total", F.sum("n").over(whole))
+            .withColumn("doubled", F.max(F.when((F.col("later") < k) & (F.col("n") > 1), 1).otherwise(0)).over(whole)))
+    runs = rows.groupBy(entity, "island").agg(
+        F.min("ym").alias("first"), F.max("ym").alias("last"), F.count(F.lit(1)).alias("n_months"), F.sum("n").alias("n_rows"),
+        F.max("total").alias("total"), F.max("doubled").alias("doubled"))
+    ordered = Window.partitionBy(entity).orderBy(F.desc("last"))
+    latest_months = F.first("n_months").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    state = (F.when(F.col("total") < k, "short").when(F.col("doubled") == 1, "repeated")
+             .when(F.col("latest_months") < k, "gap").otherwise("ready"))
+    return (runs.withColumn("run", F.row_number().over(ordered) - 1)
+            .withColumn("gap", F.lag("first").over(ordered) - F.col("last") - 1)
+            .withColumn("latest_months", latest_months)
+            .select(entity, "run", "first", "last", "n_months", "n_rows", "gap", state.alias("state")))
 
 
 def latest_month(df: DataFrame, date: str = "date") -> dt.date | None:
@@ -102,6 +143,15 @@ def panel_skipped(df: DataFrame, entity: str, date: str = "date", k: int = 6,
                     .filter(F.col("n_rows") != k))
 
 
+def panel_readiness(df: DataFrame, entity: str, date: str = "date", k: int = 6, latest: dt.date | None = None) -> DataFrame:
+    """One row: ``entities``, ``complete`` (those with exactly ``k`` rows in the window) and ``ready``, whether any is: the
+    precondition of the panel job as a table."""
+    counts = in_panel_window(df, date, k, None, latest).groupBy(entity).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.select(entity).where(F.col(entity).isNotNull()).distinct().join(counts, entity, "left")
+    return counts.agg(F.count(F.lit(1)).alias("entities"), F.count_if(F.col("n") == k).alias("complete"),
+                      F.coalesce(F.max(F.col("n") == k), F.lit(False)).alias("ready"))
+
+
 def entity_ids(df: DataFrame, entity: str, name: str = "entity_id") -> DataFrame:
     """Dense 0-based ids over the sorted distinct entities (see ``ordering.dense_ids``)."""
     return dense_ids(df, entity, name)

@@ -14,6 +14,7 @@ path, because Spark cannot overwrite a path the same plan is reading.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,11 +22,12 @@ from pyspark.sql import types as T
 
 from panelcast import schemas
 from panelcast.functions.periods import LABEL_FORMATS, period_name, previous_month_bounds
-from panelcast.operators import (filters, forecast, history, normalize, rollup, scoring, validate,
+from panelcast.operators import (filters, forecast, history, normalize, partials, rollup, scoring, validate,
                                  windows)
 from panelcast.sources import payload as payloads_mod
 from panelcast.session import checkpoint_dir
-from panelcast.sources import sinks
+from panelcast.sources import publish, sinks
+from panelcast.sources.readers import existing_table
 
 KEYS = [schemas.ENTITY, "year", "month"]
 
@@ -35,15 +37,20 @@ KEYS = [schemas.ENTITY, "year", "month"]
 def monthly_etl(payloads: DataFrame, dim: DataFrame, as_of: dt.date | str,
                 district_history: DataFrame | None = None,
                 national_history: DataFrame | None = None,
-                exact_scale: int | None = None) -> dict[str, DataFrame]:
-    """All outputs of one monthly run as lazy DataFrames."""
+                exact_scale: int | None = None, month_rows: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All outputs of one monthly run as lazy DataFrames. ``month_rows`` are partial sums of the month
+    (:mod:`panelcast.operators.partials`) to roll up instead of the payloads' daily rows."""
     first, _ = previous_month_bounds(as_of)
     period = period_name(first)
     daily = filters.period_filter(payloads_mod.payload_flatten(payloads, period=period),
                                   "date", as_of, stamp=None)
-    grains = rollup.both_grains(daily, exact_scale=exact_scale)
-    district = grains.filter(F.col("national") == 0).drop("national")
-    national = grains.filter(F.col("national") == 1).drop("national", schemas.ENTITY)
+    if month_rows is None:
+        grains = rollup.both_grains(daily, exact_scale=exact_scale)
+        district = grains.filter(F.col("national") == 0).drop("national")
+        national = grains.filter(F.col("national") == 1).drop("national", schemas.ENTITY)
+    else:
+        district = partials.merged_rollup(month_rows, exact_scale=exact_scale)
+        national = partials.merged_rollup(month_rows, national=True, exact_scale=exact_scale)
 
     target = {schemas.DISTRICT_TARGET: T.DoubleType()}
     district_batch = schemas.schema_align(district, schemas.DISTRICT_HISTORY_COLUMNS, add_missing=target)
@@ -75,19 +82,15 @@ def monthly_etl(payloads: DataFrame, dim: DataFrame, as_of: dt.date | str,
     }
 
 
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
-    from pyspark.errors import AnalysisException
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):   # nothing stored yet
-            return None
-        raise
-
-
-def run_monthly_etl(spark: SparkSession, landing: str, dim: DataFrame, as_of: str, warehouse: str) -> dict:
+def run_monthly_etl(spark: SparkSession, landing: str, dim: DataFrame, as_of: str, warehouse: str,
+                    batch: str | None = None, exact_scale: int | None = None) -> dict:
     """Read landed payloads, write the month's outputs, and append to the two history tables.
 
+    The landed JSON is read once, into a copy in the shared checkpoint folder; everything else reads that. Its daily rows
+    become partial sums of batch ``batch`` (default: the landing path) in ``{warehouse}/month_partials``, from which both grains
+    are merged: a part of the month that lands later, under another path, gives the month its full sum, and the same
+    batch run twice changes nothing. (History keeps the month's first state, as its guards demand.)
+
     History tables live at ``{warehouse}/district_history`` and ``{warehouse}/national_history``,
     partitioned by year and month. Only the guarded new rows are appended, so a month never
     rewrites the whole history, and the guards read only the month's partitions.
@@ -95,10 +98,19 @@ def run_monthly_etl(spark: SparkSession, landing: str, dim: DataFrame, as_of: st
     first, _ = previous_month_bounds(as_of)
     period = period_name(first)
     base = warehouse.rstrip("/")
-    paths = {"district_history": f"{base}/district_history", "national_history": f"{base}/national_history"}
-    pl = payloads_mod.read_payloads(spark, landing)
-    out = monthly_etl(pl, dim, as_of, _existing(spark, paths["district_history"]),
-                      _existing(spark, paths["national_history"]))
+    paths = {"district_history": f"{base}/district_history", "national_history": f"{base}/national_history",
+             "month_partials": f"{base}/month_partials"}
+    checkpoint_dir(spark)
+    pl = payloads_mod.read_payloads(spark, landing).checkpoint(eager=True)
+    daily = filters.period_filter(payloads_mod.payload_flatten(pl, period=period), "date", as_of, stamp=None)
+    name = batch or hashlib.sha256(landing.rstrip("/").encode()).hexdigest()[:16]
+    partials.write_partials(partials.month_partials(daily, name, exact_scale=exact_scale), paths["month_partials"])
+    month_rows = partials.read_partials(spark, paths["month_partials"])
+    if month_rows is None:                        # no row of the month has landed yet
+        month_rows = partials.month_partials(daily, name, exact_scale=exact_scale)
+    month_rows = month_rows.where((F.col("year") == first.year) & (F.col("month") == first.month))
+    out = monthly_etl(pl, dim, as_of, existing_table(spark, paths["district_history"]),
+                      existing_table(spark, paths["national_history"]), exact_scale, month_rows)
     for name in ("daily", "district_month", "national_month", "coverage_missing"):
         paths[name] = sinks.period_path(warehouse, name, period)
         sinks.write_table(out[name], paths[name])
@@ -242,6 +254,17 @@ def panel_skips(history_df: DataFrame, exclude: list | None = None, entity: str
     return windows.panel_skipped(kept, entity, "date", k, latest=windows.latest_month(panel))
 
 
+def publish_panel_forecast(spark: SparkSession, history_path: str, models: dict | scoring.ModelSet, base: str,
+                           exclude: list | None = None) -> str:
+    """The panel forecast as a staged publication: it can be read as ``panel_forecast`` of the returned period only after it
+    was written whole and verified; until then, or if the run is killed, the period's last one is read."""
+    hist = spark.read.parquet(history_path)
+    period = "_".join(forecast_labels(hist))
+    staged = publish.stage(panel_forecast(hist, models, exclude=exclude), base, "panel_forecast")
+    publish.publish(spark, staged, base, "panel_forecast", period)
+    return period
+
+
 def run_panel_forecast(spark: SparkSession, history_path: str, models: dict, out_dir: str,
                        exclude: list | None = None) -> str:
     hist = spark.read.parquet(history_path)

@@ -43,6 +43,7 @@ MEASURES = ",\n  ".join([
     f"{_r2(_total('sunshine') + ' / 3600.0')} AS total_sunshine_hours",
 ])
 
+# The feature columns, in the order of the published parameters.
 FEATURE_LIST = ["avg_temp_max", "avg_temp_min", "avg_humidity", "total_precipitation",
                 "total_sunshine_hours"]
 FEATURES = ", ".join(FEATURE_LIST)
@@ -349,6 +350,24 @@ FROM (SELECT tvr.district, tvr.t * 5 + tvr.f AS j, tvr.value, ids.entity_id
 JOIN tw ON ft.j = tw.j
 GROUP BY ft.district, tw.horizon, ft.entity_id"""
 
+    nodes = ", ".join("(" + ", ".join("NULL" if v is None else str(v) for v in r) + ")" for r in m.tree_nodes())
+    q["score_trees"] = with_ctes(DAILY, PANEL, *P_VIEWS, tvr, f"""tn AS (
+  SELECT CAST(horizon AS INTEGER) AS horizon, tree, node, feature, CAST(threshold AS DOUBLE) AS threshold, lft, rgt,
+         CAST(value AS DOUBLE) AS value, missing_left
+  FROM (VALUES {nodes}) v(horizon, tree, node, feature, threshold, lft, rgt, value, missing_left))""", """x AS (
+  SELECT tvr.district, tvr.t * 5 + tvr.f AS feature, tvr.value FROM tvr WHERE tvr.f < 5)""", """one AS (
+  SELECT tn.horizon, tn.tree, tn.node, d.district, coalesce(x.value, CASE WHEN d.entity_id = tn.feature - 30 THEN 1.0 ELSE 0.0 END) AS v
+  FROM tn CROSS JOIN (SELECT DISTINCT district, entity_id FROM zt) d LEFT JOIN x ON x.district = d.district AND x.feature = tn.feature)""",
+                                 """step AS (
+  SELECT one.district, tn.horizon, tn.tree, tn.node, CASE WHEN tn.lft IS NULL THEN tn.node WHEN one.v <= tn.threshold THEN tn.lft
+         ELSE tn.rgt END AS nxt, tn.value
+  FROM tn JOIN one USING (horizon, tree, node))""") + f"""
+SELECT a.district, 'trees' AS model, a.horizon, {_r6("sum(c.value)")} AS y
+FROM step a JOIN step b ON b.district = a.district AND b.horizon = a.horizon AND b.tree = a.tree AND b.node = a.nxt
+            JOIN step c ON c.district = a.district AND c.horizon = a.horizon AND c.tree = a.tree AND c.node = b.nxt
+WHERE a.node = 0
+GROUP BY a.district, a.horizon"""
+
     q["forecast_months"] = with_ctes(DAILY, PANEL, "p AS (SELECT *, make_date(year, month, 1) AS date FROM panel)") + """
 SELECT district, h AS horizon, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
        strftime(d, '%Y-%m-%d') AS date, strftime(d, '%B %Y') AS label_space, strftime(d, '%B%Y') AS label_joined,
@@ -429,4 +448,62 @@ FROM sk"""
 SELECT * REPLACE (strftime(date, '%Y-%m-%d') AS date) FROM wr WHERE district IN (
   SELECT district FROM wr GROUP BY district HAVING count(DISTINCT date) = 6)"""
 
+    q["month_partials"] = q["monthly_entity_rollup"]
+    q["score_registry"] = q["score_models"]
+    q["params_file"] = q["global_norm_fit"]
+
+    q["score_errors"] = with_ctes(DAILY, PANEL, *P_VIEWS) + """
+SELECT 'broken' AS model, 'predict: no such weights' AS error, count(DISTINCT district) AS n FROM zt HAVING count(*) > 0"""
+
+    q["panel_readiness"] = with_ctes(DAILY, PANEL, "p AS (SELECT *, make_date(year, month, 1) AS date FROM panel)", """c AS (
+  SELECT district, count(*) FILTER (WHERE date >= (SELECT max(date) FROM p) - INTERVAL 5 MONTH) AS n FROM p
+  WHERE district <> 5 GROUP BY district)""") + """
+SELECT count(*) AS entities, count(*) FILTER (WHERE n = 6) AS complete, coalesce(bool_or(n = 6), false) AS ready FROM c"""
+
+    seeded = """k AS (
+  SELECT * FROM panel WHERE ((district + month) % 7 <> 0 OR district % 4 = 0)
+    AND (district % 10 <> 7 OR year * 12 + month >= 2001 * 12 + 9)),
+seeded AS (SELECT * FROM k UNION ALL SELECT * FROM k WHERE district % 10 = 4 AND month = 9)"""
+    q["entity_runs"] = with_ctes(DAILY, PANEL, seeded, """m AS (
+  SELECT district, CAST(year * 12 + month - 1 AS INTEGER) AS ym, count(*) AS n FROM seeded GROUP BY ALL)""", """l AS (
+  SELECT *, ym - row_number() OVER (PARTITION BY district ORDER BY ym) AS island,
+         (SELECT coalesce(sum(b.n), 0) FROM m b WHERE b.district = m.district AND b.ym > m.ym) AS later FROM m)""", """e AS (
+  SELECT district, sum(n) AS total, bool_or(n > 1 AND later < 6) AS doubled FROM l GROUP BY district)""", """r AS (
+  SELECT district, island, min(ym) AS first, max(ym) AS last, count(*) AS n_months, sum(n) AS n_rows FROM l GROUP BY ALL)""") + """
+SELECT district, CAST(row_number() OVER w - 1 AS INTEGER) AS run, first, last, n_months, CAST(n_rows AS BIGINT) AS n_rows,
+       CAST(lag(first) OVER w - last - 1 AS INTEGER) AS gap,
+       CASE WHEN total < 6 THEN 'short' WHEN doubled THEN 'repeated'
+            WHEN first_value(n_months) OVER w < 6 THEN 'gap' ELSE 'ready' END AS state
+FROM r JOIN e USING (district)
+WINDOW w AS (PARTITION BY district ORDER BY last DESC)"""
+    q["latest_window_contiguous"] = with_ctes(DAILY, PANEL, seeded, """t AS (
+  SELECT *, row_number() OVER (PARTITION BY district ORDER BY year DESC, month DESC) AS rn FROM seeded)""", """g AS (
+  SELECT district FROM t WHERE rn <= 6 GROUP BY district
+  HAVING count(*) = 6 AND count(DISTINCT year * 12 + month) = 6
+     AND max(year * 12 + month) - min(year * 12 + month) = 5)""") + f"""
+SELECT district, year, month, {FEATURES}, mal_cases, strftime(make_date(year, month, 1), '%Y-%m-%d') AS date,
+       CAST(6 - rn AS BIGINT) AS pos
+FROM t JOIN g USING (district) WHERE rn <= 6"""
+
+    cols = FEATURE_LIST + ["mal_cases"]
+    q["norm_fit_float32"] = with_ctes(DAILY, PANEL, """o AS (
+  SELECT *, row_number() OVER (PARTITION BY district ORDER BY year, month) AS rn, count(*) OVER (PARTITION BY district) AS n
+  FROM panel)""") + "\nSELECT district, " + ", ".join(
+        f"{_r6(f'CAST(CAST(avg(CAST(CAST({c} AS REAL) AS DOUBLE)) AS REAL) AS DOUBLE)')} AS {c}_mean, "
+        + _r6(f"CAST(CAST(CASE WHEN stddev_pop(CAST(CAST({c} AS REAL) AS DOUBLE)) < 1e-10 THEN 1.0 "
+              f"ELSE stddev_pop(CAST(CAST({c} AS REAL) AS DOUBLE)) END AS REAL) AS DOUBLE)") + f" AS {c}_std" for c in cols) + """
+FROM (SELECT d.district, o.* EXCLUDE (district) FROM (SELECT DISTINCT district FROM panel) d
+      LEFT JOIN o ON o.district = d.district AND rn <= floor(CAST(0.6 AS DOUBLE) * n))
+GROUP BY district"""
+
+    q["csv_folder_rows"] = with_ctes(DAILY, PANEL) + f"""
+SELECT district, year, month, {FEATURES} FROM panel
+WHERE year % 3 < 2 AND NOT (year % 3 = 0 AND district % 10 = 1 AND month = 2)"""
+    q["csv_folder_quarantine"] = with_ctes(DAILY, PANEL) + """
+SELECT CASE WHEN year % 3 = 2 THEN 'no column total_precipitation' ELSE 'line does not fit' END AS reason, count(*) AS n_lines
+FROM panel WHERE year % 3 = 2 OR (year % 3 = 0 AND district % 10 = 1 AND month = 2) GROUP BY reason"""
+
+    q["published_panel"] = with_ctes(DAILY, PANEL) + f"\nSELECT district, year, month, {FEATURES}, mal_cases FROM panel"
+    q["history_stored_order"] = with_ctes(DAILY, PANEL) + """
+SELECT year, month, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_out_of_order FROM panel GROUP BY year, month"""
     return q

@@ -7,6 +7,7 @@ oracle statement of the same key in :mod:`panelcast.plans.oracle`.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 from panelcast import schemas
 from panelcast.functions.rounding import fixed_text, round_half_even
 from panelcast.functions.numeric import clip_cast as clip_cast_fn
-from panelcast.operators import (filters, forecast, history, normalize, ordering, rollup, scoring,
+from panelcast.operators import (filters, forecast, history, normalize, ordering, rollup, scoring, trees,
                                  validate, windows)
 from panelcast.plans import models
 from panelcast.session import checkpoint_dir
@@ -344,6 +345,16 @@ def score_tabular(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("y", _r6("y"))
 
 
+def score_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tree ensembles on the flat window and the one-hot entity, walked in the JVM; the model makes the round trip
+    through its columnar form."""
+    path = f"{checkpoint_dir(spark)}/trees-{uuid.uuid4().hex}"
+    trees.save_ensemble(spark.createDataFrame(models.tree_nodes(), trees.NODE_SCHEMA), path)
+    t = _tensor(_ctx(spark, sf_dir)).withColumn("flat", windows.flat_window("tensor", len(schemas.MONTHLY_FEATURES)))
+    out = trees.tree_scores(t, trees.load_ensemble(spark, path), WINDOW * len(schemas.MONTHLY_FEATURES), [schemas.ENTITY])
+    return out.withColumn("y", _r6("y"))
+
+
 def denormalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _panel_forecast(_ctx(spark, sf_dir)).withColumn("y", _r6("y"))
 
@@ -401,7 +412,7 @@ def nation_monthly_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def latest_window_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last 12 months of every supplier (per-entity top-k, ``pos`` 0 = oldest)."""
     return as_text_dates(windows.latest_window(_panel(spark, sf_dir, reuse=False), SERIES_ORDER, 12,
-                                               entity=schemas.ENTITY))
+                                               entity=schemas.ENTITY, min_rows=False))
 
 
 def _seeded_target_nulls(panel: DataFrame) -> DataFrame:
@@ -467,6 +478,7 @@ def queries() -> dict[str, Query]:
         "score_linear": score_linear,
         "score_models": score_models,
         "score_tabular": score_tabular,
+        "score_trees": score_trees,
         "denormalize": denormalize,
         "long_forecast": long_forecast,
         "series_forecast": series_forecast,

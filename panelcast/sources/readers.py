@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +12,17 @@ from panelcast.functions.numeric import STD_FLOOR, std_floor
 CORRUPT = "_corrupt_record"
 
 
+def existing_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``, or None if nothing is stored there yet. Any other failure is raised: a table
+    that cannot be read is not an empty one."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv",
                keep_corrupt: bool = False) -> DataFrame:
     """Read a table with a declared schema (no inference at scale).

@@ -109,6 +109,8 @@ def compare(spark, sf_dir: str, names: list[str] | None = None, verbose: bool =
                 entry["spark_cols"] = sorted(s_cols)
                 entry["oracle_cols"] = sorted(d_cols)
         else:
+            # No SQL: brute force in the query's own tests decides; here the rows must come, under one schema.
+            entry["schema_match"] = s_cols == [f.name for f in sdf.schema.fields] and len(set(s_cols)) == len(s_cols)
             entry["match"] = None
         report[name] = entry
         if verbose:

@@ -18,11 +18,17 @@ def _names():
 def test_query_matches_oracle(spark, name):
     rep = compare_one(spark, SF, name)
     assert rep["schema_match"], rep
-    assert rep["match"], rep
+    if rep["match"] is None:           # no SQL form: tests/llm holds these against brute force
+        assert name in {"op3_byte_bpe", "op4_language", "op8_line_dedup", "op9_substring_dedup", "op10_toxicity", "pipeline"}
+        assert rep["rows"] > 0, rep
+    else:
+        assert rep["match"], rep
 
 
 def test_entry_smoke(spark):
     from __spark_entry__ import entry
     df = entry(spark)
     assert df.columns == ["district", "model", "month", "predicted_mal_cases"]
-    assert df.count() >= 0
+    rows = df.collect()
+    assert {r.model for r in rows} == {"recency", "last_month"} and len(rows) == len({(r.district, r.model, r.month) for r in rows})
+    assert all(r.predicted_mal_cases >= 0 for r in rows)
