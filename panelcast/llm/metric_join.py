@@ -262,9 +262,11 @@ def components(docs: DataFrame, nodes: DataFrame, shingle: int, similarity: int,
                   .select("cell", F.col("by.nid").alias("pivot")))
         large = stored(large.join(pivots, "cell"), "metric-large")
         distances = compared(large.where("nid != pivot").select(F.col("pivot").alias("a"), F.col("nid").alias("b")), sets)
-        links = links.unionByName(distances.where(_linked(similarity)).select("a", "b"))
-        roots = stored(connected_components(links), "metric-roots")
-        links = roots.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+        linked = distances.where(_linked(similarity)).select("a", "b")
+        links = links.unionByName(linked)
+        # A linked row takes the root of its pivot: rows of one root are connected, which is all that the next step asks.
+        up = linked.join(roots.withColumnRenamed("node", "a"), "a", "left").select(F.col("b").alias("node"), F.coalesce("root", "a").alias("root"))
+        roots = stored(roots.unionByName(up).groupBy("node").agg(F.min("root").alias("root")), "metric-roots")
         rows = stored(unresolved(rings(large, distances, similarity, level), roots), "metric-unresolved")
     else:
         leaves = leaves.unionByName(rows.select("cell", "nid", "n"))
