@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelcast.llm.common import LOWER_BYTES, fan_out, salt_of, small_batches, stored, table
+from panelcast.llm.common import LOWER_BYTES, fan_out, small_batches, stored, table
 
 BUCKETS = 1 << 16
 EFFECTIVE = 40.0
@@ -179,7 +179,8 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
     n, salts = len(languages), fan_out(pages.sparkSession)
     rows = text_evidence(pages, languages, model).select(
         "*", host.alias("host"), domain.alias("domain"), suffix.alias("suffix"), path.alias("path")).drop("url")
-    rows = stored(rows.withColumn("salt", salt_of(salts, F.col("page_id"))), "page-evidence")
+    # A number of the stored row, so that pages without an id, or with one id, are spread as well.
+    rows = stored(rows.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")), "page-evidence")
 
     def add(name: str) -> list[Column]:
         return [F.sum(F.col(name)[i]) for i in range(n)]

@@ -37,7 +37,7 @@ from panelcast.llm.common import small_batches, stored, table
 
 EDITS = 2
 MIN_CHARS = 20
-BROADCAST_LINES = 1_000_000     # ids of lines to compare that are sent to every worker (8 MB) at most
+FILTER_BITS = 1 << 26         # bits of the filter that workers get: 8 MB
 COUNTED_LINES = 256             # lines whose characters are counted at a time
 
 
@@ -201,13 +201,16 @@ def candidate_pairs(lines: DataFrame, edits: int) -> DataFrame:
 
 
 def line_texts(docs: DataFrame, ids: DataFrame, min_chars: int, text: str) -> DataFrame:
-    """``id, digest, line`` of the wanted lines. A proven small set of ids is sent to the workers; a
-    larger one is joined."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    few = None
-    if ids.count() <= BROADCAST_LINES:
-        few = spark.sparkContext.broadcast(frozenset(r.id for r in ids.toLocalIterator()))
+    """``id, digest, line`` of the wanted lines. A bitmap of fixed size, whatever the number of ids, keeps most other
+    lines in the workers; the join decides."""
+    small_batches(docs.sparkSession)
+    place = F.pmod(F.col("id"), F.lit(FILTER_BITS)) + 1       # Spark's bitmaps count from 1
+    filled = ids.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    for row in filled.toLocalIterator():                     # FILTER_BITS bits at most, in blocks
+        part = np.frombuffer(bytes(row.bits), np.uint8)
+        bits[(row.bucket - 1) * len(part):row.bucket * len(part)] = part
+    few = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,14 +219,15 @@ def line_texts(docs: DataFrame, ids: DataFrame, min_chars: int, text: str) -> Da
                 for line in lines_of(t.as_py()):
                     if len(line) >= min_chars and line not in rows:
                         digest = _digest(line)
-                        if few is None or _id(digest) in few.value:
+                        at = _id(digest) % FILTER_BITS
+                        if few.value[at >> 3] >> (at & 7) & 1:
                             rows[line] = (_id(digest), digest)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([i for i, _ in rows.values()], pa.int64()), pa.array([d for _, d in rows.values()], pa.binary()),
                  pa.array(list(rows), pa.string())], ["id", "digest", "line"])
 
     lines = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, "id long, digest binary, line string")
-    return (lines if few is not None else lines.join(ids, "id")).dropDuplicates(["digest"])
+    return lines.join(ids, "id").dropDuplicates(["digest"])
 
 
 def near_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, text: str = "text") -> DataFrame:
@@ -248,8 +252,9 @@ def near_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
 
 def marked_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, text: str = "text",
                  key: str = "doc_id") -> DataFrame:
-    """``doc, version, no, copy, near, links`` of every line that is not blank: whether it is a later
-    copy, whether its text is near an earlier line's, and how many distinct lines it is near."""
+    """``doc, version, no, copy, near, links, refers`` of every line that is not blank: whether it is a later
+    copy, whether its text is near an earlier line's, how many distinct lines it is near, and the document of the first
+    copy or of the first line that it is near, for the lines that are either."""
     places = occurrences(docs, text, key)
     place = F.struct(F.col("doc").isNull().alias("unnamed"), "doc", "version", "no")
     firsts = places.groupBy("digest").agg(F.min(place).alias("first"))
@@ -260,25 +265,30 @@ def marked_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
     ends = (both.join(at.select(F.col("digest").alias("a"), F.col("first").alias("first_a")), "a")
             .join(at.select(F.col("digest").alias("b"), F.col("first").alias("first_b")), "b")
             .groupBy(F.col("a").alias("digest"))
-            .agg(F.max(F.col("first_b") < F.col("first_a")).alias("near"), F.count(F.lit(1)).alias("links")))
+            .agg(F.max(F.col("first_b") < F.col("first_a")).alias("near"), F.count(F.lit(1)).alias("links"),
+                 F.min("first_b").alias("nearest")))
     marks = firsts.join(ends, "digest", "left")
     return (places.join(marks, "digest")
             .select("doc", "version", "no", (place != F.col("first")).alias("copy"),
-                    F.coalesce("near", F.lit(False)).alias("near"), F.coalesce("links", F.lit(0)).alias("links")))
+                    F.coalesce("near", F.lit(False)).alias("near"), F.coalesce("links", F.lit(0)).alias("links"),
+                    F.when(place != F.col("first"), F.col("first.doc")).when(F.col("near"), F.col("nearest.doc")).alias("refers")))
 
 
 def line_report(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, text: str = "text",
                 key: str = "doc_id") -> DataFrame:
-    """Per document: ``doc_id, n_lines, n_kept, n_copies, n_near, n_links`` (lines that are not blank)."""
+    """Per document: ``doc_id, n_lines, n_kept, n_copies, n_near, n_links`` (lines that are not blank), and ``refers_to``, the
+    ids of the documents that hold the lines which its copies and near lines repeat."""
     per_doc = (marked_lines(docs, edits, min_chars, text, key).groupBy("doc", "version")
                .agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(~F.col("copy") & ~F.col("near")).alias("n_kept"),
                     F.count_if("copy").alias("n_copies"), F.count_if(F.col("near") & ~F.col("copy")).alias("n_near"),
-                    F.sum("links").alias("n_links")))
+                    F.sum("links").alias("n_links"), F.array_sort(F.collect_set("refers")).alias("refers_to")))
     every = docs.select(F.col(f"`{key}`").alias("doc"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("version")).distinct()
     joined = every.join(per_doc.withColumnsRenamed({"doc": "d", "version": "v"}),
                         F.col("doc").eqNullSafe(F.col("d")) & (F.col("version") == F.col("v")), "left")
+    none = F.array().cast(joined.schema["refers_to"].dataType)
     return joined.select(F.col("doc").alias(key), *[F.coalesce(c, F.lit(0)).alias(c) for c in
-                                                    ("n_lines", "n_kept", "n_copies", "n_near", "n_links")])
+                                                    ("n_lines", "n_kept", "n_copies", "n_near", "n_links")],
+                         F.coalesce("refers_to", none).alias("refers_to"))
 
 
 def line_dedup(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, text: str = "text",

@@ -259,7 +259,7 @@ def with_originals(pages: DataFrame, min_bytes: int = MIN_BYTES, salts: int | No
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select("page_id", "url", payload.alias("payload")).select(
         "*", F.sha2("payload", 256).alias("key"), F.octet_length("payload").alias("size"),
-        salt_of(salts, F.col("page_id")).alias("salt"))
+        salt_of(salts, F.col("page_id"), F.col("url")).alias("salt"))
     joined = (rows.join(salted_least(rows, ["key", "size"], "page_id"), ["key", "size", "salt"])
               .withColumnRenamed("least", "original"))
     revisit = (F.col("size") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("original"))
@@ -268,10 +268,11 @@ def with_originals(pages: DataFrame, min_bytes: int = MIN_BYTES, salts: int | No
 
 
 def _put(directory: str, name: str, data: bytes) -> None:
-    """Write whole or not at all; a second attempt replaces the same bytes. Any file system that
-    the URI names will do."""
+    """Write whole or not at all; a second attempt replaces the same bytes. The URI may name what pyarrow's file systems
+    know (``file``, ``hdfs``, ``s3``, ``gs``, ``abfs``); ``s3a`` and ``abfss``, as Hadoop calls the same stores, are renamed."""
     from pyarrow import fs
-    files, path = fs.FileSystem.from_uri(directory)
+    scheme, colon, rest = directory.partition("://")
+    files, path = fs.FileSystem.from_uri({"s3a": "s3", "s3n": "s3", "abfss": "abfs"}.get(scheme, scheme) + colon + rest)
     files.create_dir(path, recursive=True)
     draft = posixpath.join(path, f"_{name}.{TaskContext.get().taskAttemptId()}")
     with files.open_output_stream(draft) as out:
