@@ -29,15 +29,6 @@ def month_start(year: Column | str, month: Column | str) -> Column:
     return F.make_date(_c(year), _c(month), F.lit(1))
 
 
-def add_months_start(date: Column | str, months: Column | int) -> Column:
-    m = months if isinstance(months, Column) else F.lit(months)
-    return F.add_months(F.trunc(_c(date), "MM"), m)
-
-
-def month_label(date: Column | str, style: str = "underscore") -> Column:
-    return F.date_format(_c(date), LABEL_FORMATS[style])
-
-
 def previous_month_bounds(as_of: dt.date | str) -> tuple[dt.date, dt.date]:
     """First and last day of the calendar month before ``as_of`` (both inclusive)."""
     if isinstance(as_of, str):

@@ -90,8 +90,3 @@ def append_if_absent(history: DataFrame, batch: DataFrame, match_cols: list[str]
 def merge_target(series: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     """Left join of a feature series and a target on ``keys``; unmatched targets stay NULL."""
     return series.join(target, keys, "left")
-
-
-def history_sorted(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Sort by ``keys`` ascending with NULLs last (range-partitioned, so it scales)."""
-    return df.orderBy(*[F.col(k).asc_nulls_last() for k in keys])

@@ -55,11 +55,6 @@ DAILY_SCHEMA = T.StructType(
     + [T.StructField(m, _MEASURE) for m in DAILY_MEASURES]
     + [T.StructField("month", T.StringType())])
 
-DISTRICT_HISTORY_SCHEMA = T.StructType(
-    [T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType()),
-     T.StructField(ENTITY, T.StringType()), T.StructField(DISTRICT_TARGET, _MEASURE)]
-    + [T.StructField(m, _MEASURE) for m in MONTHLY_FEATURES])
-
 NATIONAL_SERIES_SCHEMA = T.StructType(
     [T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())]
     + [T.StructField(m, _MEASURE) for m in MONTHLY_FEATURES]
