@@ -42,7 +42,7 @@ TOP = 2000
 CHUNK_WORDS = 1 << 20        # words of a shard automaton, and those of the text that reaches it
 UNION_STATES = 1 << 21       # states that a task gathers before it unites them
 RANGE_WORDS = 1 << 21        # words of the corpus for each range, about
-BUCKETS = 1 << 22            # counters of pairs; half as many of words
+BUCKETS = 1 << 24            # counters of pairs; half as many of words. A worker holds a byte for each, or four
 BLOCK = 1 << 16              # counters in a row
 SAMPLE = 20_000              # sampled n-grams that the ranges' bounds are chosen from, at most
 CHUNK_SAMPLE = 256
@@ -111,20 +111,24 @@ def heavy_hitters(rows: DataFrame, min_count: int) -> tuple[np.ndarray, int, lis
     kind = np.uint8 if min_count <= 255 else np.uint32
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters, n, sample = np.zeros(BUCKETS + BUCKETS // 2, np.int64), 0, []
+        counters, n, sample = np.zeros(BUCKETS + BUCKETS // 2, kind), 0, []
+
+        def add(places: np.ndarray) -> None:
+            at, more = np.unique(places, return_counts=True)
+            counters[at] = np.minimum(counters[at] + more, cap)       # from the cap on, a counter is live by itself
+
         for words, by_lang in _chunks(batches):
             for lang, codes in by_lang.items():
                 word, pair = _places(words, lang, codes)
                 real = codes > 0
                 n += int(real.sum())
-                counters += np.bincount(word[real], minlength=len(counters))
-                counters += np.bincount(pair[real & np.roll(real, -1)], minlength=len(counters))
+                add(word[real])
+                add(pair[real & np.roll(real, -1)])
                 starts = np.flatnonzero(real)
                 for i in starts[::max(1, len(starts) * len(by_lang) // CHUNK_SAMPLE)].tolist():
                     gram = codes[i:i + LONGEST]
                     gram = gram[:int(np.argmin(gram > 0))] if (gram == 0).any() else gram
                     sample.append([lang, *(words[c] for c in gram)])
-        counters = np.minimum(counters, cap).astype(kind)   # from the cap on, a counter is live by itself
         blocks, data = [], []
         for b in range(len(counters) // BLOCK):
             part = counters[b * BLOCK:(b + 1) * BLOCK]
