@@ -87,7 +87,7 @@ def small_batches(spark: SparkSession) -> None:
     """Bound the Arrow batches that Python workers get, in rows and in bytes: long texts would
     otherwise make batches of hundreds of MB."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def salted_least(rows: DataFrame, keys: list[str], value: str, salt: str = "salt") -> DataFrame:

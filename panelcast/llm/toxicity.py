@@ -36,7 +36,7 @@ SHARED = 2                  # n-grams of this length and shorter are counted ove
 DISCOUNT = 0.75
 RUN = 3                     # words of the run that counts by itself
 FOLDS = 5
-MEMO_ENTRIES = 200_000      # entries of each memo, at most; memos end with their task
+MEMO_ENTRIES = 100_000      # entries of each memo, at most; memos end with their task
 PAD = "\x02"
 STOP = "\x03"
 
