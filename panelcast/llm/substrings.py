@@ -19,7 +19,7 @@ windows the chance of one false passage is about 1 in 4e10.
 
 Defined cases: null and empty texts have no windows; rows without an id are left out, as nothing could name them; rows that
 repeat an id and a text are one version of a document, and rows that repeat the id with another text are another version:
-its own spans carry its ``version`` (the text's hash), and passages that only versions of one id share are not repeated
+its own spans carry its ``version`` (a number from 0), and passages that only versions of one id share are not repeated
 *across* documents; very long texts are taken whole; without repeated passages, or without rows, the result is empty. Other
 columns are not read, so their names cannot clash.
 """
@@ -120,62 +120,68 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def _versions(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """``doc, version, text``: every version of a document that has an id."""
+    """``doc, version, text`` of the rows that have an id. Versions number the different texts of one id from 0; where every id
+    has one text, which one narrow job finds out, that is all there is to it."""
     rows = docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").alias("text")).where("doc IS NOT NULL")
-    return rows.select("doc", F.xxhash64("text").alias("version"), "text")
+    hashed = rows.select("doc", F.xxhash64("text").alias("hash"), "text")
+    several = (hashed.select("doc", "hash").groupBy("doc").agg(F.min("hash").alias("low"), F.max("hash").alias("high"))
+               .where("low != high").select("doc"))
+    several = stored(several, "several-versions")
+    if several.isEmpty():
+        return hashed.select("doc", F.lit(0).cast("long").alias("version"), "text")
+    one = hashed.select("doc", "hash").distinct().join(several, "doc")
+    numbers = one.withColumn("version", (F.row_number().over(Window.partitionBy("doc").orderBy("hash")) - 1).cast("long"))
+    return hashed.join(numbers, ["doc", "hash"], "left").select("doc", F.coalesce("version", F.lit(0)).alias("version"), "text")
 
 
-def chunk_rows(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``chunk, doc, version, places`` of every chunk of a text: where it is there, as pairs of first word and end."""
-    small_batches(docs.sparkSession)
-    rows = _versions(docs, text, key)
+# A place in a text as one number: version, word and (of a chunk) length.
+_VERSION, _WORD_BITS = 40, 8
+
+
+def chunk_rows(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``chunk, doc, at`` of every chunk of ``rows`` (doc, version, text); ``at`` has version, first word and length."""
+    small_batches(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digests, owners, sizes, places = [], [], [], []
-            for i, t in enumerate(batch.column(2)):
+            digests, owners, places = [], [], []
+            for i, (version, t) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2))):
                 digest, first, end = chunks(words_of(t.as_py()), min_words)
-                if len(digest):
-                    order = np.argsort(digest, kind="stable")
-                    found, starts = np.unique(digest[order], return_index=True)
-                    digests.append(found)
-                    owners.append(np.full(len(found), i))
-                    sizes.append(np.diff(np.append(starts, len(order))))
-                    places.append(np.stack([first[order], end[order]], axis=1).ravel())
+                digests.append(digest)
+                owners.append(np.full(len(digest), i))
+                places.append((version << _VERSION) + (first << _WORD_BITS) + (end - first))
             if digests:
-                owner = pa.array(np.concatenate(owners))
-                offsets = np.concatenate([[0], np.cumsum(2 * np.concatenate(sizes))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(digests).view(np.int64)), batch.column(0).take(owner), batch.column(1).take(owner),
-                     pa.ListArray.from_arrays(offsets, np.concatenate(places).astype(np.int32))],
-                    ["chunk", "doc", "version", "places"])
+                    [pa.array(np.concatenate(digests).view(np.int64)), batch.column(0).take(pa.array(np.concatenate(owners))),
+                     pa.array(np.concatenate(places).astype(np.int64))], ["chunk", "doc", "at"])
 
-    schema = T.StructType([T.StructField("chunk", T.LongType()), rows.schema["doc"], T.StructField("version", T.LongType()),
-                           T.StructField("places", T.ArrayType(T.IntegerType()))])
-    return rows.mapInArrow(run, schema)
+    schema = T.StructType([T.StructField("chunk", T.LongType()), rows.schema["doc"], T.StructField("at", T.LongType())])
+    return rows.select("doc", "version", "text").mapInArrow(run, schema)
 
 
 def shared_places(rows: DataFrame) -> DataFrame:
-    """``doc, version, places``: where each text has chunks that another document has too."""
+    """``doc, places``: where the texts of each document have chunks that another document has too."""
     shared = (rows.groupBy("chunk").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
               .select("chunk"))
-    return (rows.join(shared, "chunk").groupBy("doc", "version")
-            .agg(F.flatten(F.collect_set("places")).alias("places")))
+    return rows.join(shared, "chunk").groupBy("doc").agg(F.collect_set("at").alias("places"))
 
 
-def windows(docs: DataFrame, places: DataFrame, min_words: int, text: str, key: str) -> DataFrame:
-    """``a, b, doc, version, start``: digest and place of every window that holds one of the places."""
-    small_batches(docs.sparkSession)
-    rows = _versions(docs, text, key).join(places, ["doc", "version"])
+def windows(rows: DataFrame, places: DataFrame, min_words: int) -> DataFrame:
+    """``a, b, doc, at``: digest and place (version and first word) of every window that holds one of the places."""
+    small_batches(rows.sparkSession)
+    rows = rows.join(places, "doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
+            for i, version in enumerate(batch.column("version").to_pylist()):
                 words = words_of(batch.column("text")[i].as_py())
                 n = len(words) - min_words + 1
-                first, end = batch.column("places")[i].values.to_numpy().reshape(-1, 2).T
-                if n <= 0:
+                at = batch.column("places")[i].values.to_numpy()
+                at = at[at >> _VERSION == version] & (1 << _VERSION) - 1
+                if n <= 0 or not len(at):
                     continue
+                first = at >> _WORD_BITS
+                end = first + (at & (1 << _WORD_BITS) - 1)
                 edges = np.zeros(n + 1, np.int64)
                 np.add.at(edges, np.clip(end - min_words, 0, n), 1)
                 np.add.at(edges, np.clip(first + 1, 0, n), -1)
@@ -184,14 +190,13 @@ def windows(docs: DataFrame, places: DataFrame, min_words: int, text: str, key:
                 a, b = (gram_hashes(lanes[:, k].copy(), min_words, _ODD[k])[starts] for k in (0, 1))
                 for k in range(0, len(starts), 1 << 18):
                     part = slice(k, k + (1 << 18))
-                    owner = pa.array(np.full(len(starts[part]), i))
+                    doc = batch.column("doc").take(pa.array(np.full(len(starts[part]), i)))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(a[part].view(np.int64)), pa.array((b[part] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
-                         batch.column("doc").take(owner), batch.column("version").take(owner),
-                         pa.array(starts[part].astype(np.int32))], ["a", "b", "doc", "version", "start"])
+                         doc, pa.array((version << _VERSION) + starts[part])], ["a", "b", "doc", "at"])
 
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.IntegerType()), rows.schema["doc"],
-                           T.StructField("version", T.LongType()), T.StructField("start", T.IntegerType())])
+                           T.StructField("at", T.LongType())])
     return rows.select("doc", "version", "text", "places").mapInArrow(run, schema)
 
 
@@ -214,12 +219,15 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "tex
     document to remove, which lies in passages that smaller documents hold, and to keep (``kept``), which
     lies only in passages that it shares with larger ones; a kept stretch ends where one to remove begins, so
     it can be shorter than ``min_words``. ``first_doc_id`` is the least other document that shares a part of it."""
-    places = stored(shared_places(chunk_rows(docs, min_words, text, key)), "places")
+    if reach(min_words) + gear(min_words) >= 1 << _WORD_BITS:
+        raise ValueError("passages of that many words have chunks that are too long")
+    texts = _versions(docs, text, key)
+    places = stored(shared_places(chunk_rows(texts, min_words)), "places")
     alike = Window.partitionBy("a", "b")
-    met = (windows(docs, places, min_words, text, key)
+    met = (windows(texts, places, min_words)
            .withColumn("least", F.min("doc").over(alike))
            .withColumn("second", F.min(F.when(F.col("doc") > F.col("least"), F.col("doc"))).over(alike))
-           .select("doc", "version", "start",
+           .select("doc", F.shiftright("at", _VERSION).alias("version"), F.col("at").bitwiseAND((1 << _VERSION) - 1).cast("int").alias("start"),
                    F.when(F.col("doc") > F.col("least"), F.col("least")).otherwise(F.col("second")).alias("other"))
            .where("other IS NOT NULL").repartition("doc", "version").sortWithinPartitions("doc", "version", "start"))
     small_batches(docs.sparkSession)
@@ -276,8 +284,10 @@ def remove_repeated(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "te
             .agg(F.sort_array(F.collect_list(F.struct("start_word", "end_word"))).alias("cuts")))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                        F.col(f"`{key}`").alias("__key"), F.col(f"`{text}`").alias("text"))
-    rows = rows.withColumn("__version", F.xxhash64("text"))
-    rows = rows.join(cuts, ["__key", "__version"], "left").select("row", "text", "cuts")
+    numbers = _versions(docs, text, key).select(F.col("doc").alias("__key"), F.xxhash64("text").alias("__hash"),
+                                                F.col("version").alias("__version")).distinct()
+    cuts = cuts.join(numbers, ["__key", "__version"]).drop("__version")
+    rows = rows.withColumn("__hash", F.xxhash64("text")).join(cuts, ["__key", "__hash"], "left").select("row", "text", "cuts")
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
