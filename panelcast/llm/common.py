@@ -59,6 +59,15 @@ def fan_out(spark: SparkSession) -> int:
     return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+PACKED_ROWS = 50_000         # rows of a task over narrow rows, about
+
+
+def packed(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, known to have about ``rows`` narrow rows, in no more tasks than these are worth. Every map task of a shuffle
+    leaves two files, however few its rows; the tasks grow with the rows and are never fewer than the cores."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // PACKED_ROWS)))
+
+
 def salt_of(n: int, *cols: Column) -> Column:
     """A salt in ``0 .. n-1`` that depends on the row alone, so every scan deals it alike."""
     return F.pmod(F.xxhash64(*cols), F.lit(n)).cast("int")
@@ -106,7 +115,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Alternating large and small stars: every round links the larger neighbours of a node, then
     the smaller ones, to its least neighbour. Rounds grow with the logarithm of the longest path;
     each is written to the shared checkpoint folder and only its row count and hash sum reach
-    the driver.
+    the driver. The row count says into how many tasks the next round is packed.
     """
     def state(df: DataFrame):
         return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
@@ -120,12 +129,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     now = now.checkpoint()
     seen = state(now)
     while seen[0]:
-        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = star(both).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        small = star(large)
+        rows = seen[0]
+        now = packed(now, rows)
+        both = packed(now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b"))), 2 * rows)
+        large = packed(star(both).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")), rows)
+        small = packed(star(large), rows)
         small = (small.select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(small.select("a", F.col("m").alias("b"))).where("a != b").distinct())
-        now = small.checkpoint()
+        now = packed(small, rows).checkpoint()
         if (after := state(now)) == seen:
             break
         seen = after

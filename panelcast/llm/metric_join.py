@@ -14,13 +14,18 @@ that reach the similarity are near in both. The join divides the space until onl
    all others, so every window would hold every document. README has the figures.)
 3. *Pivots.* Every document of a shared cell is compared with the least document of its cells, its Voronoi pivot. Those that
    link with one pivot are connected; pairs within one component need no further look.
-4. *Recursion.* A cell that still has several components and more than :data:`LEAF` rows gets a pivot of its own and is divided
-   by the exact distance from it into rings twice as wide as the allowed distance; the triangle inequality says which
-   documents of the next ring's border are replicated. A ring is divided further if it is much smaller than its cell, up
-   to :data:`ROUNDS` times; where the distances from a pivot are all alike, another one would not tell more.
-5. *Leaves.* In the cells that are left, pairs of different components are compared if their sizes and their parity
-   sketches (a lower bound of the difference) allow the similarity. A cell that could not be divided is a leaf of any
-   size, so the result is exact for every input.
+4. *Hubs.* In the cells that still have several components, every document is compared with up to :data:`HUBS` others there
+   that sizes and parity sketches allow. That grows with a cell's rows, not with their square, and joins most of a
+   large group of near copies, whose pairs the next steps would meet one by one; up to :data:`HUB_ROUNDS` times.
+5. *Recursion.* A cell where more than :data:`LEAF` squared pairs are left, of a document outside the largest component and any
+   other, gets a pivot of its own and is divided by the exact distance from it into rings twice as wide as the
+   allowed distance; the triangle inequality says which documents of the next ring's border are replicated. A ring is
+   divided further if it is much smaller than its cell, up to :data:`ROUNDS` times; where the distances from a pivot are
+   all alike, another one would not tell more.
+6. *Leaves.* In the cells that are left, the documents outside the largest component are paired with those of other
+   components, and compared if their sizes and their parity sketches (a lower bound of the difference; folded ones
+   first, a lower bound of that) allow the similarity. A cell that could not be divided is a leaf of any size, so the
+   result is exact for every input.
 
 Links are confirmed on the full sets of 64-bit shingle hashes. Equal sets are one node, so copies are never paired.
 
@@ -35,23 +40,27 @@ from __future__ import annotations
 import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelcast.llm.common import connected_components, fan_out, salt_of, salted_least, small_batches, stored, table
+from panelcast.llm.common import connected_components, fan_out, packed, salt_of, salted_least, small_batches, stored, table
 from panelcast.llm.near_dedup import Shingles, parity_sketch
 
 SHINGLE, SIMILARITY = 3, 90
 SHELL = 125                          # a shell's largest size, per cent of its least
 SPARE = 3                            # classes beyond the differences that a pair may have
-LEAF = 256                           # rows of a cell that is not divided further
+HUBS, HUB_ROUNDS = 8, 3              # rows of a cell that all others there are compared with; rounds at most
+LEAF = 256                           # a cell with no more than LEAF * LEAF open pairs is not divided further
 ROUNDS = 3
 SMALLER = 0.6                        # a ring is divided if it has at most this share of its cell's rows
 SKETCH_WORDS = 32                    # as parity_sketch makes them
+PAIR_ROWS = 8                        # narrow rows that a pair with its sets weighs
+FOLDS = 4                            # words that a sketch is folded into
 
 
 # ---- cells ------------------------------------------------------------------------------------
@@ -167,10 +176,11 @@ def sets_of(docs: DataFrame, wanted: DataFrame, shingle: int, text: str, key: st
     return stored(found, "metric-sets")
 
 
-def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``a, b, common, total`` (sizes of intersection and union) of distinct pairs of nodes."""
+def compared(pairs: DataFrame, sets: DataFrame, rows: int) -> DataFrame:
+    """``a, b, common, total`` (sizes of intersection and union) of distinct pairs of nodes; ``rows`` says how much there is
+    to do, about."""
     small_batches(pairs.sparkSession)
-    joined = (pairs.select("a", "b").distinct()
+    joined = (packed(pairs.select("a", "b"), rows).distinct()
               .join(sets.select(F.col("nid").alias("a"), F.col("shingles").alias("sa")), "a")
               .join(sets.select(F.col("nid").alias("b"), F.col("shingles").alias("sb")), "b").select("a", "b", "sa", "sb"))
 
@@ -184,7 +194,7 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(common, pa.int64()),
                                               pa.array(total, pa.int64())], ["a", "b", "common", "total"])
 
-    return stored(joined.mapInArrow(run, "a long, b long, common long, total long"), "metric-pairs")
+    return stored(packed(joined, rows).mapInArrow(run, "a long, b long, common long, total long"), "metric-pairs")
 
 
 def _linked(similarity: int) -> Column:
@@ -196,22 +206,56 @@ def _sizes_allow(similarity: int) -> Column:
 
 
 def _sketches_allow(similarity: int) -> Column:
-    """The sketches differ in no more bits than the sets in shingles, at most (1 - s) / (1 + s) of their sizes' sum."""
-    differ = sum((F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i])) for i in range(SKETCH_WORDS)), F.lit(0))
-    return differ * (100 + similarity) <= (F.col("na") + F.col("nb")) * (100 - similarity)
+    """The sketches differ in no more bits than the sets in shingles, at most (1 - s) / (1 + s) of their sizes' sum. Folds
+    differ in no more bits than the sketches, and settle most pairs by themselves."""
+    allowed = (F.col("na") + F.col("nb")) * (100 - similarity)
+
+    def differ(name: str, words: int) -> Column:
+        return sum((F.bit_count(F.col(f"{name}_a")[i].bitwiseXOR(F.col(f"{name}_b")[i])) for i in range(words)), F.lit(0))
+
+    return ((differ("fold", FOLDS) * (100 + similarity) <= allowed)
+            & (differ("sketch", SKETCH_WORDS) * (100 + similarity) <= allowed))
+
+
+def folded(sketch: Column) -> Column:
+    """FOLDS words, each the exclusive or of every FOLDS-th of the sketch: equal bits cancel, so no difference is added."""
+    return F.array(*(reduce(Column.bitwiseXOR, [sketch[i] for i in range(f, SKETCH_WORDS, FOLDS)]) for f in range(FOLDS)))
 
 
 # ---- recursion --------------------------------------------------------------------------------
 
 def unresolved(cells: DataFrame, roots: DataFrame) -> DataFrame:
-    """``cell, nid, n, root``, the cell's number of rows (``size``) and what else there is, of the cells with several components."""
+    """``cell, nid, n, root`` and what else there is, of the cells with several components, with the cell's number of rows
+    (``size``), its ``largest`` component, and the number of rows outside it (``few``)."""
     rows = cells.join(roots.withColumnRenamed("node", "nid"), "nid", "left")
     rows = rows.withColumn("root", F.coalesce("root", "nid"))
-    several = (rows.groupBy("cell").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
-               .where("low != high").select("cell", "size"))
+    sizes = rows.groupBy("cell", "root").agg(F.count(F.lit(1)).alias("size"))
+    several = (sizes.groupBy("cell").agg(F.sum("size").alias("size"), F.max(F.struct("size", "root")).alias("top"),
+                                         F.count(F.lit(1)).alias("roots")).where("roots > 1")
+               .select("cell", "size", F.col("top.root").alias("largest"), (F.col("size") - F.col("top.size")).alias("few")))
     return rows.join(several, "cell")
 
 
+def hub_pairs(rows: DataFrame, sets: DataFrame, similarity: int, level: int) -> DataFrame:
+    """Pairs of a cell's rows and its hubs, rows chosen by hash, that are in different components and may reach the similarity."""
+    least = F.struct(F.xxhash64("nid", "cell", F.lit(level)).alias("by"), "nid")
+    places = Window.partitionBy("cell").orderBy(least)
+    hubs = rows.select("cell", "nid").withColumn("at", F.row_number().over(places)).where(F.col("at") <= HUBS).select("cell", "nid")
+    rows = rows.select("cell", "nid", "n", "root")
+    return _paired(hubs.join(rows, ["cell", "nid"]), rows, sets, F.col("a") != F.col("b"), similarity)
+
+
+def _paired(left: DataFrame, right: DataFrame, sets: DataFrame, which: Column, similarity: int) -> DataFrame:
+    """``a, b`` of one cell: which of the left and right rows (``cell, nid, n, root``) may reach the similarity."""
+    sketches = sets.select("nid", "sketch", folded(F.col("sketch")).alias("fold"))
+    sides = (rows.join(sketches, "nid").select("cell", F.col("nid").alias(s), *(F.col(c).alias(f"{c}{u}{s}") for c, u in (
+        ("n", ""), ("root", "_"), ("sketch", "_"), ("fold", "_"))), *(c for c in ("largest",) if c in rows.columns and s == "b"))
+        for s, rows in (("a", left), ("b", right)))
+    a, b = sides
+    return a.join(b, "cell").where(which & F.expr("root_a != root_b") & _sizes_allow(similarity)
+                                   & _sketches_allow(similarity)).select("a", "b")
+
+
 def rings(rows: DataFrame, distances: DataFrame, similarity: int, level: int) -> DataFrame:
     """The rows of each cell dealt into rings around its pivot: ``cell, nid, n, parent`` (the divided cell's size). A ring is twice as wide as the allowed
     distance; what lies above it by no more than that distance is in it, too."""
@@ -232,12 +276,9 @@ def rings(rows: DataFrame, distances: DataFrame, similarity: int, level: int) ->
 
 
 def leaf_pairs(rows: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """Pairs of different components in one cell that may reach the similarity."""
-    rows = rows.join(sets.select("nid", "sketch"), "nid")
-    a, b = (rows.select("cell", F.col("nid").alias(s), F.col("n").alias(f"n{s}"), F.col("root").alias(f"root_{s}"),
-                        F.col("sketch").alias(f"sketch_{s}")) for s in "ab")
-    return (a.join(b, "cell").where(F.expr("a < b AND root_a != root_b") & _sizes_allow(similarity) & _sketches_allow(similarity))
-            .select("a", "b"))
+    """Pairs of different components in one cell that may reach the similarity, one of them outside the largest."""
+    every = rows.select("cell", "nid", "n", "root", "largest")
+    return _paired(every.where("root != largest").drop("largest"), every, sets, F.expr("root_b = largest OR a < b"), similarity)
 
 
 def components(docs: DataFrame, nodes: DataFrame, shingle: int, similarity: int, text: str, key: str) -> DataFrame:
@@ -248,29 +289,42 @@ def components(docs: DataFrame, nodes: DataFrame, shingle: int, similarity: int,
     sizes = nodes.select(F.col("nid").alias("pivot"), F.col("n").alias("np"))
     first = (cells.where("nid != pivot").groupBy("nid", "n").agg(F.min("pivot").alias("pivot")).join(sizes, "pivot")
              .select(F.col("pivot").alias("a"), F.col("nid").alias("b"), F.col("np").alias("na"), F.col("n").alias("nb")))
-    links = compared(first.where(_sizes_allow(similarity)), sets).where(_linked(similarity)).select("a", "b")
+    n_cells = cells.count()
+    wide = PAIR_ROWS * n_cells                           # pairs carry sets, so they weigh more than narrow rows
+    links = compared(first.where(_sizes_allow(similarity)), sets, wide).where(_linked(similarity)).select("a", "b")
     roots = links.select(F.col("b").alias("node"), F.col("a").alias("root"))     # one pivot each: a part of the components
-    rows = unresolved(cells.select("cell", "nid", "n", F.lit(None).cast("long").alias("parent")), roots)
-    rows, leaves = stored(rows, "metric-unresolved"), None
+    rows = stored(packed(unresolved(cells.select("cell", "nid", "n"), roots), n_cells), "metric-unresolved")
+    for level in range(HUB_ROUNDS):
+        crowded = rows.where(F.col("few") * F.col("size") > LEAF * HUBS)         # others are leaves as they are
+        if crowded.isEmpty():
+            break
+        linked = compared(hub_pairs(crowded, sets, similarity, level), sets, wide).where(_linked(similarity)).select("a", "b")
+        if linked.isEmpty():
+            break
+        roots = stored(connected_components(links.unionByName(linked)), "metric-roots")
+        links = roots.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))   # stand in for the links
+        rows = stored(packed(unresolved(rows.select("cell", "nid", "n"), roots), n_cells), "metric-unresolved")
+    rows, leaves = rows.withColumn("parent", F.lit(None).cast("long")), None
     for level in range(ROUNDS):
-        divide = (F.col("size") > LEAF) & (F.col("parent").isNull() | (F.col("size") <= SMALLER * F.col("parent")))
+        divide = ((F.col("few") * F.col("size") > LEAF * LEAF)
+                  & (F.col("parent").isNull() | (F.col("size") <= SMALLER * F.col("parent"))))
         large, rest = rows.where(divide).drop("parent"), rows.where(~divide).select("cell", "nid", "n")
         leaves = rest if leaves is None else leaves.unionByName(rest)
         if large.isEmpty():
             break
         pivots = (large.groupBy("cell").agg(F.min(F.struct(F.xxhash64("nid", F.lit(level)), "nid")).alias("by"))
                   .select("cell", F.col("by.nid").alias("pivot")))
-        large = stored(large.join(pivots, "cell"), "metric-large")
-        distances = compared(large.where("nid != pivot").select(F.col("pivot").alias("a"), F.col("nid").alias("b")), sets)
+        large = stored(packed(large.join(pivots, "cell"), n_cells), "metric-large")
+        distances = compared(large.where("nid != pivot").select(F.col("pivot").alias("a"), F.col("nid").alias("b")), sets, wide)
         linked = distances.where(_linked(similarity)).select("a", "b")
         links = links.unionByName(linked)
         # A linked row takes the root of its pivot: rows of one root are connected, which is all that the next step asks.
         up = linked.join(roots.withColumnRenamed("node", "a"), "a", "left").select(F.col("b").alias("node"), F.coalesce("root", "a").alias("root"))
         roots = stored(roots.unionByName(up).groupBy("node").agg(F.min("root").alias("root")), "metric-roots")
-        rows = stored(unresolved(rings(large, distances, similarity, level), roots), "metric-unresolved")
+        rows = stored(packed(unresolved(rings(large, distances, similarity, level), roots), 2 * n_cells), "metric-unresolved")
     else:
         leaves = leaves.unionByName(rows.select("cell", "nid", "n"))
-    more = compared(leaf_pairs(unresolved(leaves, roots), sets, similarity), sets)
+    more = compared(leaf_pairs(unresolved(leaves, roots), sets, similarity), sets, wide)
     links = links.unionByName(more.where(_linked(similarity)).select("a", "b"))
     return stored(connected_components(links), "metric-roots")
 

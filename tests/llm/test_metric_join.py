@@ -129,3 +129,14 @@ def test_rows_without_text_hash_clash(spark):
     rows = [(1, t) for t in base] + [(None, t) for t in base]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("place", F.lit(0))
     assert sorted((tuple(r) for r in mj.jaccard_join(docs).collect()), key=repr) == brute(rows)
+
+
+def test_hubs_bound_the_pairs_of_a_large_group(spark):
+    """A cell's rows meet at most HUBS others of it, whatever its size; folds lose no pair that the sketches allow."""
+    sets = [np.arange(n, n + 200, dtype=np.uint64) for n in range(60)]
+    rows = spark.createDataFrame([(1, n, 200, n) for n in range(60)], "cell long, nid long, n long, root long")
+    sketches = spark.createDataFrame([(n, mj.parity_sketch(s).tolist()) for n, s in enumerate(sets)], "nid long, sketch array<long>")
+    pairs = {(r.a, r.b) for r in mj.hub_pairs(rows, sketches, 90, 0).collect()}
+    hubs = {a for a, _ in pairs}
+    assert 0 < len(hubs) <= mj.HUBS < 60
+    assert pairs >= {(a, b) for a in hubs for b in range(60) if a != b and 100 * (200 - abs(a - b)) >= 90 * (200 + abs(a - b))}
