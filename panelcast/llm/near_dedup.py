@@ -39,14 +39,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelcast.llm.common import (connected_components, fan_out, salt_of, salted_least, small_batches,
+from panelcast.llm.common import (connected_components, fan_out, packed, salt_of, salted_least, small_batches,
                                   space_words, stored, table)
 
 SHINGLE, SIMILARITY = 5, 80          # words of a shingle; per cent of the union
 TREES, DEPTH = 20, 4
 DEEP_TREES, MAX_DEPTH = 3, 8
 SKETCH_WORDS = 32                    # 64-bit words of a parity sketch
-MEMO_ENTRIES = 400_000
+NODE_ROWS = 8                        # narrow rows that a node with its signatures, or a pair with its sets, weighs
+MEMO_ENTRIES = 200_000
 CHUNK = 1 << 20                      # shingles hashed at a time
 
 
@@ -252,10 +253,10 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, shingle: int, text: str, ke
     return rows.mapInArrow(run, "node binary, shingles binary, sketch array<bigint>").dropDuplicates(["node"])
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity."""
+def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int, rows: int) -> DataFrame:
+    """The pairs (a, b) whose sets reach the similarity; ``rows`` says how much there is to do, about."""
     small_batches(pairs.sparkSession)
-    possible = pairs.where(_sizes_allow(similarity)).select("a", "b").distinct()
+    possible = packed(pairs.where(_sizes_allow(similarity)).select("a", "b"), rows).distinct()
     joined = (possible.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
               .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b").select("a", "b", "sa", "sb"))
 
@@ -268,7 +269,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
                 linked.append(100 * common >= similarity * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    return joined.mapInArrow(run, "a binary, b binary")
+    return packed(joined, rows).mapInArrow(run, "a binary, b binary")
 
 
 # ---- jobs -------------------------------------------------------------------------------------
@@ -282,17 +283,19 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = S
     full = signed.where("n > 0").withColumn("salt", salt_of(salts, F.col("id")))
     by_set = salted_least(full, ["node"], "id")
     nodes = full.groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("trees").alias("trees"))
-    nodes = stored(nodes, "nodes")
+    nodes = stored(packed(nodes, NODE_ROWS * signed.count()), "nodes")
+    n_nodes = nodes.count()
+    wide = NODE_ROWS * n_nodes
 
-    region_rows = stored(regions(nodes), "regions")
+    region_rows = stored(packed(regions(nodes), TREES * n_nodes), "regions")
     wanted = region_rows.select("node").distinct().join(nodes.select("node", "id"), "node")
-    sets = stored(shingle_sets(docs, wanted, shingle, text, key), "sets")
-    links = stored(confirmed(deep_neighbours(nodes), sets, similarity), "links")
+    sets = stored(packed(shingle_sets(docs, wanted, shingle, text, key), wide), "sets")
+    links = stored(confirmed(deep_neighbours(nodes), sets, similarity, wide), "links")
     roots = stored(connected_components(links), "roots")
     for step in (2, 3):
         pairs = (hub_pairs(region_rows, roots) if step == 2
                  else completing_pairs(region_rows, roots, nodes, sets, similarity))
-        more = stored(confirmed(pairs, sets, similarity), "links")
+        more = stored(confirmed(pairs, sets, similarity, wide), "links")
         if not more.isEmpty():
             # Components stand in for the links found so far.
             links = roots.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)

@@ -372,3 +372,19 @@ def test_parity_sketches_differ_in_at_most_the_unshared_shingles():
             x, y = near_dedup.parity_sketch(a), near_dedup.parity_sketch(b)
             assert len(x) == near_dedup.SKETCH_WORDS
             assert sum(int(v).bit_count() for v in (x ^ y).view(np.uint64)) <= len(np.setxor1d(a, b))
+
+
+def test_components_are_packed_into_few_tasks(spark):
+    """Few edges make few tasks (and shuffle files), whatever the number of shuffle partitions."""
+    from panelcast.llm.common import connected_components
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", 40)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        edges = spark.createDataFrame([(n, n + 1) for n in range(30)] + [(50, 51)], "a long, b long")
+        roots = connected_components(edges)
+        assert roots.rdd.getNumPartitions() <= 40 + spark.sparkContext.defaultParallelism
+        assert sorted(map(tuple, roots.collect())) == [(n, 0) for n in range(31)] + [(50, 50), (51, 50)]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
