@@ -40,7 +40,7 @@ LONGEST = 5
 MIN_COUNT = 100
 TOP = 2000
 CHUNK_WORDS = 1 << 20        # words of a shard automaton, and those of the text that reaches it
-UNION_STATES = 1 << 21       # states that a task gathers before it unites them
+UNION_STATES = 1 << 19       # states that a task gathers before it unites them, or as many as the union has
 RANGE_WORDS = 1 << 21        # words of the corpus for each range, about
 BUCKETS = 1 << 24            # counters of pairs; half as many of words. A worker holds a byte for each, or four
 BLOCK = 1 << 16              # counters in a row
@@ -197,7 +197,8 @@ def range_bounds(bits: np.ndarray, sample: list[tuple[bytes, ...]], n: int) -> l
         size = int(live_lengths(bits, [END, *words], lang, np.arange(1, len(words) + 1))[0]) if words else 0
         if size:
             grams.append((lang, *words[:size]))
-    grams.sort()
+    # Each once: a range holds distinct n-grams of a chunk, however often they occur there.
+    grams = sorted(set(grams))
     return sorted({grams[len(grams) * i // n] for i in range(1, n)}) if grams else []
 
 
@@ -234,12 +235,12 @@ class Automaton:
     def paths(self) -> np.ndarray:
         """Rows of ranks (from 1) in ``words``, filled up with 0; one for each state."""
         n = len(self.depths)
-        out = np.zeros((n, LONGEST + 1), np.int64)
-        at = np.arange(n)
+        out = np.zeros((n, LONGEST + 1), np.int32)
+        at = np.arange(n, dtype=np.int32)
         for d in range(LONGEST + 1):
-            last = np.maximum.accumulate(np.where(self.depths == d, at, -1))
+            last = np.maximum.accumulate(np.where(self.depths == d, at, np.int32(-1)))
             held = self.depths >= d
-            out[held, d] = self.labels[last[held]].astype(np.int64) + 1
+            out[held, d] = self.labels[last[held]].astype(np.int32) + 1
         return out
 
     def items(self) -> Iterator[tuple[tuple[bytes, ...], int]]:
@@ -264,7 +265,11 @@ class Automaton:
         """One automaton whose weights are the sums."""
         words = sorted({w for p in parts for w in p.words})
         rank = {w: r for r, w in enumerate(words, 1)}
-        paths = np.concatenate([np.array([0, *(rank[w] for w in p.words)], np.int64)[p.paths()] for p in parts])
+        paths, at = np.empty((sum(len(p.depths) for p in parts), LONGEST + 1), np.int32), 0
+        for p in parts:
+            paths[at:at + len(p.depths)] = np.array([0, *(rank[w] for w in p.words)], np.int32)[p.paths()]
+            at += len(p.depths)
+        del rank
         paths, weights = summed(paths, np.concatenate([p.weights for p in parts]), len(words))
         return cls.build(words, paths, weights)
 
@@ -292,7 +297,8 @@ def summed(paths: np.ndarray, weights: np.ndarray, top: int) -> tuple[np.ndarray
     for a in range(0, paths.shape[1], each):
         key = np.zeros(len(paths), np.int64)
         for column in paths[:, a:a + each].T:
-            key = key << bits | column
+            key <<= bits
+            key |= column
         keys.append(key)
     order = np.lexsort(keys[::-1])
     changed = np.zeros(len(order), bool)
@@ -414,7 +420,7 @@ def count_transducers(docs: DataFrame, text: str = "text", lang: str = "lang",
                 yield _record({"part": r}, part)
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, states = None, [], 0
+        now, held, states, united = None, [], 0, 0
 
         def done() -> Iterator[pa.RecordBatch]:
             whole = Automaton.union(held)
@@ -426,13 +432,13 @@ def count_transducers(docs: DataFrame, text: str = "text", lang: str = "lang",
             for i, r in enumerate(batch.column("part").to_pylist()):
                 if r != now and held:
                     yield from done()
-                    held, states = [], 0
+                    held, states, united = [], 0, 0
                 now = r
                 held.append(Automaton.read(batch, i))
                 states += len(held[-1].depths)
-                if states >= UNION_STATES:
+                if states >= max(UNION_STATES, united):
                     held = [Automaton.union(held)]
-                    states = 0
+                    states, united = 0, len(held[0].depths)
         if held:
             yield from done()
 

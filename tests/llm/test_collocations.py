@@ -121,3 +121,16 @@ def test_a_hot_prefix_is_in_several_ranges(spark, monkeypatch):
     sizes = Counter({r.part: len(r.depths) for r in counts.collect()})
     assert len(sizes) > 5 and max(sizes.values()) < sum(sizes.values()) / 3
     assert found(spark, rows, 10) == brute(rows, 10, 2000)
+
+
+def test_ranges_are_bounded_by_distinct_ngrams():
+    """An n-gram that makes up most of the sample is one entry, so the others are still dealt into ranges."""
+    bits = np.full((co.BUCKETS + co.BUCKETS // 2) // 8, 255, np.uint8)
+    sample = [(b"en", b"often")] * 1000 + [(b"en", b"w%02d" % n) for n in range(20)]
+    assert len(co.range_bounds(bits, sample, 8)) == 7
+
+
+def test_union_of_many_parts():
+    parts = [co.Automaton.of({(b"en", b"w%d" % (n % 7)): 1, (b"en", b"a", b"b%d" % n): 2}) for n in range(50)]
+    whole = {g: w for g, w in co.Automaton.union(parts).items() if w}
+    assert sum(whole.values()) == 150 and len(whole) == 57 and whole[b"en", b"w0"] == 8
