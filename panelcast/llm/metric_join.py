@@ -15,8 +15,10 @@ that reach the similarity are near in both. The join divides the space until onl
 3. *Pivots.* Every document of a shared cell is compared with the least document of its cells, its Voronoi pivot. Those that
    link with one pivot are connected; pairs within one component need no further look.
 4. *Hubs.* In the cells that still have several components, every document is compared with up to :data:`HUBS` others there
-   that sizes and parity sketches allow. That grows with a cell's rows, not with their square, and joins most of a
+   that sizes and parity sketches allow; cells with common documents choose the same ones, so it is no more in all cells
+   together. That grows with the documents, not with their square, and joins most of a
    large group of near copies, whose pairs the next steps would meet one by one; up to :data:`HUB_ROUNDS` times.
+   Of these links, each document keeps one, and its hubs are linked once for all documents that they share.
 5. *Recursion.* A cell where more than :data:`LEAF` squared pairs are left, of a document outside the largest component and any
    other, gets a pivot of its own and is divided by the exact distance from it into rings twice as wide as the
    allowed distance; the triangle inequality says which documents of the next ring's border are replicated. A ring is
@@ -54,7 +56,7 @@ from panelcast.llm.near_dedup import Shingles, parity_sketch
 SHINGLE, SIMILARITY = 3, 90
 SHELL = 125                          # a shell's largest size, per cent of its least
 SPARE = 3                            # classes beyond the differences that a pair may have
-HUBS, HUB_ROUNDS = 8, 3              # rows of a cell that all others there are compared with; rounds at most
+HUBS, HUB_ROUNDS = 8, 3              # rows of a cell that others there are compared with, and of all cells one row; rounds at most
 LEAF = 256                           # a cell with no more than LEAF * LEAF open pairs is not divided further
 ROUNDS = 3
 SMALLER = 0.6                        # a ring is divided if it has at most this share of its cell's rows
@@ -237,12 +239,24 @@ def unresolved(cells: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def hub_pairs(rows: DataFrame, sets: DataFrame, similarity: int, level: int) -> DataFrame:
-    """Pairs of a cell's rows and its hubs, rows chosen by hash, that are in different components and may reach the similarity."""
-    least = F.struct(F.xxhash64("nid", "cell", F.lit(level)).alias("by"), "nid")
+    """Pairs of a cell's rows and its hubs, rows chosen by hash, that are in different components and may reach the similarity.
+    The hash is the same in all cells, so cells with common rows have common hubs; a row in many cells keeps the
+    first :data:`HUBS` of all that it meets there."""
+    least = F.struct(F.xxhash64("nid", F.lit(level)).alias("by"), "nid")
     places = Window.partitionBy("cell").orderBy(least)
     hubs = rows.select("cell", "nid").withColumn("at", F.row_number().over(places)).where(F.col("at") <= HUBS).select("cell", "nid")
     rows = rows.select("cell", "nid", "n", "root")
-    return _paired(hubs.join(rows, ["cell", "nid"]), rows, sets, F.col("a") != F.col("b"), similarity)
+    pairs = _paired(hubs.join(rows, ["cell", "nid"]), rows, sets, F.col("a") != F.col("b"), similarity)
+    first = Window.partitionBy("b").orderBy(F.xxhash64("a", F.lit(level)), "a")
+    return pairs.withColumn("at", F.dense_rank().over(first)).where(F.col("at") <= HUBS).select("a", "b")
+
+
+def contracted(links: DataFrame) -> DataFrame:
+    """Links with the same components: of every ``b`` the one with its least ``a``, and each pair of such an ``a`` and another of
+    the same ``b`` once. Rows share their hubs, so there are about as many as rows."""
+    of = links.groupBy("b").agg(F.min("a").alias("a"), F.collect_set("a").alias("others"))
+    between = of.select("a", F.explode("others").alias("b")).where("a != b").distinct()
+    return of.select("a", "b").unionByName(between)
 
 
 def _paired(left: DataFrame, right: DataFrame, sets: DataFrame, which: Column, similarity: int) -> DataFrame:
@@ -301,7 +315,7 @@ def components(docs: DataFrame, nodes: DataFrame, shingle: int, similarity: int,
         linked = compared(hub_pairs(crowded, sets, similarity, level), sets, wide).where(_linked(similarity)).select("a", "b")
         if linked.isEmpty():
             break
-        roots = stored(connected_components(links.unionByName(linked)), "metric-roots")
+        roots = stored(connected_components(links.unionByName(contracted(linked))), "metric-roots")
         links = roots.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))   # stand in for the links
         rows = stored(packed(unresolved(rows.select("cell", "nid", "n"), roots), n_cells), "metric-unresolved")
     rows, leaves = rows.withColumn("parent", F.lit(None).cast("long")), None

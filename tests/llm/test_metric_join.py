@@ -140,3 +140,38 @@ def test_hubs_bound_the_pairs_of_a_large_group(spark):
     hubs = {a for a, _ in pairs}
     assert 0 < len(hubs) <= mj.HUBS < 60
     assert pairs >= {(a, b) for a in hubs for b in range(60) if a != b and 100 * (200 - abs(a - b)) >= 90 * (200 + abs(a - b))}
+
+
+def test_rows_of_many_cells_share_their_hubs(spark):
+    """The pairs grow with the rows, not with the cells that they share, and the links from them are nearly as few as the rows."""
+    sets = [np.arange(n, n + 900, dtype=np.uint64) for n in range(40)]
+    cells = [(c, n, 900, n) for n in range(40) for c in range(12) if (n + c) % 5]
+    rows = spark.createDataFrame(cells, "cell long, nid long, n long, root long")
+    sketches = spark.createDataFrame([(n, mj.parity_sketch(s).tolist()) for n, s in enumerate(sets)], "nid long, sketch array<long>")
+    pairs = mj.hub_pairs(rows, sketches, 90, 0).distinct()
+    met = [(r.a, r.b) for r in pairs.collect()]
+    assert {b for _, b in met} == set(range(40))
+    assert len(met) <= mj.HUBS * 40
+    few = [(r.a, r.b) for r in mj.contracted(pairs).collect()]
+    hubs = {a for a, _ in met}
+    assert len(few) <= 40 + len(hubs) ** 2
+    assert reached(few) == reached(met)
+
+
+def test_contracted_links_keep_the_components(spark):
+    rng = random.Random(7)
+    links = [(rng.randrange(12), rng.randrange(60)) for _ in range(90)] + [(100, 101), (101, 102), (3, 3), (100, 101)]
+    few = [(r.a, r.b) for r in mj.contracted(spark.createDataFrame(links, "a long, b long")).collect()]
+    assert reached(few) == reached(links)
+    assert mj.contracted(spark.createDataFrame([], "a long, b long")).isEmpty()
+
+
+def reached(links):
+    """The components of links, as sorted lists of their nodes."""
+    home = {n: {n} for link in links for n in link}
+    for a, b in links:
+        if home[a] is not home[b]:
+            home[a] |= home[b]
+            for n in home[b]:
+                home[n] = home[a]
+    return sorted({tuple(sorted(h)) for h in home.values()})
